@@ -72,10 +72,22 @@ def assign_fn(df: DataFrame, col: str, func: str, attr: Any = None) -> DataFrame
     return df.withColumn(col, X.call_function(func, attr))
 
 
+def _cast_expr(c: str, src: T.DataType, target: T.DataType, type_: str) -> Column:
+    if isinstance(src, T.StringType) and isinstance(target, T.IntegralType):
+        # text "3.7" -> 3 under either ANSI setting (legacy casts truncate, ANSI try_cast
+        # would give NULL): go through a decimal, then truncate
+        return F.col(c).try_cast("decimal(38,10)").try_cast(type_)
+    return F.col(c).try_cast(type_)
+
+
 def astype(df: DataFrame, type_: str, subset: Sequence[str]) -> DataFrame:
-    """Cast each listed column to ``type_`` (DDL name); bad values become NULL (try_cast)."""
+    """Cast each listed column to ``type_`` (DDL name); bad values become NULL (try_cast),
+    with the same result whether or not ANSI mode is on."""
     cols = set(_listify(subset))
-    return df.select(*[F.col(c).try_cast(type_).alias(c) if c in cols else F.col(c) for c in df.columns])
+    target = T._parse_datatype_string(type_)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[_cast_expr(c, types[c], target, type_).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
 
 
 # ---------------------------------------------------------------- P9, A5 ---

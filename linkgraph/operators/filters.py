@@ -55,10 +55,11 @@ def replace_values(df: DataFrame, to_replace: Any, value: Any = None,
 
 
 def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None,
-                    order_by: Sequence[str | Column] | None = None) -> DataFrame:
+                    order_by: Sequence[str | Column] | None = None, keep: str = "first") -> DataFrame:
     """Remove duplicate rows; on a strict ``subset`` keep one row per key.
 
-    The surviving row is the one with the smallest ``order_by`` tuple, ties broken
+    The surviving row is the one with the smallest (``keep="first"``) or largest
+    (``keep="last"``) ``order_by`` tuple, ties broken
     by the remaining columns (so the choice is deterministic), chosen with ``min_by`` -- a partial aggregate, so a
     hot key is combined map-side instead of landing whole in one task.
     """
@@ -67,8 +68,9 @@ def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None,
         return df.dropDuplicates()
     others = [c for c in df.columns if c not in keys]
     order = list(order_by or []) + others
+    pick = {"first": X.first_by_order, "last": X.last_by_order}[keep]
     kept = (df.groupBy(*keys)
-              .agg(X.first_by_order(F.struct(*others), order).alias("__kept__"))
+              .agg(pick(F.struct(*others), order).alias("__kept__"))
               .select(*keys, *[F.col(f"__kept__.{c}").alias(c) for c in others]))
     return kept.select(*df.columns)
 

@@ -40,30 +40,80 @@ def _listify(v) -> list[str]:
 
 # ---------------------------------------------------------------- G1 -------
 
+# --- fixed values: hot-key detection for the shared-key self-join -------------
+SKEW_SAMPLE_FRACTION = 0.01   # share of rows sampled to find hot keys
+SKEW_MIN_SAMPLE_HITS = 20     # a key needs this many sampled rows to count as hot
+SKEW_MAX_SPLITS = 1024        # most sub-groups one hot key is cut into
+_SALT = "__salt__"
+_SPLITS = "__splits__"
+# ---------------------------------------------------------------------------
+
+
+def hot_key_splits(df: DataFrame, key: str, target_parts: int | None = None,
+                   fraction: float = SKEW_SAMPLE_FRACTION, min_hits: int = SKEW_MIN_SAMPLE_HITS,
+                   max_splits: int = SKEW_MAX_SPLITS, seed: int = 17) -> DataFrame:
+    """Keys holding more than one partition's share of the rows, with the number of
+    sub-groups to cut each into: ``(key, __splits__)``.
+
+    Found on a row sample (used only to *detect* hot keys; every row still goes
+    to the result).  A key is hot when ``splits = ceil(share * target_parts) >= 2``,
+    so at most ``target_parts`` keys qualify: the table has a proven size bound
+    and may be broadcast.  The sample total is a scalar subquery (no driver action).
+    """
+    parts = target_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sample = df.select(key).where(F.col(key).isNotNull()).sample(False, fraction, seed)
+    total = sample.agg(F.count(F.lit(1))).scalar()
+    counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("__hits__"))
+    splits = F.ceil(F.col("__hits__") * F.lit(parts) / total)
+    return (counts.where((F.col("__hits__") >= F.lit(min_hits)) & (splits >= F.lit(2)))
+                  .select(key, F.least(splits, F.lit(max_splits)).cast("int").alias(_SPLITS)))
+
+
 def edges_from_shared_key(df: DataFrame, col_edges: str = "EdgeID", col_nodeid: str = "NodeID",
-                          node_att: Sequence[str] | None = None) -> DataFrame:
+                          node_att: Sequence[str] | None = None, distinct: bool = True,
+                          split_hot_keys: bool = True, skew_options: Mapping | None = None) -> DataFrame:
     """Undirected edges between every two nodes that share a value of ``col_edges``.
 
     Each unordered pair appears once per key, as ``NodeID1 > NodeID2`` (no
     self-pairs).  The left side keeps all of its columns (node attributes get
     suffix ``1``); the right side contributes only the node ID and ``node_att``
-    (suffix ``2``).
+    (suffix ``2``).  ``distinct=False`` skips the de-duplication of the left
+    side, for callers that aggregate duplicate-insensitively afterwards.
 
-    Both sides are de-duplicated *before* the join: a join of two distinct
+    Plan: each side is hash-partitioned once on (key, salt) and de-duplicated
+    locally, so the join needs no further exchange; a join of two distinct
     inputs whose output carries every input column is already distinct, so no
-    distinct over the (much larger) pair table is needed.  The pair count per
-    key is the output size itself; a hot key is spread over many tasks by AQE's
-    skew-join split (the left partition is cut into chunks, each matched with
-    the right side), never by capping or sampling.
+    distinct over the (much larger) pair table is needed.
+
+    Hot keys: the pairs of a key are the output itself (quadratic in the group
+    size), so a hot key is cut into sub-groups instead of landing in one task:
+    its left rows get a salt from their node ID, its right rows are copied once
+    per salt; every (left, right) pair still meets exactly once.  Nothing is
+    capped or sampled away.  ``skew_options`` are passed to ``hot_key_splits``.
     """
     atts = _listify(node_att)
     valid = F.col(col_edges).isNotNull() & F.col(col_nodeid).isNotNull()
-    left = df.where(valid).dropDuplicates()
-    right = (df.where(valid)
-               .select(F.col(col_edges), F.col(col_nodeid).alias("NodeID2"),
-                       *[F.col(a).alias(f"{a}2") for a in atts])
-               .dropDuplicates())
-    pairs = left.join(right, on=col_edges, how="inner").where(F.col(col_nodeid) > F.col("NodeID2"))
+    base = df.where(valid)
+    if split_hot_keys:
+        hot = F.broadcast(hot_key_splits(base, col_edges, **dict(skew_options or {})))  # <= target_parts rows
+        base = base.join(hot, on=col_edges, how="left").withColumn(_SPLITS, F.coalesce(F.col(_SPLITS), F.lit(1)))
+        left_salt = F.pmod(F.xxhash64(F.col(col_nodeid)), F.col(_SPLITS)).cast("int")
+        right_salt = F.explode(F.sequence(F.lit(0), F.col(_SPLITS) - 1))
+    else:
+        base = base.withColumn(_SPLITS, F.lit(1))
+        left_salt = F.lit(0)
+        right_salt = F.lit(0)
+    left = (base.select(*df.columns, left_salt.alias(_SALT))
+                .repartition(col_edges, _SALT))
+    if distinct:
+        left = left.dropDuplicates()
+    right = (base.select(F.col(col_edges), F.col(col_nodeid).alias("NodeID2"),
+                         *[F.col(a).alias(f"{a}2") for a in atts], right_salt.alias(_SALT))
+                 .repartition(col_edges, _SALT)
+                 .dropDuplicates())
+    pairs = (left.join(right, on=[col_edges, _SALT], how="inner")
+                 .where(F.col(col_nodeid) > F.col("NodeID2"))
+                 .drop(_SALT))
     renames = {col_nodeid: "NodeID1", **{a: f"{a}1" for a in atts}}
     return pairs.withColumnsRenamed(renames)
 

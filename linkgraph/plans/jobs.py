@@ -78,7 +78,9 @@ def shared_key_detail(lineitem: DataFrame) -> DataFrame:
 def shared_key_edges(lineitem: DataFrame, min_edges: int = 1) -> G.Graph:
     """G11 (flagship): parts bought together.  Self-join on ``EdgeID`` -> pairs ->
     weighted edges with sets of keys and line statuses and the ship-date range."""
-    pairs = G.edges_from_shared_key(shared_key_detail(lineitem), "EdgeID", "NodeID", node_att=["Label"])
+    # the aggregate below ignores duplicates, so the left side skips its distinct
+    pairs = G.edges_from_shared_key(shared_key_detail(lineitem), "EdgeID", "NodeID", node_att=["Label"],
+                                    distinct=False)
     return G.edges_agg(pairs, weight_col="EdgeID", col_date="ship", min_edges=min_edges,
                        node_att=["Label"], att_cols=["EdgeID", "l_linestatus"])
 

@@ -1,0 +1,65 @@
+import json
+
+from pyspark.sql import functions as F
+
+from linkgraph.operators import metrics as M
+from linkgraph.operators import nested as N
+from tests.conftest import rows
+
+
+def test_flatten_lineup_missing_country(spark):
+    doc = {"m": 1, "lineups": {"T1": {"team_id": 10, "team_name": "T1", "lineup": [
+        {"player_id": 5, "player_name": "P5", "country": {"name": "Italy"}},
+        {"player_id": 6, "player_name": "P6"}]},
+        "T2": {"team_id": 20, "team_name": "T2", "lineup": []}}}
+    df = spark.read.schema("m INT, lineups " + N.LINEUP_SCHEMA).json(spark.sparkContext.parallelize([json.dumps(doc)]))
+    out = N.flatten_lineup(df, "lineups", keep=["m"])
+    assert rows(out) == [(1, 10, "T1", 5, "P5", "Italy"), (1, 10, "T1", 6, "P6", "")]
+
+
+def test_extract_fields_missing_parent(spark):
+    df = spark.createDataFrame([('{"type":"Pass","pass":{"recipient":{"id":7,"name":"R"},"length":3.5}}',),
+                                ('{"type":"Shot"}',)], "j string")
+    out = N.extract_fields(df, "j", "type STRING, pass STRUCT<recipient: STRUCT<id: INT, name: STRING>, length: DOUBLE>",
+                           {"type": "type", "rid": "pass.recipient.id", "len": "pass.length"})
+    assert rows(out) == [("Pass", 7, 3.5), ("Shot", None, None)]
+
+
+def test_parse_with_rejects(spark):
+    df = spark.createDataFrame([(1, '{"k": 3}'), (2, '{"k": '), (3, None)], "id int, j string")
+    good, bad = N.parse_with_rejects(df, "j", "k INT", keep=["id"])
+    assert rows(good) == [(1, 3), (3, None)]
+    assert rows(bad) == [(2, '{"k": ')]
+
+
+def test_lookup_last_wins(spark):
+    subs = spark.createDataFrame([(1, "Ann", 100, 1), (1, "Bob", 200, 2)], "m int, name string, pid int, pos int")
+    xi = spark.createDataFrame([(1, "Ann", 101, 1), (1, "Ann", 102, 2), (2, "Bob", 300, 1)], "m int, name string, pid int, pos int")
+    out = N.lookup_last_wins([subs, xi], ["m"], "name", "pid", "pos")
+    assert rows(out) == [(1, "Ann", 102), (1, "Bob", 200), (2, "Bob", 300)]
+
+
+def test_metric_entries_pct_change_and_pivot(spark):
+    def ev(ts, key, entries):
+        return json.dumps({"timestamp": ts, "asset_key": key,
+                           "metadata_entries": [{"label": k, "value": v} for k, v in entries]})
+    log = spark.createDataFrame([
+        (1, ev(0.5, "a", [("count", "10"), ("note", "text")])),
+        (2, ev(86400.9, "a", [("count", "15")])),
+        (3, ev(86401.0, "b", [("count", "0")])),
+        (4, ev(2 * 86400.0, "b", [("count", "7")])),
+        (5, ev(2 * 86400.0, "a", [("count", "30")])),
+    ], "id int, event string")
+    ent = M.metric_entries(log, keep=["id"])
+    assert rows(ent.where("id = 1")) == [(1, "1970-01-01 00:00:00", "a", "count", 10.0)]
+    daily = M.latest_per_bucket(ent.withColumn("day", M.bucket("ts_text")), "day", "asset_key", "value", ["ts_text", "id"])
+    pc = M.pct_change(daily, "asset_key", "day", "value")
+    got = {(r.day, r.asset_key): r.pct_change for r in pc.collect()}
+    assert got[("1970-01-02", "a")] == 0.5 and got[("1970-01-03", "a")] == 1.0
+    assert got[("1970-01-02", "b")] is None and got[("1970-01-03", "b")] is None  # first row; x/0
+    wide = M.pivot_keys(daily, "day", "asset_key", "value", ["a", "b"])
+    assert rows(wide) == [("1970-01-02", 15.0, 0.0), ("1970-01-03", 30.0, 7.0)]
+    assert rows(M.select_keys(ent, ["b"]).select("id")) == [(3,), (4,)]
+    keys = spark.createDataFrame([("a",)], "k string")
+    assert M.select_keys(ent, keys).select("asset_key").distinct().collect()[0][0] == "a"
+    assert ent.select(F.max("value")).first()[0] == 30.0
