@@ -23,6 +23,7 @@ from linkgraph.operators import columns as C
 from linkgraph.operators import filters as Fl
 from linkgraph.operators import graph as G
 from linkgraph.operators.relational import row_count
+from linkgraph.session import cut_lineage
 from linkgraph.sources import sinks
 
 # --- fixed values: job configuration ---------------------------------------
@@ -40,8 +41,15 @@ def order_events(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     return lineitem.select("l_orderkey", "l_suppkey", "l_linenumber").join(o, on="l_orderkey", how="inner")
 
 
+def _maybe_cut(df: DataFrame, checkpoint: bool) -> DataFrame:
+    """Jobs that write both edges and nodes read the detail table several times:
+    a reliable checkpoint (shared storage) computes it once and cuts the lineage,
+    so a lost executor never re-runs the upstream joins."""
+    return cut_lineage(df) if checkpoint else df
+
+
 def directed_edges(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame, customer: DataFrame,
-                   min_edges: int = 2) -> G.Graph:
+                   min_edges: int = 2, checkpoint: bool = False) -> G.Graph:
     """Supplier -> customer edges, weight = distinct orders.
 
     read -> dropna -> drop_cols -> rename -> astype -> labels -> edges_agg.
@@ -59,6 +67,7 @@ def directed_edges(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame,
               .drop("o_orderdate")
               .transform(C.add_literal, "Label2", LABEL_CUSTOMER)
               .transform(C.add_literal, "Label1", LABEL_SUPPLIER))
+    detail = _maybe_cut(detail, checkpoint)
     return G.edges_agg(detail, weight_col="l_orderkey", col_date="order_date", min_edges=min_edges,
                        node_att=list(NODE_ATT))
 
@@ -75,17 +84,17 @@ def shared_key_detail(lineitem: DataFrame) -> DataFrame:
                     F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship")))
 
 
-def shared_key_edges(lineitem: DataFrame, min_edges: int = 1) -> G.Graph:
+def shared_key_edges(lineitem: DataFrame, min_edges: int = 1, checkpoint: bool = False) -> G.Graph:
     """G11 (flagship): parts bought together.  Self-join on ``EdgeID`` -> pairs ->
     weighted edges with sets of keys and line statuses and the ship-date range."""
+    detail = _maybe_cut(shared_key_detail(lineitem), checkpoint)
     # the aggregate below ignores duplicates, so the left side skips its distinct
-    pairs = G.edges_from_shared_key(shared_key_detail(lineitem), "EdgeID", "NodeID", node_att=["Label"],
-                                    distinct=False)
+    pairs = G.edges_from_shared_key(detail, "EdgeID", "NodeID", node_att=["Label"], distinct=False)
     return G.edges_agg(pairs, weight_col="EdgeID", col_date="ship", min_edges=min_edges,
                        node_att=["Label"], att_cols=["EdgeID", "l_linestatus"])
 
 
-def bipartite_edges(supplier: DataFrame, nation: DataFrame) -> G.Graph:
+def bipartite_edges(supplier: DataFrame, nation: DataFrame, checkpoint: bool = False) -> G.Graph:
     """Supplier -- nation membership edges, weight = distinct membership keys (1)."""
     detail = (supplier.join(nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name"),
                             on="s_nationkey", how="left")
@@ -97,6 +106,7 @@ def bipartite_edges(supplier: DataFrame, nation: DataFrame) -> G.Graph:
               .dropDuplicates()
               .transform(C.rename_cols, {"s_nationkey": "NodeID2", "n_name": "NodeName2"})
               .transform(C.add_literal, "Label2", LABEL_NATION))
+    detail = _maybe_cut(detail, checkpoint)
     return G.edges_agg(detail, weight_col="EdgeID", node_att=list(NODE_ATT))
 
 
@@ -105,13 +115,14 @@ class GraphJob(NamedTuple):
     nodes: DataFrame
 
 
-def whole_graph(tables: Mapping[str, DataFrame], min_directed: int = 2) -> GraphJob:
-    """The three edge jobs and one merged node table."""
+def whole_graph(tables: Mapping[str, DataFrame], min_directed: int = 2, checkpoint: bool = False) -> GraphJob:
+    """The three edge jobs and one merged node table.  ``checkpoint=True`` for
+    jobs that write everything (each detail table computed once, lineage cut)."""
     rels = {
         "supplies": directed_edges(tables["lineitem"], tables["orders"], tables["supplier"],
-                                   tables["customer"], min_edges=min_directed),
-        "bought_with": shared_key_edges(tables["lineitem"]),
-        "based_in": bipartite_edges(tables["supplier"], tables["nation"]),
+                                   tables["customer"], min_edges=min_directed, checkpoint=checkpoint),
+        "bought_with": shared_key_edges(tables["lineitem"], checkpoint=checkpoint),
+        "based_in": bipartite_edges(tables["supplier"], tables["nation"], checkpoint=checkpoint),
     }
     nodes = G.merge_nodes([g.nodes for g in rels.values()])
     return GraphJob(rels, nodes)

@@ -784,7 +784,7 @@ FROM (SELECT DISTINCT id, name, label FROM nodes) GROUP BY label
 """)
 def q_import_manifest(spark, sf):
     base = scratch_path(spark, "graph")
-    written = J.export_graph(J.whole_graph(_graph_tables(spark, sf)), base)
+    written = J.export_graph(J.whole_graph(_graph_tables(spark, sf), checkpoint=True), base)
     return K.import_manifest(spark, written, base)
 
 
