@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from linkgraph.functions import expressions as X
 
 # --- fixed values: nested input schemas ------------------------------------
-# One "lineup" value: team -> team id/name and its players.
-LINEUP_SCHEMA = ("MAP<STRING, STRUCT<team_id: INT, team_name: STRING, lineup: ARRAY<STRUCT<"
-                 "player_id: INT, player_name: STRING, country: STRUCT<name: STRING>>>>>")
+# One "lineup" value: team -> team id/name and its players (IDs as BIGINT so
+# large key spaces do not overflow).
+LINEUP_SCHEMA = ("MAP<STRING, STRUCT<team_id: BIGINT, team_name: STRING, lineup: ARRAY<STRUCT<"
+                 "player_id: BIGINT, player_name: STRING, country: STRUCT<name: STRING>>>>>")
 CORRUPT_COLUMN = "_corrupt_record"
 # ---------------------------------------------------------------------------
 

@@ -148,3 +148,13 @@ def export_graph(job: GraphJob, base_dir: str) -> list[dict[str, str]]:
         written.append(sinks.write_edges(g.edges, base_dir, name))
     written += sinks.write_nodes(job.nodes, base_dir)
     return written
+
+
+def export_flat_inputs(lineups: DataFrame, passes: DataFrame, base_dir: str) -> dict[str, str]:
+    """Write the flattened nested inputs for the edge jobs: the enriched lineup
+    table as pipe-separated CSV with header, the pass events as Parquet."""
+    return {
+        "lineups": sinks.save_file(lineups, base_dir, "lineups", fmt="csv",
+                                   options={"sep": "|", "header": "true", "escape": '"'}),
+        "passes": sinks.save_file(passes, base_dir, "passes", fmt="parquet"),
+    }

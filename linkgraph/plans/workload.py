@@ -809,8 +809,7 @@ def _lineup_json(spark, sf) -> str:
     return path
 
 
-_LINEUP_READ_SCHEMA = ("match_id BIGINT, lineups MAP<STRING, STRUCT<team_id: BIGINT, team_name: STRING, "
-                       "lineup: ARRAY<STRUCT<player_id: BIGINT, player_name: STRING, country: STRUCT<name: STRING>>>>>")
+_LINEUP_READ_SCHEMA = f"match_id BIGINT, lineups {N.LINEUP_SCHEMA}"
 
 _FLAT_LINEUP_SQL = """
 fl AS (SELECT l.l_orderkey AS match_id, l.l_suppkey AS team_id, s.s_name AS team_name, l.l_partkey AS player_id,

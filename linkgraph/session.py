@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,6 +29,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/linkgraph/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def cache(df: DataFrame) -> DataFrame:
+    """Mark a table for reuse by several actions (memory, spilling to disk).
+
+    Lost blocks are recomputed from lineage; the caller unpersists when done.
+    For long lineages on a cluster prefer ``cut_lineage``.
+    """
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 

@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- fixed values: pipe-separated input -------------------------------------
 PIPE_CSV_OPTIONS = {"header": "true", "sep": "|"}
@@ -23,6 +24,16 @@ def to_ddl(dtype: str | Sequence[Sequence[str]]) -> str:
     return ", ".join(f"`{c}` {t}" for c, t in dtype)
 
 
+def create_schema(dtype: str | Sequence[Sequence[str]], nullable: bool = False) -> T.StructType:
+    """``[[column, type], ...]`` (or DDL) -> ``StructType``; fields non-nullable by default.
+
+    File readers mark every field nullable again on load, so the flag only
+    matters for DataFrames built from rows.
+    """
+    parsed = T._parse_datatype_string(to_ddl(dtype))
+    return T.StructType([T.StructField(f.name, f.dataType, nullable) for f in parsed.fields])
+
+
 def read_file(spark: SparkSession, path: str | Sequence[str], dtype: Any = None, fmt: str = "csv",
               options: Mapping[str, Any] | None = None) -> DataFrame:
     """Load path(s) in any format with pass-through options and an optional schema.

@@ -49,3 +49,20 @@ def test_schema_pairs_to_ddl():
     assert S.to_ddl([["a", "int"], ["b", "decimal(10,2)"]]) == "`a` int, `b` decimal(10,2)"
     assert S.to_ddl("a INT") == "a INT"
     assert G.LABEL_HEADER == ":LABEL"
+
+
+def test_create_schema_pairs(spark):
+    st = S.create_schema([["id", "int"], ["name", "string"]])
+    assert [(f.name, f.dataType.simpleString(), f.nullable) for f in st.fields] == [
+        ("id", "int", False), ("name", "string", False)]
+
+
+def test_export_flat_inputs_round_trip(spark):
+    from linkgraph.plans import jobs as J
+    lineups = spark.createDataFrame([(1, "T|1", "P")], "match_id int, team_name string, player_name string")
+    passes = spark.createDataFrame([(1, 2, 3.5)], "match_id int, player int, length double")
+    base = scratch_path(spark, "t-flat")
+    out = J.export_flat_inputs(lineups, passes, base)
+    back = spark.read.options(sep="|", header="true", escape='"').schema(lineups.schema).csv(out["lineups"])
+    assert rows(back) == [(1, "T|1", "P")]
+    assert rows(spark.read.parquet(out["passes"])) == [(1, 2, 3.5)]
