@@ -52,11 +52,22 @@ def set_string(arr: str | Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.array_sort(as_col(arr)), SET_SEPARATOR), F.lit("]"))
 
 
-def collect_set_string(c: str | Column) -> Column:
-    """Aggregate: distinct non-null values of ``c`` as text, rendered ``[a, b]``; empty -> ``[]``."""
+def collect_set_string(c: str | Column, injective_text: bool = False) -> Column:
+    """Aggregate: distinct non-null values of ``c`` as text, rendered ``[a, b]``; empty -> ``[]``.
+
+    ``injective_text=True`` (integers, dates, strings: distinct values have distinct
+    text) collects the raw values and turns only the distinct ones into text.
+    """
+    if injective_text:
+        return set_string(F.transform(F.collect_set(as_col(c)), lambda x: x.cast("string")))
     return set_string(F.collect_set(as_col(c).cast("string")))
 
 
+def day_text(c: str | Column) -> Column:
+    """Timestamp -> ``yyyy-MM-dd`` text (a cast, cheaper than a pattern formatter)."""
+    return as_col(c).cast("date").cast("string")
+
+
 def stringify(arr: str | Column) -> Column:
     """``[`` + comma-joined elements (nulls skipped, NULL array -> ``[]``) + ``]``."""
     return F.concat(F.lit("["), F.concat_ws(STRINGIFY_SEPARATOR, as_col(arr)), F.lit("]"))

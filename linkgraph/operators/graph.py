@@ -153,11 +153,13 @@ def edge_aggregates(df: DataFrame, weight_col: str, att_cols: Sequence[str],
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     if weight_col in att_cols and _injective_to_string(types[weight_col]):
-        weight = F.size(F.collect_set(F.col(weight_col).cast("string")))
+        # same collect_set as the weight column's set below (Spark evaluates it once)
+        weight = F.size(F.collect_set(F.col(weight_col)))
     else:
         weight = F.count_distinct(weight_col)
     aggs = [weight.cast("bigint").alias(EDGE_WEIGHT)]
-    aggs += [X.collect_set_string(c).alias(f"{c}{ATT_SUFFIX}") for c in att_cols]
+    aggs += [X.collect_set_string(c, _injective_to_string(types[c])).alias(f"{c}{ATT_SUFFIX}")
+             for c in att_cols]
     if col_date:
         d = F.col(col_date).cast("string")
         aggs += [F.min(d).alias(f"{col_date}_min"), F.max(d).alias(f"{col_date}_max")]

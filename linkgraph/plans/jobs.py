@@ -19,6 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkgraph.functions.expressions import day_text
 from linkgraph.operators import columns as C
 from linkgraph.operators import filters as Fl
 from linkgraph.operators import graph as G
@@ -63,7 +64,7 @@ def directed_edges(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame,
               .transform(C.rename_cols, {"l_suppkey": "NodeID1", "s_name": "NodeName1",
                                          "o_custkey": "NodeID2", "c_name": "NodeName2"})
               .transform(C.astype, "bigint", ["NodeID1", "NodeID2"])
-              .withColumn("order_date", F.date_format("o_orderdate", "yyyy-MM-dd"))
+              .withColumn("order_date", day_text("o_orderdate"))
               .drop("o_orderdate")
               .transform(C.add_literal, "Label2", LABEL_CUSTOMER)
               .transform(C.add_literal, "Label1", LABEL_SUPPLIER))
@@ -81,7 +82,7 @@ def shared_key_detail(lineitem: DataFrame) -> DataFrame:
             .transform(C.rename_cols, {"l_partkey": "NodeID"})
             .transform(C.concat_cols, "EdgeID", ["l_orderkey", "l_returnflag"], "_")
             .select("EdgeID", "NodeID", "Label", "l_linestatus",
-                    F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship")))
+                    day_text("l_shipdate").alias("ship")))
 
 
 def shared_key_edges(lineitem: DataFrame, min_edges: int = 1, checkpoint: bool = False) -> G.Graph:
