@@ -206,9 +206,14 @@ def edges_agg(df: DataFrame, weight_col: str, cols_gb: Sequence[str] = ("NodeID1
                .agg(*edge_aggregates(df, weight_col, list(att_cols), col_date))
                .where(F.col(EDGE_WEIGHT) >= F.lit(min_edges)))
 
+    # kept endpoint pairs from a light hash aggregate (same weight as above, no sets);
+    # both sides read the same subplan, so its exchange is shared
+    kept = (df.groupBy(id1, id2).agg(F.count_distinct(weight_col).alias("__w__"))
+              .where(F.col("__w__") >= F.lit(min_edges)))
+
     def side(id_col: str, cols: list[str]) -> DataFrame:
         nodes = df.select(*[F.col(c).alias(c[:-1]) for c in [id_col, *cols]]).dropDuplicates()
-        kept_ids = edges.select(F.col(id_col).alias(id_col[:-1]))
+        kept_ids = kept.select(F.col(id_col).alias(id_col[:-1]))
         return nodes.join(kept_ids, on=id_col[:-1], how="left_semi")
 
     nodes = side(id1, node_x).union(side(id2, node_y)).dropDuplicates()
