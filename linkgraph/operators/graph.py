@@ -24,6 +24,8 @@ ID_SUFFIX = ":ID"
 LABEL_HEADER = ":LABEL"
 EDGE_WEIGHT = "edge_weight"
 ATT_SUFFIX = "_att"
+# Most labels a per-label export profiles on the driver (one small row each).
+MAX_LABELS = 10_000
 # ---------------------------------------------------------------------------
 
 
@@ -234,7 +236,10 @@ def label_profile(nodes: DataFrame, label_col: str = "Label") -> dict[str, list[
     counts) is tiny and comes to the driver because it decides output schemas.
     """
     other = [c for c in nodes.columns if c != label_col]
-    rows = nodes.groupBy(label_col).agg(*[F.count(c).alias(f"__n{i}__") for i, c in enumerate(other)]).collect()
+    rows = (nodes.groupBy(label_col).agg(*[F.count(c).alias(f"__n{i}__") for i, c in enumerate(other)])
+                 .limit(MAX_LABELS + 1).collect())
+    if len(rows) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} node labels: export by label is meant for a few labels")
     return {r[label_col]: [c for i, c in enumerate(other) if r[f"__n{i}__"] > 0] for r in rows}
 
 

@@ -66,3 +66,14 @@ def test_export_flat_inputs_round_trip(spark):
     back = spark.read.options(sep="|", header="true", escape='"').schema(lineups.schema).csv(out["lineups"])
     assert rows(back) == [(1, "T|1", "P")]
     assert rows(spark.read.parquet(out["passes"])) == [(1, 2, 3.5)]
+
+
+def test_scratch_and_lineage_cut(spark):
+    from linkgraph.session import checkpoint_root, cut_lineage
+    root = checkpoint_root(spark)
+    p = scratch_path(spark, "x")
+    assert p.startswith(root + "/linkgraph/x-")
+    df = spark.range(10).withColumnRenamed("id", "v")
+    cut = cut_lineage(df.where("v % 2 = 0"))
+    assert "Scan parquet" in cut._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.v for r in cut.collect()) == [0, 2, 4, 6, 8]
