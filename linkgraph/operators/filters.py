@@ -95,6 +95,11 @@ def peek(df: DataFrame, n: int = 5, order_by: Sequence[str | Column] | None = No
     return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
+def show(df: DataFrame, n: int = 5, truncate: int = 20) -> None:
+    """Print the first ``n`` rows, values cut at ``truncate`` characters (fetches n rows only)."""
+    df.show(n, truncate=truncate)
+
+
 def sample_keys(df: DataFrame, key: str, n: int) -> DataFrame:
     """Development sample: all rows of the first ``n`` distinct keys (ordered)."""
     first = df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key).limit(n)
