@@ -43,7 +43,7 @@ def _listify(v) -> list[str]:
 # ---------------------------------------------------------------- G1 -------
 
 # --- fixed values: hot-key detection for the shared-key self-join -------------
-SKEW_SAMPLE_FRACTION = 0.01   # share of rows sampled to find hot keys
+SKEW_SAMPLE_FRACTION = 0.01   # share of rows (by content hash) looked at to find hot keys
 SKEW_MIN_SAMPLE_HITS = 20     # a key needs this many sampled rows to count as hot
 SKEW_MAX_SPLITS = 1024        # most sub-groups one hot key is cut into
 _SALT = "__salt__"
@@ -51,19 +51,25 @@ _SPLITS = "__splits__"
 # ---------------------------------------------------------------------------
 
 
-def hot_key_splits(df: DataFrame, key: str, target_parts: int | None = None,
+def hot_key_splits(df: DataFrame, key: str, spread_col: str | None = None, target_parts: int | None = None,
                    fraction: float = SKEW_SAMPLE_FRACTION, min_hits: int = SKEW_MIN_SAMPLE_HITS,
-                   max_splits: int = SKEW_MAX_SPLITS, seed: int = 17) -> DataFrame:
+                   max_splits: int = SKEW_MAX_SPLITS) -> DataFrame:
     """Keys holding more than one partition's share of the rows, with the number of
     sub-groups to cut each into: ``(key, __splits__)``.
 
-    Found on a row sample (used only to *detect* hot keys; every row still goes
-    to the result).  A key is hot when ``splits = ceil(share * target_parts) >= 2``,
-    so at most ``target_parts`` keys qualify: the table has a proven size bound
-    and may be broadcast.  The sample total is a scalar subquery (no driver action).
+    Found on a sample used only to *detect* hot keys (every row still goes to the
+    result).  The sample is chosen by a hash of the row content (``key`` and
+    ``spread_col``), not at random: every evaluation -- both join sides, or a
+    recomputation after a lost executor -- sees the same rows whatever the
+    partitioning, so both sides always agree on a key's split count.  A key is hot
+    when ``splits = ceil(share * target_parts) >= 2``, so at most ``target_parts``
+    keys qualify: the table has a proven size bound and may be broadcast.  The
+    sample total is a scalar subquery (no driver action).
     """
     parts = target_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sample = df.select(key).where(F.col(key).isNotNull()).sample(False, fraction, seed)
+    buckets = max(1, round(1.0 / fraction))
+    content = F.xxhash64(F.col(key), F.col(spread_col)) if spread_col else F.xxhash64(*[F.col(c) for c in df.columns])
+    sample = df.where(F.col(key).isNotNull() & (F.pmod(content, F.lit(buckets)) == 0)).select(key)
     total = sample.agg(F.count(F.lit(1))).scalar()
     counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("__hits__"))
     splits = F.ceil(F.col("__hits__") * F.lit(parts) / total)
@@ -97,7 +103,8 @@ def edges_from_shared_key(df: DataFrame, col_edges: str = "EdgeID", col_nodeid:
     valid = F.col(col_edges).isNotNull() & F.col(col_nodeid).isNotNull()
     base = df.where(valid)
     if split_hot_keys:
-        hot = F.broadcast(hot_key_splits(base, col_edges, **dict(skew_options or {})))  # <= target_parts rows
+        hot = F.broadcast(hot_key_splits(base, col_edges, spread_col=col_nodeid,
+                                         **dict(skew_options or {})))  # <= target_parts rows
         base = base.join(hot, on=col_edges, how="left").withColumn(_SPLITS, F.coalesce(F.col(_SPLITS), F.lit(1)))
         left_salt = F.pmod(F.xxhash64(F.col(col_nodeid)), F.col(_SPLITS)).cast("int")
         right_salt = F.explode(F.sequence(F.lit(0), F.col(_SPLITS) - 1))
