@@ -84,7 +84,7 @@ def astype(df: DataFrame, type_: str, subset: Sequence[str]) -> DataFrame:
     """Cast each listed column to ``type_`` (DDL name); bad values become NULL (try_cast),
     with the same result whether or not ANSI mode is on."""
     cols = set(_listify(subset))
-    target = T._parse_datatype_string(type_)
+    target = T.DataType.fromDDL(type_)
     types = {f.name: f.dataType for f in df.schema.fields}
     return df.select(*[_cast_expr(c, types[c], target, type_).alias(c) if c in cols else F.col(c)
                        for c in df.columns])

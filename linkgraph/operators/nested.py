@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkgraph.functions import expressions as X
 
@@ -63,30 +64,13 @@ def parse_with_rejects(df: DataFrame, json_col: str, schema: str,
                                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
                        .alias("__j__"))
     bad = F.col(f"__j__.{CORRUPT_COLUMN}").isNotNull() | (F.col(json_col).isNotNull() & F.col("__j__").isNull())
-    field_names = [f.split()[0].strip("`") for f in _split_top_level(schema)]
+    field_names = T.DataType.fromDDL(schema).fieldNames()
     good = parsed.where(~bad | F.col(json_col).isNull()).select(
         *keep, *[F.col(f"__j__.{n}").alias(n) for n in field_names])
     rejected = parsed.where(bad & F.col(json_col).isNotNull()).select(*keep, F.col(json_col).alias(CORRUPT_COLUMN))
     return good, rejected
 
 
-def _split_top_level(ddl: str) -> list[str]:
-    out, depth, cur = [], 0, []
-    for ch in ddl:
-        if ch in "<(":
-            depth += 1
-        elif ch in ">)":
-            depth -= 1
-        if ch == "," and depth == 0:
-            out.append("".join(cur).strip())
-            cur = []
-        else:
-            cur.append(ch)
-    if "".join(cur).strip():
-        out.append("".join(cur).strip())
-    return out
-
-
 def lookup_last_wins(sources: Sequence[DataFrame], scope: Sequence[str], name: str, value: str,
                      position: str) -> DataFrame:
     """Name -> value dictionary per scope where a later entry overwrites an earlier one.

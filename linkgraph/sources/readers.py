@@ -30,7 +30,7 @@ def create_schema(dtype: str | Sequence[Sequence[str]], nullable: bool = False)
     File readers mark every field nullable again on load, so the flag only
     matters for DataFrames built from rows.
     """
-    parsed = T._parse_datatype_string(to_ddl(dtype))
+    parsed = T.DataType.fromDDL(to_ddl(dtype))
     return T.StructType([T.StructField(f.name, f.dataType, nullable) for f in parsed.fields])
 
 
