@@ -222,7 +222,9 @@ def edges_agg(df: DataFrame, weight_col: str, cols_gb: Sequence[str] = ("NodeID1
 
     def side(id_col: str, cols: list[str]) -> DataFrame:
         nodes = df.select(*[F.col(c).alias(c[:-1]) for c in [id_col, *cols]]).dropDuplicates()
-        kept_ids = kept.select(F.col(id_col).alias(id_col[:-1]))
+        # distinct first: a hub node appears in many kept pairs, and the semi-join
+        # side must not carry it as a hot key
+        kept_ids = kept.select(F.col(id_col).alias(id_col[:-1])).distinct()
         return nodes.join(kept_ids, on=id_col[:-1], how="left_semi")
 
     nodes = side(id1, node_x).union(side(id2, node_y)).dropDuplicates()

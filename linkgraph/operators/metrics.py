@@ -42,7 +42,7 @@ def metric_entries(log: DataFrame, event_col: str = "event", keep: Sequence[str]
 def select_keys(df: DataFrame, keys: DataFrame | Sequence[str], key_col: str = "asset_key") -> DataFrame:
     """Rows whose key is in a key list or key table (semi-join for a table)."""
     if isinstance(keys, DataFrame):
-        return df.join(keys.select(F.col(keys.columns[0]).alias(key_col)), on=key_col, how="left_semi")
+        return df.join(keys.select(F.col(keys.columns[0]).alias(key_col)).distinct(), on=key_col, how="left_semi")
     return df.where(F.col(key_col).isin(list(keys)))
 
 
