@@ -8,6 +8,7 @@ files write into a fresh folder under the session's checkpoint directory.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -939,7 +940,10 @@ SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S'), event_type, 'k', CAST(json_e
 FROM events WHERE contains(event_type, 'i')
 """)
 def q_metric_events(spark, sf):
-    log = _event_log(spark, sf)
+    # the log is read back as a catalog table, as a job reads its event-log table
+    view = f"event_logs_{uuid.uuid4().hex[:8]}"
+    _event_log(spark, sf).createOrReplaceTempView(view)
+    log = S.read_table(spark, view)
     keys = R.distinct_keys(log, "asset_key", contains="i")
     selected = M.select_keys(log, keys, "asset_key")
     return M.metric_entries(selected, "event", keep=["event_id"])
