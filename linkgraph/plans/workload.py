@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkgraph.functions import expressions as X
 from linkgraph.operators import columns as C
 from linkgraph.operators import filters as Fl
 from linkgraph.operators import graph as G

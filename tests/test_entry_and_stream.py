@@ -1,8 +1,4 @@
-import sys
-import time
-
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from linkgraph.operators import columns as C
