@@ -1,0 +1,34 @@
+"""The configured-job example of the README, on a tiny lineup table."""
+
+from linkgraph.operators import columns as C
+from linkgraph.operators import filters as Fl
+from linkgraph.operators import graph as G
+from linkgraph.session import scratch_path
+from linkgraph.sources import readers, sinks
+from tests.conftest import rows
+
+
+def test_configured_shared_key_job(spark):
+    base = scratch_path(spark, "t-readme")
+    data = [(1, "Ann", "IT", 10, 100, "2020-01-01"), (2, "Bob", "FR", 10, 100, "2020-01-01"),
+            (3, "Cid", None, 10, 100, "2020-01-01"), (1, "Ann", "IT", 10, 101, "2020-01-08"),
+            (2, "Bob", "FR", 10, 101, "2020-01-08"), (4, None, "ES", None, 101, "2020-01-08")]
+    spark.createDataFrame(data, "player_id int, player_name string, country string, team_id int, match_id int, "
+                                "match_date string").write.options(sep="|", header="true").csv(f"{base}/lineups.csv")
+    raw = readers.read_file(spark, f"{base}/lineups.csv", fmt="csv",
+                            options={**readers.PIPE_CSV_OPTIONS, "inferSchema": "true"})
+    detail = (raw
+              .transform(C.use_cols, ["player_id", "player_name", "country", "team_id", "match_id", "match_date"])
+              .transform(Fl.dropna, subset=["player_id", "team_id", "match_id"])
+              .transform(C.add_literal, "Label", "Player")
+              .transform(C.rename_cols, {"player_name": "NodeName", "player_id": "NodeID"})
+              .transform(C.concat_cols, "EdgeID", ["team_id", "match_id"], "_"))
+    pairs = G.edges_from_shared_key(detail, "EdgeID", "NodeID", node_att=["NodeName", "Label", "country"])
+    graph = G.edges_agg(pairs, weight_col="match_id", node_att=["NodeName", "Label"], min_edges=1)
+    got = rows(graph.edges.select("NodeID1", "NodeID2", "edge_weight", "EdgeID_att", "country1_att", "country2_att"))
+    assert got == [(2, 1, 2, "[10_100, 10_101]", "[FR]", "[IT]"), (3, 1, 1, "[10_100]", "[]", "[IT]"),
+                   (3, 2, 1, "[10_100]", "[]", "[FR]")]
+    assert rows(graph.nodes) == [(1, "Ann", "Player"), (2, "Bob", "Player"), (3, "Cid", "Player")]
+    entry = sinks.write_edges(graph.edges, base, "played_together")
+    assert spark.read.text(entry["header"]).first().value.startswith("NodeID1:START_ID|NodeID2:END_ID|edge_weight|")
+    assert [w["name"] for w in sinks.write_nodes(graph.nodes, base)] == ["Player"]
