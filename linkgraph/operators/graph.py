@@ -170,8 +170,14 @@ def edge_aggregates(df: DataFrame, weight_col: str, att_cols: Sequence[str],
     aggs += [X.collect_set_string(c, _injective_to_string(types[c])).alias(f"{c}{ATT_SUFFIX}")
              for c in att_cols]
     if col_date:
-        d = F.col(col_date).cast("string")
-        aggs += [F.min(d).alias(f"{col_date}_min"), F.max(d).alias(f"{col_date}_max")]
+        if isinstance(types[col_date], (T.DateType, T.TimestampNTZType, T.StringType)):
+            # ISO text sorts like the value: take min/max on the compact value, render after
+            d = F.col(col_date)
+            aggs += [F.min(d).cast("string").alias(f"{col_date}_min"),
+                     F.max(d).cast("string").alias(f"{col_date}_max")]
+        else:
+            d = F.col(col_date).cast("string")
+            aggs += [F.min(d).alias(f"{col_date}_min"), F.max(d).alias(f"{col_date}_max")]
     return aggs
 
 
