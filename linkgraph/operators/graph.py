@@ -54,27 +54,37 @@ _SPLITS = "__splits__"
 def hot_key_splits(df: DataFrame, key: str, spread_col: str | None = None, target_parts: int | None = None,
                    fraction: float = SKEW_SAMPLE_FRACTION, min_hits: int = SKEW_MIN_SAMPLE_HITS,
                    max_splits: int = SKEW_MAX_SPLITS) -> DataFrame:
-    """Keys holding more than one partition's share of the rows, with the number of
-    sub-groups to cut each into: ``(key, __splits__)``.
-
-    Found on a sample used only to *detect* hot keys (every row still goes to the
-    result).  The sample is chosen by a hash of the row content (``key`` and
-    ``spread_col``), not at random: every evaluation -- both join sides, or a
-    recomputation after a lost executor -- sees the same rows whatever the
-    partitioning, so both sides always agree on a key's split count.  A key is hot
-    when ``splits = ceil(share * target_parts) >= 2``, so at most ``target_parts``
-    keys qualify: the table has a proven size bound and may be broadcast.  The
-    sample total is a scalar subquery (no driver action).
+    """Keys whose self-join work is more than one partition's share, with the number
+    of sub-groups to cut each into: ``(key, __splits__)``.
+
+    A key with ``k`` rows yields about ``k^2`` pairs, so hotness is measured in pair
+    work, not rows: ``splits = ceil(k^2 * target_parts / W)`` with ``W = sum k^2``
+    over all keys, and a key is hot when ``splits >= 2``.  ``k`` and ``W`` are
+    estimated from a sample used only to *detect* hot keys (every row still goes to
+    the result); ``W`` uses the unbiased estimate ``sum (h^2 - h(1-f)) / f^2`` of
+    the sampled hit counts ``h``, as a scalar subquery (no driver action).  The
+    sample is chosen by a hash of the row content (``key`` and ``spread_col``), not
+    at random: every evaluation -- both join sides, or a recomputation after a
+    lost executor -- sees the same rows whatever the partitioning, so both sides
+    always agree on a key's split count.
+
+    At most ``target_parts`` keys are returned (the largest): the table has a
+    proven size bound and may be broadcast; any other key takes the unsplit path,
+    which is just as exact.
     """
     parts = target_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(1, round(1.0 / fraction))
+    f = 1.0 / buckets
     content = F.xxhash64(F.col(key), F.col(spread_col)) if spread_col else F.xxhash64(*[F.col(c) for c in df.columns])
     sample = df.where(F.col(key).isNotNull() & (F.pmod(content, F.lit(buckets)) == 0)).select(key)
-    total = sample.agg(F.count(F.lit(1))).scalar()
-    counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("__hits__"))
-    splits = F.ceil(F.col("__hits__") * F.lit(parts) / total)
-    return (counts.where((F.col("__hits__") >= F.lit(min_hits)) & (splits >= F.lit(2)))
-                  .select(key, F.least(splits, F.lit(max_splits)).cast("int").alias(_SPLITS)))
+    counts = sample.groupBy(key).agg(F.count(F.lit(1)).cast("double").alias("__hits__"))
+    hits = F.col("__hits__")
+    work_total = counts.agg(F.sum((hits * hits - hits * F.lit(1.0 - f)) / F.lit(f * f))).scalar()
+    rows_est = hits / F.lit(f)
+    splits = F.ceil(rows_est * rows_est * F.lit(parts) / work_total)
+    hot = (counts.where((hits >= F.lit(min_hits)) & (splits >= F.lit(2)))
+                 .select(key, hits, F.least(splits, F.lit(max_splits), F.ceil(rows_est)).cast("int").alias(_SPLITS)))
+    return hot.orderBy(F.desc("__hits__"), F.col(key)).limit(parts).select(key, _SPLITS)
 
 
 def edges_from_shared_key(df: DataFrame, col_edges: str = "EdgeID", col_nodeid: str = "NodeID",
