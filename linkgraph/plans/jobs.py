@@ -143,11 +143,16 @@ def graph_summary(job: GraphJob) -> DataFrame:
 
 
 def export_graph(job: GraphJob, base_dir: str) -> list[dict[str, str]]:
-    """Write every relationship and every node label (one distributed write each)."""
+    """Write every relationship and every node label.
+
+    The merged node table is written once to the checkpoint folder and read back,
+    so the per-label profile and writes scan it (label filter pushed to the scan)
+    instead of re-deriving the nodes of every relationship once per label.
+    """
     written = []
     for name, g in job.relationships.items():
         written.append(sinks.write_edges(g.edges, base_dir, name))
-    written += sinks.write_nodes(job.nodes, base_dir)
+    written += sinks.write_nodes(cut_lineage(job.nodes, "graph-nodes"), base_dir)
     return written
 
 
