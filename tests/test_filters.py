@@ -54,3 +54,19 @@ def test_peek_and_sample_keys(spark):
     assert rows(Fl.sample_keys(df, "k", 2).select("k").distinct()) == [(0,), (1,)]
     assert Fl.sample_keys(df, "k", 2).count() == 6
     assert [tuple(r) for r in Fl.peek(df, 2, order_by=[F.col("k").desc(), "v"]).collect()] == [(4, 0), (4, 1)]
+
+
+def test_show_prints_first_rows(spark, capsys):
+    df = spark.createDataFrame([("x" * 30, i) for i in range(8)], "s string, i int")
+    Fl.show(df, 2)
+    out = capsys.readouterr().out
+    assert out.count("|") > 0 and "only showing top 2 rows" in out
+    assert "x" * 21 not in out  # values cut at 20 characters
+
+
+def test_cache_marks_for_reuse(spark):
+    from linkgraph.session import cache
+    df = cache(spark.range(5))
+    assert df.storageLevel.useMemory and df.storageLevel.useDisk
+    assert df.count() == 5
+    df.unpersist()
