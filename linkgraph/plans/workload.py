@@ -686,28 +686,29 @@ def q_parse_epoch(spark, sf):
 
 # ====================================================== sources/sinks ======
 
-@register("read_csv_schema", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@register("read_csv_schema", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def q_read_csv_schema(spark, sf):
     base = scratch_path(spark, "read_csv_schema")
-    K.save_file(table(spark, sf, "nation"), base, "nation", fmt="csv",
+    K.save_file(table(spark, sf, "customer"), base, "customer", fmt="csv",
                 options={"header": "true", "sep": "|"})
-    return S.read_file(spark, f"{base}/nation", dtype=[["n_nationkey", "int"], ["n_name", "string"],
-                                                        ["n_regionkey", "int"]],
+    return S.read_file(spark, f"{base}/customer",
+                       dtype=[["c_custkey", "bigint"], ["c_name", "string"], ["c_nationkey", "int"],
+                              ["c_acctbal", "double"], ["c_mktsegment", "string"]],
                        fmt="csv", options=S.PIPE_CSV_OPTIONS)
 
 
 @register("read_by_prefix", """
-SELECT 'Nation' AS kind, count(*) AS n_rows, count(DISTINCT n_name) AS n_names FROM nation
-UNION ALL SELECT 'Region', count(*), count(DISTINCT r_name) FROM region
+SELECT 'Customer' AS kind, count(*) AS n_rows, count(DISTINCT c_name) AS n_names FROM customer
+UNION ALL SELECT 'Supplier', count(*), count(DISTINCT s_name) FROM supplier
 """)
 def q_read_by_prefix(spark, sf):
     base = scratch_path(spark, "read_by_prefix")
-    n, r = tables(spark, sf, "nation", "region")
-    n.write.parquet(f"{base}/NationDoc_2024")
-    r.write.parquet(f"{base}/RegionDoc_2024")
-    typed = S.read_by_prefix(spark, base, ["Nation", "Region"])
+    c, s = tables(spark, sf, "customer", "supplier")
+    c.write.parquet(f"{base}/CustomerDoc_2024")
+    s.write.parquet(f"{base}/SupplierDoc_2024")
+    typed = S.read_by_prefix(spark, base, ["Customer", "Supplier"])
     return typed.groupBy("kind").agg(F.count(F.lit(1)).alias("n_rows"),
-                                     F.count_distinct(F.coalesce("n_name", "r_name")).alias("n_names"))
+                                     F.count_distinct(F.coalesce("c_name", "s_name")).alias("n_names"))
 
 
 def _directed_export(spark, sf):
