@@ -61,17 +61,33 @@ def latest_per_bucket(df: DataFrame, bucket_col: str, key_col: str, value_col: s
 
 
 def pct_change(series: DataFrame, key_col: str, order_col: str, value_col: str,
-               out_col: str = "pct_change") -> DataFrame:
+               out_col: str = "pct_change", chunk: Column | None = None) -> DataFrame:
     """``value / previous value - 1`` per key in ``order_col`` order; first row and
     division by zero give NULL.
 
-    The window is partitioned by metric key over an already bucketed series, so a
-    partition holds one row per time bucket of one metric -- bounded by the time
-    range, not by the event volume.
+    Without ``chunk`` the lag runs over one window per key (a key's whole bucketed
+    series in one partition: bounded by time span / bucket size, not by event
+    volume).  With ``chunk`` -- a column that orders like ``order_col``, e.g. the
+    month of a day -- no partition holds more than one chunk of one key: the lag
+    runs inside each (key, chunk), and the first row of a chunk takes the last
+    value of the key's previous chunk, found over a one-row-per-chunk summary.
     """
-    w = Window.partitionBy(key_col).orderBy(order_col)
-    prev = F.lag(value_col).over(w)
-    return series.withColumn(out_col, F.try_divide(F.col(value_col), prev) - F.lit(1.0))
+    if chunk is None:
+        w = Window.partitionBy(key_col).orderBy(order_col)
+        return series.withColumn(out_col, F.try_divide(F.col(value_col), F.lag(value_col).over(w)) - F.lit(1.0))
+    with_chunk = series.withColumn("__chunk__", chunk)
+    w = Window.partitionBy(key_col, "__chunk__").orderBy(order_col)
+    rows = with_chunk.select(*series.columns, "__chunk__",
+                             F.lag(value_col).over(w).alias("__prev__"),
+                             (F.row_number().over(w) == 1).alias("__first__"))
+    lasts = (with_chunk.groupBy(key_col, "__chunk__")
+                       .agg(F.max_by(F.col(value_col), F.col(order_col)).alias("__last__")))
+    prev_last = lasts.select(key_col, "__chunk__",
+                             F.lag("__last__").over(Window.partitionBy(key_col).orderBy("__chunk__"))
+                             .alias("__prev_last__"))
+    prev = F.when(F.col("__first__"), F.col("__prev_last__")).otherwise(F.col("__prev__"))
+    return (rows.join(prev_last, on=[key_col, "__chunk__"], how="left")
+                .select(*series.columns, (F.try_divide(F.col(value_col), prev) - F.lit(1.0)).alias(out_col)))
 
 
 def pivot_keys(series: DataFrame, row_col: str, key_col: str, value_col: str,

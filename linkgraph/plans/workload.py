@@ -979,4 +979,5 @@ y AS (SELECT *, lag(value) OVER (PARTITION BY asset_key ORDER BY day) AS prev FR
 SELECT day, asset_key, value, CASE WHEN prev = 0 THEN NULL ELSE value / prev - 1.0 END AS pct_change FROM y
 """)
 def q_metric_pct_change(spark, sf):
-    return M.pct_change(_daily_series(spark, sf), "asset_key", "day", "value")
+    # month chunks: no window partition holds more than one month of one metric
+    return M.pct_change(_daily_series(spark, sf), "asset_key", "day", "value", chunk=F.substring("day", 1, 7))

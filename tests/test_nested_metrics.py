@@ -63,3 +63,14 @@ def test_metric_entries_pct_change_and_pivot(spark):
     keys = spark.createDataFrame([("a",)], "k string")
     assert M.select_keys(ent, keys).select("asset_key").distinct().collect()[0][0] == "a"
     assert ent.select(F.max("value")).first()[0] == 30.0
+
+
+def test_pct_change_chunked_equals_single_window(spark):
+    import random
+    rnd = random.Random(3)
+    days = [f"2024-{m:02d}-{d:02d}" for m in (1, 2, 3) for d in (1, 9, 17, 28)]
+    data = [(k, day, float(rnd.choice([0, 1, 2, 5, 10]))) for k in ("a", "b") for day in days if rnd.random() < 0.8]
+    s = spark.createDataFrame(data, "k string, day string, v double")
+    one = {(r.k, r.day): r.pct_change for r in M.pct_change(s, "k", "day", "v").collect()}
+    two = {(r.k, r.day): r.pct_change for r in M.pct_change(s, "k", "day", "v", chunk=F.substring("day", 1, 7)).collect()}
+    assert one == two and len(one) == len(data)
