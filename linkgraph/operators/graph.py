@@ -107,19 +107,27 @@ def edges_from_shared_key(df: DataFrame, col_edges: str = "EdgeID", col_nodeid:
     size), so a hot key is cut into sub-groups instead of landing in one task:
     its left rows get a salt from their node ID, its right rows are copied once
     per salt; every (left, right) pair still meets exactly once.  Nothing is
-    capped or sampled away.  ``skew_options`` are passed to ``hot_key_splits``.
+    capped or sampled away.  Detection runs once per call as one small job (the
+    only eager step); with no hot key the plan is the plain partitioned self-join.
+    ``skew_options`` are passed to ``hot_key_splits``.
     """
     atts = _listify(node_att)
     valid = F.col(col_edges).isNotNull() & F.col(col_nodeid).isNotNull()
     base = df.where(valid)
+    hot_rows = []
     if split_hot_keys:
-        hot = F.broadcast(hot_key_splits(base, col_edges, spread_col=col_nodeid,
-                                         **dict(skew_options or {})))  # <= target_parts rows
-        base = base.join(hot, on=col_edges, how="left").withColumn(_SPLITS, F.coalesce(F.col(_SPLITS), F.lit(1)))
+        # one small job; at most target_parts rows (proven bound) come back, and both
+        # join sides then use the very same list
+        detected = hot_key_splits(base, col_edges, spread_col=col_nodeid, **dict(skew_options or {}))
+        hot_rows = detected.collect()
+    if hot_rows:
+        hot = df.sparkSession.createDataFrame(hot_rows, detected.schema)
+        base = (base.join(F.broadcast(hot), on=col_edges, how="left")
+                    .withColumn(_SPLITS, F.coalesce(F.col(_SPLITS), F.lit(1))))
         left_salt = F.pmod(F.xxhash64(F.col(col_nodeid)), F.col(_SPLITS)).cast("int")
         right_salt = F.explode(F.sequence(F.lit(0), F.col(_SPLITS) - 1))
     else:
-        base = base.withColumn(_SPLITS, F.lit(1))
+        # no hot key: the plain self-join partitioned on the key
         left_salt = F.lit(0)
         right_salt = F.lit(0)
     left = (base.select(*df.columns, left_salt.alias(_SALT))
