@@ -124,21 +124,21 @@ def edges_from_shared_key(df: DataFrame, col_edges: str = "EdgeID", col_nodeid:
         hot = df.sparkSession.createDataFrame(hot_rows, detected.schema)
         base = (base.join(F.broadcast(hot), on=col_edges, how="left")
                     .withColumn(_SPLITS, F.coalesce(F.col(_SPLITS), F.lit(1))))
-        left_salt = F.pmod(F.xxhash64(F.col(col_nodeid)), F.col(_SPLITS)).cast("int")
-        right_salt = F.explode(F.sequence(F.lit(0), F.col(_SPLITS) - 1))
+        left_extra = [F.pmod(F.xxhash64(F.col(col_nodeid)), F.col(_SPLITS)).cast("int").alias(_SALT)]
+        right_extra = [F.explode(F.sequence(F.lit(0), F.col(_SPLITS) - 1)).alias(_SALT)]
+        keys = [col_edges, _SALT]
     else:
-        # no hot key: the plain self-join partitioned on the key
-        left_salt = F.lit(0)
-        right_salt = F.lit(0)
-    left = (base.select(*df.columns, left_salt.alias(_SALT))
-                .repartition(col_edges, _SALT))
+        # no hot key: the plain self-join partitioned on the key (no salt column, so
+        # the partitioning is exactly what the distincts and the join need)
+        left_extra, right_extra, keys = [], [], [col_edges]
+    left = base.select(*df.columns, *left_extra).repartition(*keys)
     if distinct:
         left = left.dropDuplicates()
     right = (base.select(F.col(col_edges), F.col(col_nodeid).alias("NodeID2"),
-                         *[F.col(a).alias(f"{a}2") for a in atts], right_salt.alias(_SALT))
-                 .repartition(col_edges, _SALT)
+                         *[F.col(a).alias(f"{a}2") for a in atts], *right_extra)
+                 .repartition(*keys)
                  .dropDuplicates())
-    pairs = (left.join(right, on=[col_edges, _SALT], how="inner")
+    pairs = (left.join(right, on=keys, how="inner")
                  .where(F.col(col_nodeid) > F.col("NodeID2"))
                  .drop(_SALT))
     renames = {col_nodeid: "NodeID1", **{a: f"{a}1" for a in atts}}
