@@ -60,3 +60,17 @@ def test_export_headers_match_rows(spark, graph):
     manifest = {(r.kind, r.name): r.row_count for r in K.import_manifest(spark, written, base).collect()}
     for k in ("supplies", "bought_with", "based_in"):
         assert summary[("relationship", k)] == manifest[("relationship", k)]
+
+
+def test_export_shapes_match_the_original_samples(spark, graph):
+    """Header shapes of the original's sample outputs: membership edges
+    `NodeID1:START_ID|NodeID2:END_ID|edge_weight|EdgeID_att` with weight always 1,
+    node files `:LABEL|<LABEL>:ID|NodeName`."""
+    base = scratch_path(spark, "t-shapes")
+    written = {w["name"]: w for w in J.export_graph(graph, base)}
+    header = lambda name: spark.read.text(written[name]["header"]).first().value
+    assert header("based_in") == "NodeID1:START_ID|NodeID2:END_ID|edge_weight|EdgeID_att"
+    assert {r.edge_weight for r in K.read_export(spark, written["based_in"]).collect()} == {"1"}
+    assert header("Nation") == ":LABEL|NATION:ID|NodeName"
+    assert header("Supplier") == ":LABEL|SUPPLIER:ID|NodeName"
+    assert header("Part") == ":LABEL|PART:ID"  # part nodes carry no name: the all-NULL column is dropped
