@@ -216,7 +216,8 @@ def endpoint_nodes(df: DataFrame, node_attributes: Mapping[str, Sequence[str] |
 def edges_agg(df: DataFrame, weight_col: str, cols_gb: Sequence[str] = ("NodeID1", "NodeID2"),
               col_date: str | None = None, min_edges: int = 1,
               node_att: Sequence[str] | None = None,
-              att_cols: Sequence[str] | None = None) -> Graph:
+              att_cols: Sequence[str] | None = None,
+              node_lookup: Mapping[str, DataFrame] | None = None) -> Graph:
     """Weighted edges plus the node table of their endpoints.
 
     Edges: ``groupBy(cols_gb)`` with ``edge_weight`` = distinct count of
@@ -227,6 +228,11 @@ def edges_agg(df: DataFrame, weight_col: str, cols_gb: Sequence[str] = ("NodeID1
     Nodes: for each endpoint side, the distinct (ID, attributes) rows whose ID
     is that side's endpoint of a kept edge (semi-join on that side only, so IDs
     shared by two labels do not leak across), unioned and de-duplicated.
+
+    ``node_lookup`` ({endpoint id column: table with ``NodeID`` and the side's
+    attributes}) is for sides whose attributes come from a dimension table keyed
+    by the node ID: the side's nodes are then its kept endpoint IDs left-joined to
+    that table -- the same rows, without reading the event table again.
     """
     id1, id2 = _listify(cols_gb)
     atts = _listify(node_att)
@@ -245,10 +251,14 @@ def edges_agg(df: DataFrame, weight_col: str, cols_gb: Sequence[str] = ("NodeID1
               .where(F.col("__w__") >= F.lit(min_edges)))
 
     def side(id_col: str, cols: list[str]) -> DataFrame:
-        nodes = df.select(*[F.col(c).alias(c[:-1]) for c in [id_col, *cols]]).dropDuplicates()
-        # distinct first: a hub node appears in many kept pairs, and the semi-join
+        # distinct first: a hub node appears in many kept pairs, and the join
         # side must not carry it as a hot key
         kept_ids = kept.select(F.col(id_col).alias(id_col[:-1])).distinct()
+        if node_lookup and id_col in node_lookup:
+            lookup = node_lookup[id_col]
+            out = kept_ids.join(lookup, on=id_col[:-1], how="left")
+            return out.select(*[c[:-1] for c in [id_col, *cols]]).dropDuplicates()
+        nodes = df.select(*[F.col(c).alias(c[:-1]) for c in [id_col, *cols]]).dropDuplicates()
         return nodes.join(kept_ids, on=id_col[:-1], how="left_semi")
 
     nodes = side(id1, node_x).union(side(id2, node_y)).dropDuplicates()

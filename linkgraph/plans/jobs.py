@@ -54,23 +54,26 @@ def directed_edges(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame,
     """Supplier -> customer edges, weight = distinct orders.
 
     read -> dropna -> drop_cols -> rename -> astype -> labels -> edges_agg.
+    Node names come from the supplier and customer tables keyed by the node ID,
+    so the node table joins the kept endpoint IDs to those tables instead of
+    carrying names through the (large) order-line table.
     """
-    events = (order_events(lineitem, orders)
-              .join(supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), on="l_suppkey", how="left")
-              .join(customer.select(F.col("c_custkey").alias("o_custkey"), "c_name"), on="o_custkey", how="left"))
-    detail = (events
+    detail = (order_events(lineitem, orders)
               .transform(Fl.dropna, subset=["o_custkey", "l_suppkey"])
               .transform(C.drop_cols, ["l_linenumber", "pass_type_unused"])
-              .transform(C.rename_cols, {"l_suppkey": "NodeID1", "s_name": "NodeName1",
-                                         "o_custkey": "NodeID2", "c_name": "NodeName2"})
+              .transform(C.rename_cols, {"l_suppkey": "NodeID1", "o_custkey": "NodeID2"})
               .transform(C.astype, "bigint", ["NodeID1", "NodeID2"])
               .withColumn("order_date", day_text("o_orderdate"))
-              .drop("o_orderdate")
-              .transform(C.add_literal, "Label2", LABEL_CUSTOMER)
-              .transform(C.add_literal, "Label1", LABEL_SUPPLIER))
+              .drop("o_orderdate"))
     detail = _maybe_cut(detail, checkpoint)
+    lookups = {
+        "NodeID1": supplier.select(F.col("s_suppkey").cast("bigint").alias("NodeID"),
+                                   F.col("s_name").alias("NodeName"), F.lit(LABEL_SUPPLIER).alias("Label")),
+        "NodeID2": customer.select(F.col("c_custkey").cast("bigint").alias("NodeID"),
+                                   F.col("c_name").alias("NodeName"), F.lit(LABEL_CUSTOMER).alias("Label")),
+    }
     return G.edges_agg(detail, weight_col="l_orderkey", col_date="order_date", min_edges=min_edges,
-                       node_att=list(NODE_ATT))
+                       node_att=list(NODE_ATT), node_lookup=lookups)
 
 
 def shared_key_detail(lineitem: DataFrame) -> DataFrame:

@@ -104,3 +104,21 @@ def test_endpoint_checks(spark):
     nodes = spark.createDataFrame([(1, "S"), (10, "C"), (11, "S")], "NodeID int, Label string")
     assert rows(G.edges_with_endpoints(edges, nodes, "S", "C")) == [(1, 10, 1)]
     assert rows(G.dangling_edges(edges, nodes, "S", "C")) == [(1, 11, 1, False, True), (2, 10, 1, True, False)]
+
+
+def test_node_lookup_gives_the_same_nodes(spark):
+    ev = spark.createDataFrame([(1, 10, "e1"), (1, 10, "e2"), (2, 10, "e3"), (3, 11, "e4"), (3, 11, "e5"), (9, 12, "e6")],
+                               "NodeID1 int, NodeID2 int, e string")
+    sup = spark.createDataFrame([(1, "S1"), (2, "S2"), (3, "S3"), (3, "S3b")], "NodeID int, NodeName string")
+    cus = spark.createDataFrame([(10, "C10"), (11, "C11")], "NodeID int, NodeName string")
+    sup_l = sup.withColumn("Label", F.lit("S"))
+    cus_l = cus.withColumn("Label", F.lit("C"))
+    detail = (ev.join(sup.withColumnsRenamed({"NodeID": "NodeID1", "NodeName": "NodeName1"}), "NodeID1", "left")
+                .join(cus.withColumnsRenamed({"NodeID": "NodeID2", "NodeName": "NodeName2"}), "NodeID2", "left")
+                .withColumns({"Label1": F.lit("S"), "Label2": F.lit("C")}))
+    plain = G.edges_agg(detail, weight_col="e", min_edges=2, node_att=["NodeName", "Label"], att_cols=[])
+    looked = G.edges_agg(ev, weight_col="e", min_edges=2, node_att=["NodeName", "Label"], att_cols=[],
+                         node_lookup={"NodeID1": sup_l, "NodeID2": cus_l})
+    assert rows(looked.nodes) == rows(plain.nodes) == [(1, "S1", "S"), (10, "C10", "C"), (11, "C11", "C"),
+                                                      (3, "S3", "S"), (3, "S3b", "S")]
+    assert rows(looked.edges) == rows(plain.edges)
