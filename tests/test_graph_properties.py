@@ -40,3 +40,14 @@ def test_edges_agg_property(spark, data, min_edges):
         if len(ms) >= min_edges:
             expect[(a, b)] = (len(ms), "[" + ", ".join(ms) + "]", "[" + ", ".join(ds) + "]", ds[0], ds[-1])
     assert got == expect
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 400)), min_size=1, max_size=12), st.integers(1, 6))
+def test_hot_key_list_is_bounded(spark, groups, parts):
+    """Whatever the key sizes, at most `parts` keys come back, each with 2..max splits."""
+    data = [(f"k{key}", node) for key, size in groups for node in range(size)]
+    df = spark.createDataFrame(data, "EdgeID string, NodeID int")
+    hot = G.hot_key_splits(df, "EdgeID", "NodeID", target_parts=parts, fraction=1.0, min_hits=1, max_splits=50).collect()
+    assert len(hot) <= parts
+    assert all(2 <= r["__splits__"] <= 50 for r in hot)
