@@ -98,8 +98,8 @@ def edges_from_shared_key(df: DataFrame, col_edges: str = "EdgeID", col_nodeid:
     (suffix ``2``).  ``distinct=False`` skips the de-duplication of the left
     side, for callers that aggregate duplicate-insensitively afterwards.
 
-    Plan: each side is hash-partitioned once on (key, salt) and de-duplicated
-    locally, so the join needs no further exchange; a join of two distinct
+    Plan: each side is hash-partitioned once on the key (on (key, salt) when hot
+    keys are split) and de-duplicated locally, so the join needs no further exchange; a join of two distinct
     inputs whose output carries every input column is already distinct, so no
     distinct over the (much larger) pair table is needed.
 
