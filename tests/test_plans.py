@@ -26,3 +26,22 @@ def test_filter_reaches_the_scan(spark):
     plan = plan_text(QUERIES["filter_query"](spark, SF_SMALL))
     # (Spark truncates long plan strings; the pushed predicates start the list)
     assert "PushedFilters: [IsNotNull(o_totalprice), IsNotNull(o_orderstatus), GreaterThan(o_totalprice,100000.0)" in plan
+
+
+def test_flagship_shuffles_once_per_join_side_and_once_to_aggregate(spark):
+    """Large-input plan of the flagship (no automatic broadcast): the two join sides are
+    each shuffled once on the key, the edge aggregate once -- nothing else."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plan = plan_text(QUERIES["job_shared_key_edges"](spark, SF_SMALL))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 3, plan
+    assert "SortMergeJoin" in plan
