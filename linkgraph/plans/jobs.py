@@ -94,8 +94,12 @@ def shared_key_edges(lineitem: DataFrame, min_edges: int = 1, checkpoint: bool =
     detail = _maybe_cut(shared_key_detail(lineitem), checkpoint)
     # the aggregate below ignores duplicates, so the left side skips its distinct
     pairs = G.edges_from_shared_key(detail, "EdgeID", "NodeID", node_att=["Label"], distinct=False)
+    # every part carries the same literal label, so a node's attributes do not depend on
+    # the row it came from: look them up by ID instead of re-reading the pair table
+    parts = detail.select("NodeID", "Label").dropDuplicates()
     return G.edges_agg(pairs, weight_col="EdgeID", col_date="ship", min_edges=min_edges,
-                       node_att=["Label"], att_cols=["EdgeID", "l_linestatus"])
+                       node_att=["Label"], att_cols=["EdgeID", "l_linestatus"],
+                       node_lookup={"NodeID1": parts, "NodeID2": parts})
 
 
 def bipartite_edges(supplier: DataFrame, nation: DataFrame, checkpoint: bool = False) -> G.Graph:
