@@ -5,13 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linkgraph.llm import mixing
+from linkgraph.llm import mixing, winnowing
 from linkgraph.llm.common import read
 
 MIX_WEIGHTS = (5, 2, 1)
 
 
+def op1_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every text, of its edited text, and their likeness."""
+    found = winnowing.edited_comparison(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", winnowing.digest(F.col("prints")).alias("fingerprint"),
+                        winnowing.digest(F.col("edited_prints")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix of all documents whose sources weigh 5, 2, 1, repeating."""
     return mixing.mix(read(spark, sf_dir, "documents"), MIX_WEIGHTS).select(
@@ -19,6 +27,7 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_winnow": op1_winnow,
     "op5_mix_sources": op5_mix_sources,
 }
 
