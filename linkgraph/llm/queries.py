@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkgraph.llm import mixing, winnowing
+from linkgraph.llm import language, mixing, simhash, winnowing
 from linkgraph.llm.common import read
 
 MIX_WEIGHTS = (5, 2, 1)
@@ -15,9 +15,27 @@ MIX_WEIGHTS = (5, 2, 1)
 
 def op1_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every text, of its edited text, and their likeness."""
-    found = winnowing.edited_comparison(read(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_chars", "edited_sha256", winnowing.digest(F.col("prints")).alias("fingerprint"),
-                        winnowing.digest(F.col("edited_prints")).alias("edited_fingerprint"), "near_edited", "near_next")
+    return winnowing.edited_comparison(read(spark, sf_dir, "documents"))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and component of every document."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def language_model(docs: DataFrame) -> dict:
+    """The language model learned from the documents that are not held out."""
+    kept = docs.where(F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4, F.lit(2)) != 2)
+    return language.load(language.train(kept))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; ids with crc32 mod 4 = 2 are held out from learning."""
+    docs = read(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language_model(docs))
+    return found.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score")
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +46,8 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnow": op1_winnow,
+    "op3_simhash": op3_simhash,
+    "op4_language": op4_language,
     "op5_mix_sources": op5_mix_sources,
 }
 
