@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkgraph.llm import language, mixing, simhash, winnowing
+from linkgraph.llm import bpe, language, mixing, privacy, simhash, winnowing
 from linkgraph.llm.common import read
 
 MIX_WEIGHTS = (5, 2, 1)
 
 
+def vocabulary() -> str:
+    """Path of the byte-level BPE vocabulary of 50,257 tokens, as installed on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every text, of its edited text, and their likeness."""
     return winnowing.edited_comparison(read(spark, sf_dir, "documents"))
@@ -44,11 +50,24 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and their decoded text, as digests."""
+    return bpe.encode_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary()).select(
+        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with format-preserving pseudonyms for personal data."""
+    return privacy.pseudonymize(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnow": op1_winnow,
     "op3_simhash": op3_simhash,
     "op4_language": op4_language,
     "op5_mix_sources": op5_mix_sources,
+    "op8_bpe": op8_bpe,
+    "op10_pseudonyms": op10_pseudonyms,
 }
 
 ORACLE: dict[str, str] = {}
