@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkgraph.llm import bpe, language, mixing, privacy, simhash, winnowing
+from linkgraph.llm import bpe, language, mixing, privacy, quality, simhash, winnowing
 from linkgraph.llm.common import read
 
 MIX_WEIGHTS = (5, 2, 1)
@@ -50,6 +50,12 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and perplexity verdict of every document."""
+    return quality.judge(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_ppl")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and their decoded text, as digests."""
     return bpe.encode_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary()).select(
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_language": op4_language,
     "op5_mix_sources": op5_mix_sources,
+    "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
     "op10_pseudonyms": op10_pseudonyms,
 }
