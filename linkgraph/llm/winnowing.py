@@ -57,8 +57,8 @@ def fingerprint(text: Column, k: int = K, w: int = W) -> Column:
 
 
 def hashes(prints: Column) -> Column:
-    """The set of chosen hashes."""
-    return F.array_distinct(prints["hash"])
+    """The set of chosen hashes, by their low 32 bits (two grams of a pair of texts agree there by chance once in 2^32)."""
+    return F.array_distinct(F.transform(prints["hash"], lambda h: F.shiftright(F.shiftleft(h, 32), 32).cast("int")))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -136,7 +136,9 @@ def edited_comparison(docs: DataFrame, text: str = "text", key: str = "doc_id",
 
     The edited text has its last ``n_chars // 2`` code points replaced by the
     first as many (or all) of the next document's, in descending key order.
-    Returns (doc_id, n_chars, edited_sha256, prints, edited_prints, near_edited, near_next).
+    Returns (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    near_edited, near_next) with digests for the fingerprints; ``fingerprints``
+    has them in full.  Only text and hash set are shuffled.
 
     * null text: empty.  No words: empty fingerprint, likeness 1 to another empty one, 0 to any other.
     * null key: after all others, ordered by text.  Repeated rows follow one another.
@@ -145,13 +147,15 @@ def edited_comparison(docs: DataFrame, text: str = "text", key: str = "doc_id",
     body = F.coalesce(docs[f"`{text}`"], F.lit(""))
     base = docs.select(docs[f"`{key}`"].cast("long").alias("doc_id"), body.alias("body"), text_key(body).alias("tie"),
                        F.length(body).cast("long").alias("n_chars"), fingerprint(body, k, w).alias("prints"))
-    base = base.withColumn("hs", hashes(F.col("prints")))
+    base = base.select("doc_id", "body", "tie", "n_chars", digest(F.col("prints")).alias("fingerprint"),
+                       hashes(F.col("prints")).alias("hs"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("body", F.lit(1), F.col("n_chars").cast("int") - half),
                       F.substring("next.body", F.lit(1), half))
     out = (with_next(base, "doc_id", "tie", ["body", "hs"])
-           .select("doc_id", "n_chars", "prints", "hs", F.col("next.hs").alias("next_hs"), edited.alias("edited"))
+           .select("doc_id", "n_chars", "fingerprint", "hs", F.col("next.hs").alias("next_hs"), edited.alias("edited"))
            .withColumn("edited_prints", fingerprint(F.col("edited"), k, w)))
-    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "prints", "edited_prints",
+    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                      digest(F.col("edited_prints")).alias("edited_fingerprint"),
                       likeness(F.col("hs"), hashes(F.col("edited_prints"))).alias("near_edited"),
                       likeness(F.col("hs"), F.col("next_hs")).alias("near_next"))
