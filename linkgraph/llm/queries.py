@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkgraph.llm import bpe, language, mixing, privacy, quality, simhash, winnowing
+from linkgraph.llm import bpe, extraction, language, mixing, privacy, quality, simhash, winnowing
 from linkgraph.llm.common import read
 
 MIX_WEIGHTS = (5, 2, 1)
@@ -50,6 +50,12 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op6_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = extraction.extract_pages(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and perplexity verdict of every document."""
     return quality.judge(read(spark, sf_dir, "documents")).select(
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_language": op4_language,
     "op5_mix_sources": op5_mix_sources,
+    "op6_extract": op6_extract,
     "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
     "op10_pseudonyms": op10_pseudonyms,
