@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkgraph.llm import bpe, extraction, language, mixing, privacy, quality, simhash, winnowing
+from linkgraph.llm import bpe, extraction, language, mixing, privacy, quality, simhash, spans, winnowing
 from linkgraph.llm.common import read
 
 MIX_WEIGHTS = (5, 2, 1)
@@ -24,6 +24,11 @@ def op1_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_comparison(read(spark, sf_dir, "documents"))
 
 
+def op2_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the sentence spans that an earlier one has."""
+    return spans.dedup(read(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
@@ -75,6 +80,7 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnow": op1_winnow,
+    "op2_spans": op2_spans,
     "op3_simhash": op3_simhash,
     "op4_language": op4_language,
     "op5_mix_sources": op5_mix_sources,
