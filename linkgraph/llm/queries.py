@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkgraph.llm import bpe, extraction, language, mixing, privacy, quality, simhash, spans, winnowing
+from linkgraph.llm import bpe, extraction, language, mixing, privacy, quality, simhash, spans, urlfilter, winnowing
 from linkgraph.llm.common import read
 
 MIX_WEIGHTS = (5, 2, 1)
@@ -73,6 +73,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page capture against the list entries that were active when it was fetched."""
+    pages = read(spark, sf_dir, "pages")
+    return urlfilter.filter_captures(urlfilter.demo_captures(pages), urlfilter.demo_entries(pages))
+
+
 def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with format-preserving pseudonyms for personal data."""
     return privacy.pseudonymize(read(spark, sf_dir, "documents"))
@@ -87,7 +93,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_extract": op6_extract,
     "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
+    "op9_url_filter": op9_url_filter,
     "op10_pseudonyms": op10_pseudonyms,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_url_filter": urlfilter.ORACLE,
+}
