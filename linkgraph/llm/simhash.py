@@ -18,10 +18,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import small_batches, stash
+from linkgraph.llm.common import small_batches, stash, text_key
 from linkgraph.llm.components import components
 
 #: Words of a shingle and largest number of differing bits of a link.
@@ -54,16 +54,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row, fp as a signed 64-bit integer."""
+    """(doc_id, th, fp) of every row: a hash of its text and its fingerprint, as signed 64-bit integers."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = pa.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), fps], names=["doc_id", "fp"])
+            fps = pa.array([fingerprint(t, shingle) for t in b.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps], names=["doc_id", "th", "fp"])
 
-    return (docs.select(docs[f"`{key}`"].cast("long").alias("doc_id"), docs[f"`{text}`"].cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    body = docs[f"`{text}`"].cast("string")
+    return (docs.select(docs[f"`{key}`"].cast("long").alias("doc_id"), text_key(body).alias("th"), body.alias("text"))
+            .mapInArrow(run, "doc_id long, th long, fp long"))
 
 
 def _offsets(radius: int) -> list[tuple[int, ...]]:
@@ -130,7 +131,10 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
                     radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, component_id) of every row; component_id is the smallest doc_id reachable over links.
+    """(doc_id, th, fp, root, component_id) of every row; component_id is the smallest doc_id reachable over links.
+
+    ``root``, the component's smallest fingerprint, tells components apart where
+    ids repeat; ``th`` is a hash of the row's text.
 
     * null or wordless text: fingerprint 0, linked like any other.
     * null doc_id: the row takes part; it counts as larger than any other id, so it gives
@@ -144,8 +148,29 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     member = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     by_root = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = stash(member.join(by_root, "root").select(F.col("fp").alias("f2"), "component_id"), "simhash-components")
-    return fps.join(of_fp, F.col("fp") == F.col("f2")).select("doc_id", "fp", "component_id")
+    of_fp = stash(member.join(by_root, "root").select(F.col("fp").alias("f2"), "root", "component_id"), "simhash-components")
+    return fps.join(of_fp, F.col("fp") == F.col("f2")).select("doc_id", "th", "fp", "root", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
+                         radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` with all their columns, one for each component: the smallest id, then the smallest text hash.
+
+    Of rows equal in id and text the first by their other columns stays.  Rows
+    without an id stay only where their component has no id at all.
+    """
+    found = near_duplicates(docs, text, key, shingle, radius)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("m")
+    none = F.lit(-(1 << 63))  # stands for a null id in the join
+    keep = found.groupBy("root").agg(least).select(F.coalesce("m.doc_id", none).alias("_id"), F.col("m.th").alias("_th"))
+    body = docs[f"`{text}`"].cast("string")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+                       F.coalesce(docs[f"`{key}`"].cast("long"), none).alias("id"), text_key(body).alias("th"))
+    others = [F.col(f"row.`{c}`") for c, kind in docs.dtypes if c not in (key, text) and "map" not in kind]
+    # the window runs where the join has brought the rows
+    order = Window.partitionBy("id", "th").orderBy(*others, F.lit(1))
+    return (rows.join(keep, (F.col("id") == F.col("_id")) & (F.col("th") == F.col("_th")))
+            .withColumn("copy", F.row_number().over(order)).where("copy = 1").select("row.*"))
 
 
 def hex_digits(fp: Column) -> Column:
