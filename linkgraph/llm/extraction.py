@@ -268,6 +268,6 @@ def extract_pages(pages: DataFrame, html_column: str = "html", url: str = "url",
             yield pd.Series([extract(p, w) for p, w in zip(docs, paths, strict=True)], dtype=object)
 
     kept = [c for c in pages.columns if c != into]
-    joined = pages.join(winners, host_of(pages[f"`{url}`"]) == F.col("_host"), "left")
+    joined = pages.join(winners, host_of(pages[f"`{url}`"]) == winners["_host"], "left")
     return joined.select(*[pages[f"`{c}`"] for c in kept],
-                         run(pages[f"`{html_column}`"].cast("string"), F.col("_winner")).alias(into))
+                         run(pages[f"`{html_column}`"].cast("string"), winners["_winner"]).alias(into))

@@ -78,11 +78,13 @@ def load(counts: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRA
     at = {lang: i for i, lang in enumerate(langs)}
     for lang, kind, item, n in zip(top["lang"], top["kind"], top["item"], top["n"], strict=True):
         best[kind].setdefault(item, [0] * len(langs))[at[lang]] = n
-    # add-one smoothing, per language and kind
-    floor = {k: [math.log(1 / (total.get((lang, k), 0) + len(best[k]) + 1)) for lang in langs] for k in best}
-    tables = {k: {item: np.array([math.log(c + 1) + f for c, f in zip(row, floor[k], strict=True)])
+    # log frequency; what a language lacks counts as half an occurrence in the language with most, for all alike
+    most = {k: max([total.get((lang, k), 0) for lang in langs], default=0) for k in best}
+    floor = {k: math.log(0.5 / max(most[k], 1)) for k in best}
+    tables = {k: {item: np.array([math.log(c / total[lang, k]) if c else floor[k] for c, lang in zip(row, langs, strict=True)])
                   for item, row in best[k].items()} for k in best}
-    return {"langs": langs, "tables": tables, "unseen": np.array(floor[1]) if langs else None}
+    unseen = np.full(len(langs), floor[1])
+    return {"langs": langs, "tables": tables, "unseen": unseen}
 
 
 def score_word(word: str, model: dict) -> np.ndarray:

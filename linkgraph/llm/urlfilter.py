@@ -74,8 +74,8 @@ def filter_captures(captures: DataFrame, entries: DataFrame, url: str = "url", d
     verdicts = (keys.join(hits, ["kind", "pattern", "d"]).groupBy("u", "d")
                 .agg(F.array_sort(F.collect_set("list")).alias("found")))
     kept = [c for c in captures.columns if c not in ("lists", "blocked")]
-    out = captures.join(verdicts, (u == F.col("u")) & (d == F.col("d")), "left")
-    found = F.coalesce(F.col("found"), F.array().cast("array<string>"))
+    out = captures.join(verdicts, (u == verdicts["u"]) & (d == verdicts["d"]), "left")
+    found = F.coalesce(verdicts["found"], F.array().cast("array<string>"))
     return out.select(*[captures[f"`{c}`"] for c in kept], F.array_join(found, ",").alias("lists"), (F.size(found) > 0).alias("blocked"))
 
 

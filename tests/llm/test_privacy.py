@@ -1,0 +1,85 @@
+import random
+import re
+
+import pytest
+
+from linkgraph.llm import privacy as P
+from tests.llm.cases import TEXTS, documents, empty
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 10, 97, 1000, 4097])
+def test_permutation_of_any_size(size):
+    p = P.Permuter(b"k")
+    assert sorted(p.permute(x, size, "t") for x in range(size)) == list(range(size))
+    even = [x for x in range(size) if x % 2 == 0]
+    assert sorted(p.permute(x, size, "t", lambda v: v % 2 == 0) for x in even) == even
+
+
+def card(rnd):
+    body = "4" + "".join(rnd.choice("0123456789") for _ in range(14))
+    return body + P.luhn_digit(body)
+
+
+def iban(rnd):
+    body = "".join(rnd.choice("0123456789") for _ in range(18))
+    return f"DE{98 - P.iban_number('DE00' + body) % 97:02d}{body}"
+
+
+MAKE = {
+    "card": card,
+    "iban": iban,
+    "ip": lambda r: ".".join(str(r.randrange(1, 255)) for _ in range(4)),
+    "ssn": lambda r: f"{r.choice([1, 665, 667, 899, 123]):03d}-{r.randrange(1, 100):02d}-{r.randrange(1, 10000):04d}",
+    "iso": lambda r: f"{r.randrange(1900, 2100)}-{r.randrange(1, 13):02d}-{r.randrange(1, 29):02d}",
+    "phone": lambda r: f"+1 ({r.randrange(200, 1000)}) 555-{r.randrange(10000):04d}",
+    "email": lambda r: f"a{r.randrange(1000)}.bc@mail{r.randrange(9)}.example.com",
+    "aws": lambda r: "AKIA" + "".join(r.choice("ABCXYZ0189") for _ in range(16)),
+}
+
+
+@pytest.mark.parametrize("kind", MAKE)
+def test_values_stay_valid_distinct_and_linked(kind):
+    rnd = random.Random(kind)
+    p, q = P.Pseudonymizer(b"key"), P.Pseudonymizer(b"other")
+    values = sorted({MAKE[kind](rnd) for _ in range(150)})
+    if kind == "ip":
+        values = [v for v in values if v.split(".")[0] != "127"]
+    got = []
+    for v in values:
+        text, n = p.text(f"x {v}, y {v}")
+        assert n == 2, v
+        m = re.fullmatch(r"x (.*), y (.*)", text)
+        assert m[1] == m[2]
+        assert P.Pseudonymizer(b"key").text(m[1])[1] == 1, m[1]  # valid itself
+        got.append(m[1])
+    assert len(set(got)) == len(values)
+    assert sum(a == b for a, b in zip(got, values, strict=True)) <= 2
+    assert got != [q.value(kind, v) for v in values]
+    assert [len(x) for x in got] == [len(x) for x in values]
+
+
+def test_checks_and_formats():
+    p = P.Pseudonymizer(b"key")
+    for stays in ["4041894974608796", "2021-02-31", "300.1.1.1", "1.2.3.4.5", "000-12-3456", "version 4.0. 3.", "GB82 WEST 1234 5698 7654 33",
+                  "12345678901234567890123", "a@b", "plain words = nothing"]:
+        assert p.text(stays) == (stays, 0)
+    spaced, plain = p.text("4041 8949 7460 8795")[0], p.text("4041894974608795")[0]
+    assert spaced.replace(" ", "") == plain and P.luhn_ok(plain)
+    a, b, c = (p.text(s)[0] for s in ("2003-12-25", "12/25/2003", "25.12.2003"))
+    assert a == "-".join([b[6:], b[:2], b[3:5]]) == "-".join([c[6:], c[3:5], c[:2]])
+    for s, n in [('token = "0641917ea4e9feb9cda83477b57ac2654884f485"', 1), ("password=e3b3ed3cc8548923d6", 1), ("password=12345678", 1)]:
+        t, k = p.text(s)
+        assert k == n and t != s and len(t) == len(s)
+
+
+def test_awkward_rows(spark):
+    rows = [*TEXTS, (20, "mail a1@b.example.com " * 3 + "z " * 100_000 + "a1@b.example.com", "en", "a")]
+    d = documents(spark, rows)
+    got = P.pseudonymize(d)
+    assert got.count() == len(rows) and set(got.columns) == set(d.columns) | {"n_replaced"}
+    r = {x.doc_id: x for x in got.collect()}
+    assert r[3].text is None and r[4].text == "" and r[20].n_replaced == 4
+    new = r[20].text.split()[1]
+    assert new != "a1@b.example.com" and r[20].text.endswith(new) and r[20]["row"] == "x"
+    assert all(r[i].text == t for i, t, *_ in TEXTS if i is not None)
+    assert P.pseudonymize(empty(spark), count=None).count() == 0
