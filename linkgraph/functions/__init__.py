@@ -10,7 +10,6 @@ from linkgraph.functions.expressions import (  # noqa: F401
     concat_sep,
     epoch_seconds,
     epoch_to_text,
-    first_by_order,
     has_digit,
     last_by_order,
     length_between,

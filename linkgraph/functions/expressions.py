@@ -8,10 +8,10 @@ family so a malformed value becomes NULL whether or not
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values (must equal the reference's behaviour) -------------------
@@ -93,19 +93,32 @@ def parse_date(c: str | Column, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
     return F.try_to_date(as_col(c), fmt)
 
 
+def _has_zone(fmt: str) -> bool:
+    """Whether a datetime pattern has a zone or offset letter outside of quotes."""
+    return any(c in "VzOXxZ" for part in fmt.split("'")[::2] for c in part)
+
+
+def _as_utc(c: str | Column, fmt: str) -> Column:
+    """Instant of a text read as UTC wall-clock time, whatever the session time zone."""
+    if _has_zone(fmt):
+        return F.try_to_timestamp(as_col(c), F.lit(fmt))
+    return F.try_to_timestamp(F.concat(as_col(c), F.lit(" +00:00")), F.lit(f"{fmt} xxx"))
+
+
 def parse_timestamp(c: str | Column, fmt: str, ntz: bool = False) -> Column:
     """Parse text by ``fmt``; NULL on bad input.
 
-    ``ntz=True`` returns ``TIMESTAMP_NTZ`` (wall-clock value independent of the
-    session time zone).
+    ``ntz=True`` returns ``TIMESTAMP_NTZ``: the wall-clock value, independent of the
+    session time zone (times that a zone's clock change skips included).
     """
-    ts = F.try_to_timestamp(as_col(c), F.lit(fmt))
-    return ts.cast("timestamp_ntz") if ntz else ts
+    if not ntz:
+        return F.try_to_timestamp(as_col(c), F.lit(fmt))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_as_utc(c, fmt)), F.expr(_EPOCH_NTZ))
 
 
 def epoch_seconds(c: str | Column, fmt: str) -> Column:
     """Seconds since 1970-01-01 of the wall-clock text read as UTC (NULL on bad input)."""
-    return F.timestamp_diff("SECOND", F.expr(_EPOCH_NTZ), parse_timestamp(c, fmt, ntz=True))
+    return F.unix_seconds(_as_utc(c, fmt))
 
 
 def epoch_to_text(c: str | Column, fmt: str = EPOCH_TEXT_FORMAT) -> Column:
@@ -114,6 +127,12 @@ def epoch_to_text(c: str | Column, fmt: str = EPOCH_TEXT_FORMAT) -> Column:
     return F.date_format(F.timestamp_add("SECOND", secs, F.expr(_EPOCH_NTZ)), fmt)
 
 
+#: Functions of ``pyspark.sql.functions`` that take columns and return one.
+_FUNCTIONS = frozenset(n for n in F.__all__ if n not in ("udf", "udtf", "pandas_udf", "arrow_udf", "arrow_udtf", "broadcast",
+                                                         "call_function", "call_udf", "UserDefinedFunction",
+                                                         "UserDefinedTableFunction", "PandasUDFType"))
+
+
 def call_function(name: str, args: Any = None) -> Column:
     """Call any built-in function by name.
 
@@ -121,7 +140,7 @@ def call_function(name: str, args: Any = None) -> Column:
     (strings are column names, as in ``pyspark.sql.functions``).  Names without a
     Python wrapper go through ``F.call_function``.
     """
-    fn = getattr(F, name, None)
+    fn = getattr(F, name, None) if name in _FUNCTIONS else None
     if fn is None:
         if isinstance(args, dict):
             raise ValueError(f"keyword arguments need a Python wrapper; {name!r} has none")
@@ -136,15 +155,22 @@ def call_function(name: str, args: Any = None) -> Column:
     return fn(args)
 
 
-def first_by_order(value: Column, order: Iterable[str | Column]) -> Column:
-    """Aggregate: ``value`` from the row with the smallest ``order`` tuple.
+def survivors(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], pick: Callable[[Column], Column]) -> DataFrame:
+    """One row per key: the smallest (``pick=F.min``) or largest (``F.max``) by ``order``, then by the other columns.
 
-    ``min_by`` is a partial (map-side) aggregate, so choosing one survivor per
-    key never gathers a whole group into one task, even for a hot key.
+    One struct of order and other columns is reduced, so a row is carried once; the
+    reduction is partial (map-side), so a hot key is never gathered into one task.
     """
-    return F.min_by(value, F.struct(*[as_col(o) for o in order]))
+    others = [c for c in df.columns if c not in keys]
+    first = [o for o in order if isinstance(o, str) and o in others]
+    extra = [as_col(o).alias(f"__order{i}__") for i, o in enumerate(order) if not (isinstance(o, str) and o in others)]
+    if extra:  # keep the given order of expressions and columns
+        first, extra = [], [as_col(o).alias(f"__order{i}__") for i, o in enumerate(order)]
+    row = F.struct(*extra, *first, *[c for c in others if c not in first])
+    return (df.groupBy(*keys).agg(pick(row).alias("__kept__"))
+              .select(*[F.col(c) if c in keys else F.col(f"__kept__.{c}").alias(c) for c in df.columns]))
 
 
 def last_by_order(value: Column, order: Iterable[str | Column]) -> Column:
-    """Aggregate: ``value`` from the row with the largest ``order`` tuple (last write wins)."""
-    return F.max_by(value, F.struct(*[as_col(o) for o in order]))
+    """Aggregate: ``value`` from the row with the largest ``order`` tuple, then the largest value (last write wins)."""
+    return F.max(F.struct(*[as_col(o).alias(f"__order{i}__") for i, o in enumerate(order)], value.alias("__value__")))["__value__"]

@@ -60,19 +60,13 @@ def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None,
 
     The surviving row is the one with the smallest (``keep="first"``) or largest
     (``keep="last"``) ``order_by`` tuple, ties broken
-    by the remaining columns (so the choice is deterministic), chosen with ``min_by`` -- a partial aggregate, so a
+    by the remaining columns (so the choice is deterministic): a partial aggregate over one struct, so a
     hot key is combined map-side instead of landing whole in one task.
     """
     keys = _listify(subset) or []
     if not keys or set(keys) >= set(df.columns):
         return df.dropDuplicates()
-    others = [c for c in df.columns if c not in keys]
-    order = list(order_by or []) + others
-    pick = {"first": X.first_by_order, "last": X.last_by_order}[keep]
-    kept = (df.groupBy(*keys)
-              .agg(pick(F.struct(*others), order).alias("__kept__"))
-              .select(*keys, *[F.col(f"__kept__.{c}").alias(c) for c in others]))
-    return kept.select(*df.columns)
+    return X.survivors(df, keys, list(order_by or []), {"first": F.min, "last": F.max}[keep])
 
 
 def time_range(df: DataFrame, ts_col: str, start: Any, end: Any) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from linkgraph.functions import expressions as X
 from linkgraph.operators.relational import union_all_by_name
+from linkgraph.session import cut_lineage
 
 # --- fixed values: bulk-import header naming ------------------------------
 START_ID_SUFFIX = ":START_ID"
@@ -24,8 +25,6 @@ ID_SUFFIX = ":ID"
 LABEL_HEADER = ":LABEL"
 EDGE_WEIGHT = "edge_weight"
 ATT_SUFFIX = "_att"
-# Most labels a per-label export profiles on the driver (one small row each).
-MAX_LABELS = 10_000
 # ---------------------------------------------------------------------------
 
 
@@ -42,54 +41,33 @@ def _listify(v) -> list[str]:
 
 # ---------------------------------------------------------------- G1 -------
 
-# --- fixed values: hot-key detection for the shared-key self-join -------------
-SKEW_SAMPLE_FRACTION = 0.01   # share of rows (by content hash) looked at to find hot keys
-SKEW_MIN_SAMPLE_HITS = 20     # a key needs this many sampled rows to count as hot
-SKEW_MAX_SPLITS = 1024        # most sub-groups one hot key is cut into
-_SALT = "__salt__"
 _SPLITS = "__splits__"
-# ---------------------------------------------------------------------------
+_ROW, _COL = "__cell_row__", "__cell_col__"
 
 
-def hot_key_splits(df: DataFrame, key: str, spread_col: str | None = None, target_parts: int | None = None,
-                   fraction: float = SKEW_SAMPLE_FRACTION, min_hits: int = SKEW_MIN_SAMPLE_HITS,
-                   max_splits: int = SKEW_MAX_SPLITS) -> DataFrame:
+def hot_key_splits(df: DataFrame, key: str, target_parts: int | None = None) -> DataFrame:
     """Keys whose self-join work is more than one partition's share, with the number
-    of sub-groups to cut each into: ``(key, __splits__)``.
+    of parts to cut each into: ``(key, __splits__)``.
 
     A key with ``k`` rows yields about ``k^2`` pairs, so hotness is measured in pair
-    work, not rows: ``splits = ceil(k^2 * target_parts / W)`` with ``W = sum k^2``
-    over all keys, and a key is hot when ``splits >= 2``.  ``k`` and ``W`` are
-    estimated from a sample used only to *detect* hot keys (every row still goes to
-    the result); ``W`` uses the unbiased estimate ``sum (h^2 - h(1-f)) / f^2`` of
-    the sampled hit counts ``h``, as a scalar subquery (no driver action).  The
-    sample is chosen by a hash of the row content (``key`` and ``spread_col``), not
-    at random: every evaluation -- both join sides, or a recomputation after a
-    lost executor -- sees the same rows whatever the partitioning, so both sides
-    always agree on a key's split count.
-
-    At most ``target_parts`` keys are returned (the largest): the table has a
-    proven size bound and may be broadcast; any other key takes the unsplit path,
-    which is just as exact.
+    work, not rows: ``splits = ceil(k^2 * target_parts / W)`` with ``W = sum k^2`` over
+    all keys, and a key is hot when ``splits >= 2``.  Rows are counted exactly (one
+    aggregate over the key column, combined map-side).  A hot key has more than
+    ``W / target_parts`` of the work, so there are fewer than ``target_parts`` hot keys
+    whatever the data: the table has a proven size bound and may be broadcast.
     """
     parts = target_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(1, round(1.0 / fraction))
-    f = 1.0 / buckets
-    content = F.xxhash64(F.col(key), F.col(spread_col)) if spread_col else F.xxhash64(*[F.col(c) for c in df.columns])
-    sample = df.where(F.col(key).isNotNull() & (F.pmod(content, F.lit(buckets)) == 0)).select(key)
-    counts = sample.groupBy(key).agg(F.count(F.lit(1)).cast("double").alias("__hits__"))
-    hits = F.col("__hits__")
-    work_total = counts.agg(F.sum((hits * hits - hits * F.lit(1.0 - f)) / F.lit(f * f))).scalar()
-    rows_est = hits / F.lit(f)
-    splits = F.ceil(rows_est * rows_est * F.lit(parts) / work_total)
-    hot = (counts.where((hits >= F.lit(min_hits)) & (splits >= F.lit(2)))
-                 .select(key, hits, F.least(splits, F.lit(max_splits), F.ceil(rows_est)).cast("int").alias(_SPLITS)))
-    return hot.orderBy(F.desc("__hits__"), F.col(key)).limit(parts).select(key, _SPLITS)
+    counts = (df.where(F.col(key).isNotNull()).groupBy(key)
+                .agg(F.count(F.lit(1)).cast("double").alias("__k__")))
+    work = F.col("__k__") * F.col("__k__")
+    total = counts.agg(F.sum(work)).scalar()
+    return (counts.withColumn(_SPLITS, F.ceil(work * F.lit(parts) / total).cast("int"))
+                  .where(F.col(_SPLITS) >= 2).select(key, _SPLITS))
 
 
 def edges_from_shared_key(df: DataFrame, col_edges: str = "EdgeID", col_nodeid: str = "NodeID",
                           node_att: Sequence[str] | None = None, distinct: bool = True,
-                          split_hot_keys: bool = True, skew_options: Mapping | None = None) -> DataFrame:
+                          split_hot_keys: bool = True, target_parts: int | None = None) -> DataFrame:
     """Undirected edges between every two nodes that share a value of ``col_edges``.
 
     Each unordered pair appears once per key, as ``NodeID1 > NodeID2`` (no
@@ -98,49 +76,55 @@ def edges_from_shared_key(df: DataFrame, col_edges: str = "EdgeID", col_nodeid:
     (suffix ``2``).  ``distinct=False`` skips the de-duplication of the left
     side, for callers that aggregate duplicate-insensitively afterwards.
 
-    Plan: each side is hash-partitioned once on the key (on (key, salt) when hot
-    keys are split) and de-duplicated locally, so the join needs no further exchange; a join of two distinct
-    inputs whose output carries every input column is already distinct, so no
-    distinct over the (much larger) pair table is needed.
+    Plan: each side is hash-partitioned once on the key (and the grid cell, when hot
+    keys are split) and de-duplicated locally, so the join needs no further exchange;
+    a join of two distinct inputs whose output carries every input column is already
+    distinct, so no distinct over the (much larger) pair table is needed.
 
     Hot keys: the pairs of a key are the output itself (quadratic in the group
-    size), so a hot key is cut into sub-groups instead of landing in one task:
-    its left rows get a salt from their node ID, its right rows are copied once
-    per salt; every (left, right) pair still meets exactly once.  Nothing is
-    capped or sampled away.  Detection runs once per call as one small job (the
-    only eager step); with no hot key the plan is the plain partitioned self-join.
-    ``skew_options`` are passed to ``hot_key_splits``.
+    size), so the pairs of a hot key are laid out as a square grid of cells instead
+    of landing in one task.  A left row has a grid row (a hash of all its columns, so
+    a node with many rows is spread too) and is copied to the cells of that row; a
+    right row has a grid column and is copied along it; every (left, right) pair meets
+    in exactly one cell.  The exchange has a fixed number of partitions, which
+    adaptive execution does not coalesce: it goes by input bytes, the work is
+    quadratic.  Nothing is capped or sampled.  Detection runs once per call as one
+    small job (the only eager step); with no hot key the plan is the plain
+    partitioned self-join.
     """
     atts = _listify(node_att)
+    parts = target_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     valid = F.col(col_edges).isNotNull() & F.col(col_nodeid).isNotNull()
     base = df.where(valid)
     hot_rows = []
     if split_hot_keys:
-        # one small job; at most target_parts rows (proven bound) come back, and both
-        # join sides then use the very same list
-        detected = hot_key_splits(base, col_edges, spread_col=col_nodeid, **dict(skew_options or {}))
+        # fewer than `parts` rows (proven bound) come back, and both join sides use the very same list
+        detected = hot_key_splits(base, col_edges, parts)
         hot_rows = detected.collect()
+    right_cols = [F.col(col_edges), F.col(col_nodeid).alias("NodeID2"), *[F.col(a).alias(f"{a}2") for a in atts]]
     if hot_rows:
         hot = df.sparkSession.createDataFrame(hot_rows, detected.schema)
-        base = (base.join(F.broadcast(hot), on=col_edges, how="left")
-                    .withColumn(_SPLITS, F.coalesce(F.col(_SPLITS), F.lit(1))))
-        left_extra = [F.pmod(F.xxhash64(F.col(col_nodeid)), F.col(_SPLITS)).cast("int").alias(_SALT)]
-        right_extra = [F.explode(F.sequence(F.lit(0), F.col(_SPLITS) - 1)).alias(_SALT)]
-        keys = [col_edges, _SALT]
+        side = (F.ceil(F.sqrt(F.coalesce(F.col(_SPLITS), F.lit(1))))).cast("int")
+        base = base.join(F.broadcast(hot), on=col_edges, how="left").withColumn(_SPLITS, side)
+        along = F.explode(F.sequence(F.lit(0), F.col(_SPLITS) - 1))
+
+        def own(cols):
+            return F.pmod(F.xxhash64(*cols), F.col(_SPLITS)).cast("int")
+
+        keys = [col_edges, _ROW, _COL]
+        left = base.select(*df.columns, own([F.col(c) for c in df.columns]).alias(_ROW), along.alias(_COL))
+        right = base.select(*right_cols, own([F.col(col_nodeid), *[F.col(a) for a in atts]]).alias(_COL), along.alias(_ROW))
+        # equal rows of a hot key are combined as well: they would share a grid row
+        left, right = (x.repartition(parts, *keys).dropDuplicates() for x in (left, right))
     else:
-        # no hot key: the plain self-join partitioned on the key (no salt column, so
-        # the partitioning is exactly what the distincts and the join need)
-        left_extra, right_extra, keys = [], [], [col_edges]
-    left = base.select(*df.columns, *left_extra).repartition(*keys)
-    if distinct:
-        left = left.dropDuplicates()
-    right = (base.select(F.col(col_edges), F.col(col_nodeid).alias("NodeID2"),
-                         *[F.col(a).alias(f"{a}2") for a in atts], *right_extra)
-                 .repartition(*keys)
-                 .dropDuplicates())
+        # no hot key: the plain self-join, with exactly the partitioning that the distincts and the join need
+        keys = [col_edges]
+        left, right = df.where(valid).repartition(*keys), base.select(*right_cols).repartition(*keys).dropDuplicates()
+        if distinct:
+            left = left.dropDuplicates()
     pairs = (left.join(right, on=keys, how="inner")
                  .where(F.col(col_nodeid) > F.col("NodeID2"))
-                 .drop(_SALT))
+                 .drop(_ROW, _COL))
     renames = {col_nodeid: "NodeID1", **{a: f"{a}1" for a in atts}}
     return pairs.withColumnsRenamed(renames)
 
@@ -153,15 +137,17 @@ def filter_edges_by_threshold(df: DataFrame, distinct_col: str, col_gb: Sequence
     ``[min_weight, max_weight]``; result distinct, group columns first.
 
     Groups are counted with a two-phase distinct aggregate and matched back with a
-    left-semi join (groups with a NULL key never match, see README).
+    left-semi join (groups with a NULL key never match, see README).  The detail is
+    made distinct first, on all its columns: a hot group is spread there, and the
+    join is the last step, so that adaptive execution can split its partition.
     """
     keys = _listify(col_gb)
     groups = (df.groupBy(*keys)
                 .agg(F.count_distinct(distinct_col).alias("__weight__"))
                 .where(F.col("__weight__").between(min_weight, max_weight))
                 .select(*keys))
-    kept = df.join(groups, on=keys, how="left_semi")
-    return kept.select(*keys, *[c for c in df.columns if c not in keys]).dropDuplicates()
+    detail = df.select(*keys, *[c for c in df.columns if c not in keys]).dropDuplicates()
+    return detail.join(groups, on=keys, how="left_semi").select(*detail.columns)
 
 
 # ---------------------------------------------------------------- G3 / G4 --
@@ -202,22 +188,18 @@ def edge_aggregates(df: DataFrame, weight_col: str, att_cols: Sequence[str],
 def endpoint_nodes(df: DataFrame, node_attributes: Mapping[str, Sequence[str] | str | None]) -> DataFrame:
     """Node table from endpoint columns: for each ``{id_col: [attrs]}`` select the ID
     and attributes, strip the last character of each name (``NodeID1`` -> ``NodeID``),
-    union positionally and de-duplicate."""
-    sides = []
-    for id_col, atts in node_attributes.items():
-        cols = [id_col] + _listify(atts)
-        sides.append(df.select(*[F.col(c).alias(c[:-1]) for c in cols]))
-    out = sides[0]
-    for s in sides[1:]:
-        out = out.union(s)
-    return out.dropDuplicates()
+    union positionally and de-duplicate.  One pass: every row gives one row per side."""
+    names = [c[:-1] for c in [next(iter(node_attributes)), *_listify(next(iter(node_attributes.values())))]]
+    sides = [F.struct(*[F.col(c).alias(n) for c, n in zip([id_col, *_listify(atts)], names, strict=True)])
+             for id_col, atts in node_attributes.items()]
+    return df.select(F.inline(F.array(*sides))).dropDuplicates()
 
 
 def edges_agg(df: DataFrame, weight_col: str, cols_gb: Sequence[str] = ("NodeID1", "NodeID2"),
               col_date: str | None = None, min_edges: int = 1,
               node_att: Sequence[str] | None = None,
               att_cols: Sequence[str] | None = None,
-              node_lookup: Mapping[str, DataFrame] | None = None) -> Graph:
+              node_lookup: Mapping[str, DataFrame] | None = None, cut: bool = False) -> Graph:
     """Weighted edges plus the node table of their endpoints.
 
     Edges: ``groupBy(cols_gb)`` with ``edge_weight`` = distinct count of
@@ -233,6 +215,10 @@ def edges_agg(df: DataFrame, weight_col: str, cols_gb: Sequence[str] = ("NodeID1
     attributes}) is for sides whose attributes come from a dimension table keyed
     by the node ID: the side's nodes are then its kept endpoint IDs left-joined to
     that table -- the same rows, without reading the event table again.
+
+    ``cut=True`` writes the edges to the checkpoint folder first and takes the kept
+    endpoints from there, so that callers who need both edges and nodes compute ``df``
+    (say, a quadratic pair table) once.
     """
     id1, id2 = _listify(cols_gb)
     atts = _listify(node_att)
@@ -241,14 +227,14 @@ def edges_agg(df: DataFrame, weight_col: str, cols_gb: Sequence[str] = ("NodeID1
     if att_cols is None:
         excluded = {id1, id2, *node_x, *node_y}
         att_cols = [c for c in df.columns if c not in excluded]
+    # kept endpoint pairs from a light hash aggregate (same weight, no sets)
+    kept = (df.groupBy(id1, id2).agg(F.count_distinct(weight_col).alias("__w__"))
+              .where(F.col("__w__") >= F.lit(min_edges)))
     edges = (df.groupBy(id1, id2)
                .agg(*edge_aggregates(df, weight_col, list(att_cols), col_date))
                .where(F.col(EDGE_WEIGHT) >= F.lit(min_edges)))
-
-    # kept endpoint pairs from a light hash aggregate (same weight as above, no sets);
-    # both sides read the same subplan, so its exchange is shared
-    kept = (df.groupBy(id1, id2).agg(F.count_distinct(weight_col).alias("__w__"))
-              .where(F.col("__w__") >= F.lit(min_edges)))
+    if cut:
+        edges = kept = cut_lineage(edges, "edges")
 
     def side(id_col: str, cols: list[str]) -> DataFrame:
         # distinct first: a hub node appears in many kept pairs, and the join
@@ -272,17 +258,19 @@ def merge_nodes(dfs: Sequence[DataFrame]) -> DataFrame:
     return union_all_by_name(list(dfs))
 
 
-def label_profile(nodes: DataFrame, label_col: str = "Label") -> dict[str, list[str]]:
-    """For every label, the columns that hold at least one non-NULL value.
+def label_profile(nodes: DataFrame, label_col: str = "Label",
+                  labels: Sequence[str] | None = None) -> dict[str, list[str]]:
+    """For every label (or the given ones), the columns that hold at least one non-NULL value.
 
-    One ``groupBy(label)`` pass for all labels; the result (labels x columns
-    counts) is tiny and comes to the driver because it decides output schemas.
+    One ``groupBy(label)`` pass for all labels; the result (one row per label, which is
+    one output folder each) comes to the driver because it decides output schemas.
+    Nodes without a label have no export and no profile.
     """
     other = [c for c in nodes.columns if c != label_col]
-    rows = (nodes.groupBy(label_col).agg(*[F.count(c).alias(f"__n{i}__") for i, c in enumerate(other)])
-                 .limit(MAX_LABELS + 1).collect())
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} node labels: export by label is meant for a few labels")
+    if labels is not None:
+        nodes = nodes.where(F.col(label_col).isin(list(labels)))
+    rows = (nodes.where(F.col(label_col).isNotNull()).groupBy(label_col)
+                 .agg(*[F.count(c).alias(f"__n{i}__") for i, c in enumerate(other)]).collect())
     return {r[label_col]: [c for i, c in enumerate(other) if r[f"__n{i}__"] > 0] for r in rows}
 
 
@@ -309,16 +297,12 @@ def edge_header_names(df: DataFrame, id1: str = "NodeID1", id2: str = "NodeID2")
 def unique_nodes(nodes: DataFrame, key: Sequence[str] = ("Label", "NodeID"),
                  order_by: Sequence[str] | None = None) -> DataFrame:
     """One node per key: the row with the smallest ``order_by`` tuple, ties broken by
-    the remaining columns.  Partial aggregate (``min_by``), safe for hot keys."""
+    the remaining columns.  Partial aggregate (minimum of one struct), safe for hot keys."""
     keys = _listify(key)
     others = [c for c in nodes.columns if c not in keys]
     if not others:
         return nodes.dropDuplicates()
-    order = _listify(order_by) + others
-    return (nodes.groupBy(*keys)
-                 .agg(X.first_by_order(F.struct(*others), order).alias("__kept__"))
-                 .select(*keys, *[F.col(f"__kept__.{c}").alias(c) for c in others])
-                 .select(*nodes.columns))
+    return X.survivors(nodes, keys, _listify(order_by), F.min)
 
 
 # ---------------------------------------------------------------- G9 -------

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkgraph.functions import expressions as X
+from linkgraph.session import cut_lineage
 
 # --- fixed values: event-log record schema ----------------------------------
 EVENT_SCHEMA = ("timestamp DOUBLE, asset_key STRING, "
@@ -75,7 +76,8 @@ def pct_change(series: DataFrame, key_col: str, order_col: str, value_col: str,
     if chunk is None:
         w = Window.partitionBy(key_col).orderBy(order_col)
         return series.withColumn(out_col, F.try_divide(F.col(value_col), F.lag(value_col).over(w)) - F.lit(1.0))
-    with_chunk = series.withColumn("__chunk__", chunk)
+    # read twice below, so computed once: stored, with its lineage cut
+    with_chunk = cut_lineage(series.withColumn("__chunk__", chunk), "series")
     w = Window.partitionBy(key_col, "__chunk__").orderBy(order_col)
     rows = with_chunk.select(*series.columns, "__chunk__",
                              F.lag(value_col).over(w).alias("__prev__"),
@@ -91,9 +93,16 @@ def pct_change(series: DataFrame, key_col: str, order_col: str, value_col: str,
 
 
 def pivot_keys(series: DataFrame, row_col: str, key_col: str, value_col: str,
-               keys: Sequence[str], dropna: bool = True) -> DataFrame:
-    """Wide table: one row per ``row_col``, one column per key (explicit list, so
-    the plan needs no extra pass to discover values); rows with a missing key
-    are dropped when ``dropna``."""
-    wide = series.groupBy(row_col).pivot(key_col, list(keys)).agg(F.first(value_col))
-    return wide.dropna(how="any", subset=list(keys)) if dropna else wide
+               keys: Sequence[str] | None = None, dropna: bool = True,
+               order: Sequence[str] | None = None) -> DataFrame:
+    """Wide table: one row per ``row_col``, one column per key; rows with a missing key
+    are dropped when ``dropna``.
+
+    Without ``keys`` every key in the data gets a column: one small job lists them
+    (they decide the schema).  Of several rows with one (row, key) the last by
+    ``order`` counts, then the largest value."""
+    if keys is None:
+        keys = [r[0] for r in series.where(F.col(key_col).isNotNull()).select(key_col).distinct().orderBy(key_col).collect()]
+    order = list(order or [])
+    wide = series.groupBy(row_col).pivot(key_col, list(keys)).agg(X.last_by_order(F.col(value_col), order))
+    return wide.dropna(how="any", subset=list(keys)) if dropna and keys else wide

@@ -20,6 +20,9 @@ from linkgraph.functions import expressions as X
 # large key spaces do not overflow).
 LINEUP_SCHEMA = ("MAP<STRING, STRUCT<team_id: BIGINT, team_name: STRING, lineup: ARRAY<STRUCT<"
                  "player_id: BIGINT, player_name: STRING, country: STRUCT<name: STRING>>>>>")
+# The parts of an event that name players: a substitute, and the players of a line-up.
+EVENT_PLAYER_SCHEMA = ("substitution STRUCT<replacement: STRUCT<id: BIGINT, name: STRING>>, "
+                       "tactics STRUCT<lineup: ARRAY<STRUCT<player: STRUCT<id: BIGINT, name: STRING>>>>")
 CORRUPT_COLUMN = "_corrupt_record"
 # ---------------------------------------------------------------------------
 
@@ -71,12 +74,33 @@ def parse_with_rejects(df: DataFrame, json_col: str, schema: str,
     return good, rejected
 
 
+def event_players(df: DataFrame, json_col: str, scope: Sequence[str], position: str) -> list[DataFrame]:
+    """The players named in nested events, as the two sources of ``lookup_last_wins`` in write order.
+
+    First the substitutes, then the line-ups (one row per player).  Columns:
+    ``scope``, name, id, position (the event's ``position``, then the place in the
+    line-up).  Events of other kinds give no rows.
+    """
+    scope = list(scope)
+    ev = df.select(*scope, position, F.from_json(F.col(json_col), EVENT_PLAYER_SCHEMA).alias("__e__"))
+
+    def rows(player: str, place) -> list:
+        return [*scope, F.col(f"{player}.name").alias("name"), F.col(f"{player}.id").alias("id"),
+                F.struct(F.col(position).alias("event"), place.alias("place")).alias("position")]
+
+    subs = (ev.where(F.col("__e__.substitution.replacement").isNotNull())
+              .select(*rows("__e__.substitution.replacement", F.lit(0))))
+    lineups = (ev.select(*scope, position, F.posexplode("__e__.tactics.lineup").alias("__at__", "__p__"))
+                 .select(*rows("__p__.player", F.col("__at__"))))
+    return [subs, lineups]
+
+
 def lookup_last_wins(sources: Sequence[DataFrame], scope: Sequence[str], name: str, value: str,
                      position: str) -> DataFrame:
     """Name -> value dictionary per scope where a later entry overwrites an earlier one.
 
     ``sources`` are in write order (later source wins); inside a source the
-    larger ``position`` wins, then the larger value (deterministic on ties).  ``max_by`` on (source rank, position) is a
+    larger ``position`` wins, then the larger value (deterministic on ties).  The maximum of (source rank, position, value) is a
     partial aggregate: no group is gathered into one task.
     """
     scope = list(scope)
@@ -86,4 +110,4 @@ def lookup_last_wins(sources: Sequence[DataFrame], scope: Sequence[str], name: s
         ranked = part if ranked is None else ranked.unionByName(part)
     return (ranked.where(F.col(name).isNotNull())
                   .groupBy(*scope, name)
-                  .agg(X.last_by_order(F.col(value), ["__rank__", position, value]).alias(value)))
+                  .agg(X.last_by_order(F.col(value), ["__rank__", position]).alias(value)))

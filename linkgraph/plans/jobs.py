@@ -60,7 +60,7 @@ def directed_edges(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame,
     """
     detail = (order_events(lineitem, orders)
               .transform(Fl.dropna, subset=["o_custkey", "l_suppkey"])
-              .transform(C.drop_cols, ["l_linenumber", "pass_type_unused"])
+              .transform(C.drop_cols, ["l_linenumber"])
               .transform(C.rename_cols, {"l_suppkey": "NodeID1", "o_custkey": "NodeID2"})
               .transform(C.astype, "bigint", ["NodeID1", "NodeID2"])
               .withColumn("order_date", day_text("o_orderdate"))
@@ -73,7 +73,7 @@ def directed_edges(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame,
                                    F.col("c_name").alias("NodeName"), F.lit(LABEL_CUSTOMER).alias("Label")),
     }
     return G.edges_agg(detail, weight_col="l_orderkey", col_date="order_date", min_edges=min_edges,
-                       node_att=list(NODE_ATT), node_lookup=lookups)
+                       node_att=list(NODE_ATT), node_lookup=lookups, cut=checkpoint)
 
 
 def shared_key_detail(lineitem: DataFrame) -> DataFrame:
@@ -99,7 +99,7 @@ def shared_key_edges(lineitem: DataFrame, min_edges: int = 1, checkpoint: bool =
     parts = detail.select("NodeID", "Label").dropDuplicates()
     return G.edges_agg(pairs, weight_col="EdgeID", col_date="ship", min_edges=min_edges,
                        node_att=["Label"], att_cols=["EdgeID", "l_linestatus"],
-                       node_lookup={"NodeID1": parts, "NodeID2": parts})
+                       node_lookup={"NodeID1": parts, "NodeID2": parts}, cut=checkpoint)
 
 
 def bipartite_edges(supplier: DataFrame, nation: DataFrame, checkpoint: bool = False) -> G.Graph:
@@ -115,7 +115,7 @@ def bipartite_edges(supplier: DataFrame, nation: DataFrame, checkpoint: bool = F
               .transform(C.rename_cols, {"s_nationkey": "NodeID2", "n_name": "NodeName2"})
               .transform(C.add_literal, "Label2", LABEL_NATION))
     detail = _maybe_cut(detail, checkpoint)
-    return G.edges_agg(detail, weight_col="EdgeID", node_att=list(NODE_ATT))
+    return G.edges_agg(detail, weight_col="EdgeID", node_att=list(NODE_ATT), cut=checkpoint)
 
 
 class GraphJob(NamedTuple):
@@ -123,9 +123,10 @@ class GraphJob(NamedTuple):
     nodes: DataFrame
 
 
-def whole_graph(tables: Mapping[str, DataFrame], min_directed: int = 2, checkpoint: bool = False) -> GraphJob:
-    """The three edge jobs and one merged node table.  ``checkpoint=True`` for
-    jobs that write everything (each detail table computed once, lineage cut)."""
+def whole_graph(tables: Mapping[str, DataFrame], min_directed: int = 2, checkpoint: bool = True) -> GraphJob:
+    """The three edge jobs and one merged node table.  Nodes and edges both derive
+    from the pair tables, so by default each detail and edge table is computed once and
+    stored, lineage cut; ``checkpoint=False`` gives plans only."""
     rels = {
         "supplies": directed_edges(tables["lineitem"], tables["orders"], tables["supplier"],
                                    tables["customer"], min_edges=min_directed, checkpoint=checkpoint),
@@ -152,14 +153,13 @@ def graph_summary(job: GraphJob) -> DataFrame:
 def export_graph(job: GraphJob, base_dir: str) -> list[dict[str, str]]:
     """Write every relationship and every node label.
 
-    The merged node table is written once to the checkpoint folder and read back,
-    so the per-label profile and writes scan it (label filter pushed to the scan)
-    instead of re-deriving the nodes of every relationship once per label.
+    ``write_nodes`` stores the merged node table once, so that the per-label profile
+    and writes scan it (label filter pushed to the scan).
     """
     written = []
     for name, g in job.relationships.items():
         written.append(sinks.write_edges(g.edges, base_dir, name))
-    written += sinks.write_nodes(cut_lineage(job.nodes, "graph-nodes"), base_dir)
+    written += sinks.write_nodes(job.nodes, base_dir)
     return written
 
 

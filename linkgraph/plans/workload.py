@@ -516,13 +516,22 @@ def q_join_inner(spark, sf):
     return R.join_df(c, o, "c_custkey", "inner")
 
 
+# The other join kinds run on sides with rows that have no partner and rows with a NULL key.
+
+def _null_every(col: str, n: int):
+    return F.when(F.col(col) % n != 0, F.col(col))
+
+
 @register("join_left", """
-SELECT DISTINCT p.*, l.l_orderkey, l.l_quantity FROM part p LEFT JOIN lineitem l ON p.p_partkey = l.l_partkey
+SELECT DISTINCT p.k AS p_partkey, p.p_name, l.l_orderkey, l.l_quantity
+FROM (SELECT CASE WHEN p_partkey % 7 <> 0 THEN p_partkey END AS k, p_name FROM part) p
+LEFT JOIN (SELECT CASE WHEN l_partkey % 5 <> 0 THEN l_partkey END AS k, l_orderkey, l_quantity FROM lineitem
+           WHERE l_quantity > 45) l ON p.k = l.k
 """)
 def q_join_left(spark, sf):
     p, li = tables(spark, sf, "part", "lineitem")
-    return R.join_df(p, li.select(F.col("l_partkey").alias("p_partkey"), "l_orderkey", "l_quantity"),
-                     "p_partkey", "left")
+    big = li.where("l_quantity > 45").select(_null_every("l_partkey", 5).alias("p_partkey"), "l_orderkey", "l_quantity")
+    return R.join_df(p.select(_null_every("p_partkey", 7).alias("p_partkey"), "p_name"), big, "p_partkey", "left")
 
 
 def _supp_nation(spark, sf):
@@ -531,12 +540,14 @@ def _supp_nation(spark, sf):
 
 
 @register("join_right", """
-SELECT DISTINCT n.n_nationkey, s.s_suppkey, s.s_name, n.n_name, n.n_regionkey
-FROM supplier s RIGHT JOIN nation n ON s.s_nationkey = n.n_nationkey
+SELECT DISTINCT n.k AS n_nationkey, s.s_suppkey, s.s_name, n.n_name, n.n_regionkey
+FROM (SELECT * FROM supplier WHERE s_nationkey % 2 = 0) s
+RIGHT JOIN (SELECT CASE WHEN n_nationkey % 5 <> 0 THEN n_nationkey END AS k, n_name, n_regionkey FROM nation) n ON s.s_nationkey = n.k
 """)
 def q_join_right(spark, sf):
     s, n = _supp_nation(spark, sf)
-    return R.join_df(s, n, "n_nationkey", "right")
+    n = n.select(_null_every("n_nationkey", 5).alias("n_nationkey"), "n_name", "n_regionkey")
+    return R.join_df(s.where("n_nationkey % 2 = 0"), n, "n_nationkey", "right")
 
 
 @register("join_cross_keyed", """
@@ -549,26 +560,29 @@ def q_join_cross_keyed(spark, sf):
 
 
 @register("join_full", """
-SELECT DISTINCT coalesce(d.doc_id, l.doc_id) AS doc_id, d.lang, l.quality, l.toxic
-FROM documents d FULL OUTER JOIN labels l ON d.doc_id = l.doc_id
+SELECT DISTINCT coalesce(d.k, l.k) AS doc_id, d.lang, l.quality, l.toxic
+FROM (SELECT CASE WHEN doc_id % 11 <> 0 THEN doc_id END AS k, lang FROM documents WHERE lang <> 'fr') d
+FULL OUTER JOIN (SELECT CASE WHEN doc_id % 13 <> 0 THEN doc_id END AS k, quality, toxic FROM labels) l ON d.k = l.k
 """)
 def q_join_full(spark, sf):
     d, lab = tables(spark, sf, "documents", "labels")
-    return R.join_df(d.select("doc_id", "lang"), lab, "doc_id", "full")
+    d = d.where("lang <> 'fr'").select(_null_every("doc_id", 11).alias("doc_id"), "lang")
+    return R.join_df(d, lab.select(_null_every("doc_id", 13).alias("doc_id"), "quality", "toxic"), "doc_id", "full")
+
+
+_BIG_ORDERS = "SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 300000 AND o.o_custkey % 3 <> 0"
 
 
-@register("join_semi", "SELECT * FROM customer c WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)")
+@register("join_semi", f"SELECT * FROM customer c WHERE EXISTS ({_BIG_ORDERS})")
 def q_join_semi(spark, sf):
     c, o = _cust_orders(spark, sf)
-    return R.join_df(c, o, "c_custkey", "left_semi")
+    return R.join_df(c, o.where("o_totalprice > 300000").withColumn("c_custkey", _null_every("c_custkey", 3)), "c_custkey", "left_semi")
 
 
-@register("join_anti", """
-SELECT * FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
-""")
+@register("join_anti", f"SELECT * FROM customer c WHERE NOT EXISTS ({_BIG_ORDERS})")
 def q_join_anti(spark, sf):
     c, o = _cust_orders(spark, sf)
-    return R.join_df(c, o, "c_custkey", "left_anti")
+    return R.join_df(c, o.where("o_totalprice > 300000").withColumn("c_custkey", _null_every("c_custkey", 3)), "c_custkey", "left_anti")
 
 
 # ============================================================ unions =======
@@ -792,19 +806,19 @@ def q_import_manifest(spark, sf):
 # ============================================================ nested =======
 
 def _lineup_json(spark, sf) -> str:
-    """Write lineitem as nested lineup JSON (one match = one order line, the team is
-    the supplier, the player the part, the country the supplier's nation)."""
+    """Write lineitem as nested lineup JSON: one match per order, in it a team per return
+    flag with all its parts as players (country: the supplier's nation)."""
     li, s, p, n = tables(spark, sf, "lineitem", "supplier", "part", "nation")
-    rows = (li.select("l_orderkey", "l_suppkey", "l_partkey")
-            .join(s.select(F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_nationkey"), "l_suppkey", "left")
+    rows = (li.select("l_orderkey", "l_suppkey", "l_partkey", "l_returnflag")
+            .join(s.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey", "left")
             .join(p.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey", "left")
             .join(n.select(F.col("n_nationkey").alias("s_nationkey"), "n_name"), "s_nationkey", "left"))
     player = F.struct(F.col("l_partkey").alias("player_id"), F.col("p_name").alias("player_name"),
                       F.when(F.col("n_name").isNotNull(), F.struct(F.col("n_name").alias("name"))).alias("country"))
-    team = F.struct(F.col("l_suppkey").alias("team_id"), F.col("s_name").alias("team_name"),
-                    F.array(player).alias("lineup"))
-    nested = rows.select(F.col("l_orderkey").alias("match_id"),
-                         F.create_map(F.coalesce("s_name", F.col("l_suppkey").cast("string")), team).alias("lineups"))
+    teams = rows.groupBy("l_orderkey", "l_returnflag").agg(F.collect_list(player).alias("lineup"))
+    team = F.struct(F.ascii("l_returnflag").cast("bigint").alias("team_id"), F.col("l_returnflag").alias("team_name"), "lineup")
+    nested = (teams.groupBy(F.col("l_orderkey").alias("match_id"))
+              .agg(F.map_from_entries(F.collect_list(F.struct("l_returnflag", team.alias("team")))).alias("lineups")))
     path = scratch_path(spark, "lineups")
     nested.write.json(path)
     return path
@@ -813,7 +827,7 @@ def _lineup_json(spark, sf) -> str:
 _LINEUP_READ_SCHEMA = f"match_id BIGINT, lineups {N.LINEUP_SCHEMA}"
 
 _FLAT_LINEUP_SQL = """
-fl AS (SELECT l.l_orderkey AS match_id, l.l_suppkey AS team_id, s.s_name AS team_name, l.l_partkey AS player_id,
+fl AS (SELECT l.l_orderkey AS match_id, CAST(ascii(l.l_returnflag) AS BIGINT) AS team_id, l.l_returnflag AS team_name, l.l_partkey AS player_id,
               p.p_name AS player_name, coalesce(n.n_name, '') AS country
        FROM lineitem l LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey
        LEFT JOIN part p ON p.p_partkey = l.l_partkey LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey)"""
@@ -842,31 +856,36 @@ def q_enrich_joins(spark, sf):
     return R.enrich(_flat_lineup(spark, sf), [(matches, "match_id"), (comps, "o_custkey")])
 
 
-_EVENT_SCHEMA = "type STRING, player BIGINT, pass STRUCT<recipient: STRUCT<id: INT>, length: DOUBLE>"
+_EVENT_SCHEMA = ("type STRING, player BIGINT, pass STRUCT<recipient: STRUCT<id: INT, name: STRING>, length: DOUBLE, "
+                 "type: STRUCT<name: STRING>>")
 
 
 def _nested_events(spark, sf) -> DataFrame:
-    """Events as nested JSON text: clicks carry a ``pass`` object, other events none."""
+    """Events as nested JSON text: clicks carry a ``pass`` object (a third of them with a
+    type), other events none."""
     ev = table(spark, sf, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     pass_ = F.when(F.col("event_type") == "click",
-                   F.struct(F.struct(k.alias("id")).alias("recipient"), F.col("value").alias("length")))
+                   F.struct(F.struct(k.alias("id"), F.concat(F.lit("user "), k).alias("name")).alias("recipient"),
+                            F.col("value").alias("length"),
+                            F.when(k % 3 == 0, F.struct(F.lit("Corner").alias("name"))).alias("type")))
     body = F.to_json(F.struct(F.col("event_type").alias("type"), F.col("user_id").alias("player"),
                               pass_.alias("pass")))
     return ev.select("event_id", body.alias("event"))
 
 
 @register("flatten_events", """
-SELECT event_id, event_type AS type, user_id AS player,
-       CASE WHEN event_type = 'click' THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS recipient_id,
-       CASE WHEN event_type = 'click' THEN value END AS length
-FROM events WHERE event_type <> 'error'
+WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+SELECT event_id, event_type AS type, user_id AS player, k AS recipient_id, 'user ' || k AS recipient_name, value AS length,
+       CASE WHEN k % 3 = 0 THEN 'Corner' END AS pass_type
+FROM e WHERE event_type = 'click'
 """)
 def q_flatten_events(spark, sf):
     flat = N.extract_fields(_nested_events(spark, sf), "event", _EVENT_SCHEMA,
                             {"type": "type", "player": "player", "recipient_id": "pass.recipient.id",
-                             "length": "pass.length"}, keep=["event_id"])
-    return Fl.filter_query(flat, F.col("type") != "error")
+                             "recipient_name": "pass.recipient.name", "length": "pass.length",
+                             "pass_type": "pass.type.name"}, keep=["event_id"])
+    return Fl.filter_query(flat, F.col("type") == "click")
 
 
 @register("parse_with_rejects", """
@@ -898,15 +917,44 @@ def q_player_lookup(spark, sf):
     li, p = tables(spark, sf, "lineitem", "part")
     entries = li.select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag") \
         .join(p.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), on="l_partkey", how="inner")
-    subs = entries.where(F.col("l_returnflag") == "R")
-    starting = entries.where(F.col("l_returnflag") != "R")
-    lookup = N.lookup_last_wins([subs, starting], ["l_orderkey"], "p_brand", "l_partkey", "l_linenumber") \
-        .withColumnRenamed("l_partkey", "resolved_id")
+    player = F.struct(F.col("l_partkey").alias("id"), F.col("p_brand").alias("name"))
+    # nested events of a match: one per substitute (R lines), one with the line-up (all other lines)
+    subs = entries.where(F.col("l_returnflag") == "R").select(
+        "l_orderkey", F.col("l_linenumber").alias("at"),
+        F.to_json(F.struct(F.struct(player.alias("replacement")).alias("substitution"))).alias("event"))
+    in_order = F.array_sort(F.collect_list(F.struct("l_linenumber", F.struct(player.alias("player")).alias("entry"))))
+    lineups = (entries.where(F.col("l_returnflag") != "R").groupBy("l_orderkey")
+               .agg(F.transform(in_order, lambda x: x["entry"]).alias("lineup"))
+               .select("l_orderkey", F.lit(0).alias("at"),
+                       F.to_json(F.struct(F.struct("lineup").alias("tactics"))).alias("event")))
+    sources = N.event_players(subs.unionByName(lineups), "event", ["l_orderkey"], "at")
+    lookup = (N.lookup_last_wins(sources, ["l_orderkey"], "name", "id", "position")
+              .withColumnsRenamed({"name": "p_brand", "id": "resolved_id"}))
     passes = entries.select("l_orderkey", "l_linenumber", "p_brand")
     return R.join_df(passes, lookup, ["l_orderkey", "p_brand"], "inner", distinct=False) \
         .select("l_orderkey", "l_linenumber", "p_brand", "resolved_id")
 
 
+@register("export_flat_inputs", f"""
+WITH {_FLAT_LINEUP_SQL}
+SELECT 'lineups' AS export, count(*) AS n_rows, count(DISTINCT player_name) AS n_names, CAST(sum(player_id) AS BIGINT) AS id_sum FROM fl
+UNION ALL
+SELECT 'passes', count(*), count(DISTINCT json_extract_string(props, '$.k')), CAST(sum(event_id) AS BIGINT) FROM events WHERE event_type = 'click'
+""")
+def q_export_flat_inputs(spark, sf):
+    passes = q_flatten_events(spark, sf)
+    written = J.export_flat_inputs(_flat_lineup(spark, sf), passes, scratch_path(spark, "flat"))
+    # the exports read back with an explicit schema, names in the order of the file
+    ids = S.create_schema([["match_id", "BIGINT"], ["team_id", "BIGINT"], ["team_name", "STRING"], ["player_id", "BIGINT"],
+                           ["player_name", "STRING"], ["country", "STRING"]], nullable=True)
+    lineups = spark.read.options(**S.PIPE_CSV_OPTIONS).schema(ids).csv(written["lineups"])
+    back = spark.read.parquet(written["passes"])
+    return (lineups.select(F.lit("lineups").alias("export"), F.col("player_name").alias("name"), F.col("player_id").alias("id"))
+            .union(back.select(F.lit("passes"), "recipient_name", "event_id"))
+            .groupBy("export").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("name").alias("n_names"),
+                                   F.sum("id").alias("id_sum")))
+
+
 # ============================================================ metrics ======
 
 def _event_log(spark, sf) -> DataFrame:
@@ -970,7 +1018,7 @@ w AS (SELECT day, {', '.join(f"max(value) FILTER (WHERE asset_key = '{k}') AS {k
 SELECT * FROM w WHERE {' AND '.join(f'{k} IS NOT NULL' for k in _METRIC_KEYS)}
 """)
 def q_metric_pivot(spark, sf):
-    return M.pivot_keys(_daily_series(spark, sf), "day", "asset_key", "value", _METRIC_KEYS)
+    return M.pivot_keys(_daily_series(spark, sf), "day", "asset_key", "value", order=["day"])
 
 
 @register("metric_pct_change", f"""

@@ -1,8 +1,8 @@
 """Session helpers: shared scratch space and lineage cuts.
 
 Scratch data always goes under the cluster's shared checkpoint folder
-(``spark.checkpoint.dir``), read from the session.  Only when it is unset (unit
-tests, a bare local session) is a folder chosen here.
+(``spark.checkpoint.dir``), read from the session.  Only a local session (unit
+tests) without one gets a folder chosen here; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -22,7 +22,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     root = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        # unset (a bare local session, tests): choose a folder and register it
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # unset in a local session (tests): choose a folder and register it
         root = tempfile.mkdtemp(prefix="linkgraph-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)

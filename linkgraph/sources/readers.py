@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -10,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linkgraph.operators.relational import union_all_by_name
+
 # --- fixed values: pipe-separated input -------------------------------------
 PIPE_CSV_OPTIONS = {"header": "true", "sep": "|"}
 # Marker between a kind and the rest of a file name (``<dir>/<Kind>Doc...``).
@@ -46,19 +47,26 @@ def read_file(spark: SparkSession, path: str | Sequence[str], dtype: Any = None,
     return reader.load(path if isinstance(path, str) else list(path))
 
 
+def read_kinds(spark: SparkSession, directory: str, kinds: Sequence[str], fmt: str = "parquet",
+               options: Mapping[str, Any] | None = None, marker: str = KIND_MARKER) -> dict[str, DataFrame]:
+    """One table per kind over a folder whose files (or folders) are typed by name prefix (``<Kind>Doc...``).
+
+    Every kind is read by its own path pattern, so kinds may have columns of one name with other types.
+    """
+    opts = {k: str(v) for k, v in (options or {}).items()}
+    return {k: spark.read.format(fmt).options(**opts).load(f"{directory.rstrip('/')}/{k}{marker}*") for k in kinds}
+
+
 def read_by_prefix(spark: SparkSession, directory: str, kinds: Sequence[str], fmt: str = "parquet",
                    options: Mapping[str, Any] | None = None, marker: str = KIND_MARKER) -> DataFrame:
-    """One read over a folder whose files are typed by name prefix (``<Kind>Doc...``).
+    """The tables of ``read_kinds`` as one, with column ``kind``.
 
-    Adds column ``kind`` taken from the path below ``directory``; files of no
-    listed kind are dropped.  Schemas of the kinds are merged by name.
+    Columns are matched by name; one whose types differ between kinds becomes text
+    (numbers are widened).
     """
-    opts = {"recursiveFileLookup": "true", **({"mergeSchema": "true"} if fmt == "parquet" else {}),
-            **{k: str(v) for k, v in (options or {}).items()}}
-    df = spark.read.format(fmt).options(**opts).load(directory)
-    alts = "|".join(re.escape(k) for k in kinds)
-    kind = F.regexp_extract(F.col("_metadata.file_path"), rf"/({alts}){re.escape(marker)}[^/]*(/[^/]*)?$", 1)
-    return df.withColumn("kind", kind).where(F.col("kind") != "")
+    tables = read_kinds(spark, directory, kinds, fmt, options, marker)
+    tagged = [df.withColumn("kind", F.lit(k)) for k, df in tables.items()]
+    return union_all_by_name(tagged)
 
 
 def read_table(spark: SparkSession, name: str | None = None,

@@ -3,26 +3,28 @@
 Exports follow a graph database bulk importer's layout: data parts without a
 header, the header in a separate file, pipe-separated.  Every write is a
 distributed Spark write into the given base folder (shared storage on a
-cluster); nothing passes through the driver except the header text.
+cluster); nothing passes through the driver except header text and counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from linkgraph.operators.columns import auto_stringify
 from linkgraph.operators.graph import edge_header_names, label_profile, nodes_for_label
+from linkgraph.session import cut_lineage
 
 # --- fixed values: export layout --------------------------------------------
 EXPORT_SEP = "|"
-# Standard CSV quoting; a value holding the separator or a quote is quoted and
-# quotes are doubled, so it reads back unchanged.
-CSV_WRITE_OPTIONS = {"sep": EXPORT_SEP, "quote": '"', "escape": '"', "header": "false"}
+# Standard CSV quoting; a value holding the separator, a quote or a line break is
+# quoted and quotes are doubled.  Outer spaces stay, NULL is told from empty text.
+CSV_WRITE_OPTIONS = {"sep": EXPORT_SEP, "quote": '"', "escape": '"', "header": "false", "lineSep": "\n",
+                     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "nullValue": "\\N"}
+CSV_READ_OPTIONS = {**{k: v for k, v in CSV_WRITE_OPTIONS.items() if k not in ("header", "lineSep")}, "multiLine": "true"}
 HEADER_SUFFIX = "_header"
 EDGES_SUFFIX = "_edges"
 # ---------------------------------------------------------------------------
@@ -38,11 +40,24 @@ def header_frame(df: DataFrame, sep: str = EXPORT_SEP) -> DataFrame:
 
 
 def save_header(df: DataFrame, path: str, sep: str = EXPORT_SEP) -> str:
-    """Write the header line to one text file (in folder ``path``)."""
-    header_frame(df, sep).coalesce(1).write.mode("overwrite").text(path)
+    """Write the header line to one UTF-8 file ``path`` without a line break, on any file system Spark knows."""
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(sep.join(df.columns).encode()))
+    finally:
+        out.close()
     return path
 
 
+def _write_counted(df: DataFrame, path: str) -> int:
+    """Write CSV parts; the number of records written, counted by the write itself."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.options(**CSV_WRITE_OPTIONS).mode("overwrite").csv(path)
+    return seen.get["rows"]
+
+
 def save_file(df: DataFrame, base_dir: str, path: str, fmt: str = "csv", mode: str = "overwrite",
               single_file: bool = False, repartition: int | None = None, save_header_file: bool = False,
               header_sep: str = EXPORT_SEP, options: Mapping[str, Any] | None = None) -> str:
@@ -66,62 +81,56 @@ def save_file(df: DataFrame, base_dir: str, path: str, fmt: str = "csv", mode: s
     return target
 
 
-def write_edges(edges: DataFrame, base_dir: str, name: str, partitions: int | None = None) -> dict[str, str]:
+def write_edges(edges: DataFrame, base_dir: str, name: str, partitions: int | None = None) -> dict[str, Any]:
     """Edge export: ``<name>_edges/`` parts (no header) + ``<name>_header`` file."""
     out = edge_header_names(auto_stringify(edges))
     if partitions:
         out = out.repartition(int(partitions))
     data = _target(base_dir, f"{name}{EDGES_SUFFIX}")
-    out.write.options(**CSV_WRITE_OPTIONS).mode("overwrite").csv(data)
+    rows = _write_counted(out, data)
     header = save_header(out, _target(base_dir, f"{name}{HEADER_SUFFIX}"))
-    return {"kind": "relationship", "name": name, "data": data, "header": header}
+    return {"kind": "relationship", "name": name, "data": data, "header": header, "row_count": rows}
 
 
 def write_nodes(nodes: DataFrame, base_dir: str, labels: Sequence[str] | None = None,
                 partitions: int | None = None, label_col: str = "Label",
-                id_col: str = "NodeID") -> list[dict[str, str]]:
+                id_col: str = "NodeID") -> list[dict[str, Any]]:
     """Per-label node export: ``nodes/<Label>/`` parts + ``nodes/<Label>_header``.
 
-    One profiling pass over all labels decides the columns of each label's
-    file (all-NULL columns dropped); then one write per label.
+    The nodes are stored once in the checkpoint folder; one profiling pass over
+    the wanted labels (default: all) decides the columns of each label's file
+    (all-NULL columns dropped); then one write per label reads the stored table.
+    Nodes without a label belong to no file.
     """
-    profile = label_profile(nodes, label_col)
+    nodes = cut_lineage(nodes, "export-nodes")
+    profile = label_profile(nodes, label_col, labels)
     written = []
     for label in (labels if labels is not None else sorted(profile)):
         table = nodes_for_label(nodes, label, label_col, id_col, keep_cols=profile.get(label, []))
         if partitions:
             table = table.repartition(int(partitions))
         data = _target(base_dir, f"nodes/{label}")
-        table.write.options(**CSV_WRITE_OPTIONS).mode("overwrite").csv(data)
+        rows = _write_counted(table, data)
         header = save_header(table, _target(base_dir, f"nodes/{label}{HEADER_SUFFIX}"))
-        written.append({"kind": "node", "name": label, "data": data, "header": header})
+        written.append({"kind": "node", "name": label, "data": data, "header": header, "row_count": rows})
     return written
 
 
-def read_export(spark: SparkSession, entry: Mapping[str, str]) -> DataFrame:
+def read_export(spark: SparkSession, entry: Mapping[str, Any]) -> DataFrame:
     """Read an exported part folder back, naming columns from its header file
     (all values as text, as the importer sees them)."""
-    header = spark.read.text(entry["header"]).first()["value"]
-    cols = header.split(EXPORT_SEP)
-    schema = ", ".join(f"`{c}` STRING" for c in cols)
-    opts = {k: v for k, v in CSV_WRITE_OPTIONS.items() if k != "header"}
-    return spark.read.options(**opts).schema(schema).csv(entry["data"])
+    header = spark.read.text(entry["header"], wholetext=True).first()["value"]
+    schema = ", ".join(f"`{c}` STRING" for c in header.split(EXPORT_SEP))
+    return spark.read.options(**CSV_READ_OPTIONS).schema(schema).csv(entry["data"])
 
 
-def import_manifest(spark: SparkSession, entries: Sequence[Mapping[str, str]], base_dir: str) -> DataFrame:
+def import_manifest(spark: SparkSession, entries: Sequence[Mapping[str, Any]], base_dir: str) -> DataFrame:
     """Manifest table: (kind, name, header_path, part_glob, row_count) per export.
 
-    Paths are relative to ``base_dir``; row counts are counted on Spark over the
-    written parts (a scan of the output, no recomputation of the graph).
+    Paths are relative to ``base_dir``; row counts are those of the writes (records,
+    which may hold line breaks), so nothing is read again.
     """
     root = base_dir.rstrip("/") + "/"
-    rows = []
-    for e in entries:
-        rel_header = e["header"][len(root):] if e["header"].startswith(root) else e["header"]
-        rel_data = e["data"][len(root):] if e["data"].startswith(root) else e["data"]
-        counted = spark.read.options(**{k: v for k, v in CSV_WRITE_OPTIONS.items() if k != "header"}) \
-                       .csv(e["data"]).agg(F.count(F.lit(1)).alias("row_count"))
-        rows.append(counted.select(F.lit(e["kind"]).alias("kind"), F.lit(e["name"]).alias("name"),
-                                   F.lit(rel_header).alias("header_path"),
-                                   F.lit(f"{rel_data}/part-*").alias("part_glob"), "row_count"))
-    return reduce(DataFrame.unionByName, rows)
+    rows = [(e["kind"], e["name"], e["header"].removeprefix(root), e["data"].removeprefix(root) + "/part-*", e["row_count"])
+            for e in entries]
+    return spark.createDataFrame(rows, "kind STRING, name STRING, header_path STRING, part_glob STRING, row_count BIGINT")

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from linkgraph.functions import expressions as X
 from linkgraph.operators import columns as C
 from tests.conftest import rows
 
@@ -104,3 +105,25 @@ def test_parse_dates_and_times(spark, ansi):
     assert got == [("2020-12-31", "2020-01-02 03:04:05"), (None, None)]
     ep = C.to_epoch_cols(df, ["t"], "yyyy-MM-dd HH:mm:ss")
     assert rows(ep.select("t")) == [(1577934245,), (None,)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_wall_clock_parsing_does_not_depend_on_the_session_zone(spark, zone):
+    import datetime
+    old = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([("2024-03-10 02:30:00",), ("2024-07-01 12:00:00",), ("bad",), (None,)], "t string")
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        got = df.select(X.parse_timestamp("t", fmt, ntz=True).cast("string").alias("n"), X.epoch_seconds("t", fmt).alias("e")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    want = [int(datetime.datetime(*d, tzinfo=datetime.timezone.utc).timestamp()) for d in [(2024, 3, 10, 2, 30), (2024, 7, 1, 12)]]
+    assert [r.e for r in got] == [*want, None, None]
+    assert [r.n for r in got] == ["2024-03-10 02:30:00", "2024-07-01 12:00:00", None, None]
+
+
+def test_only_functions_are_called_by_name(spark):
+    for name in ("udf", "Column", "overload", "sys"):
+        with pytest.raises(Exception):
+            spark.range(1).select(X.call_function(name, ["id"])).collect()

@@ -27,11 +27,10 @@ def _skewed(spark):
 def test_shared_key_pairs_match_brute_force_with_hot_key_split(spark):
     data, df = _skewed(spark)
     expect = _brute_pairs(data)
-    opts = {"target_parts": 8, "fraction": 1.0, "min_hits": 5}
-    hot = G.hot_key_splits(df.where(F.col("EdgeID").isNotNull()), "EdgeID", "NodeID", **opts).collect()
+    hot = G.hot_key_splits(df, "EdgeID", target_parts=8).collect()
     assert [r.EdgeID for r in hot] == ["hot"] and hot[0]["__splits__"] >= 2  # the salted path is exercised
     for split in (True, False):
-        out = G.edges_from_shared_key(df, node_att=["Name"], split_hot_keys=split, skew_options=opts)
+        out = G.edges_from_shared_key(df, node_att=["Name"], split_hot_keys=split, target_parts=8)
         assert out.columns == ["EdgeID", "NodeID1", "Name1", "extra", "NodeID2", "Name2"]
         got = [tuple(r) for r in out.select("EdgeID", "NodeID1", "Name1", "extra", "NodeID2", "Name2").collect()]
         assert len(got) == len(set(got)) == len(expect)

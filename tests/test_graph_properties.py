@@ -1,6 +1,7 @@
 """Property tests: graph operators against brute-force answers on random small tables."""
 
 import itertools
+import math
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -16,8 +17,7 @@ SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=list(H
 @given(st.lists(ROW, min_size=0, max_size=25), st.booleans())
 def test_shared_key_pairs_property(spark, data, split):
     df = spark.createDataFrame(data, "EdgeID string, NodeID int, t string")
-    opts = {"target_parts": 4, "fraction": 1.0, "min_hits": 2}
-    got = [tuple(r) for r in G.edges_from_shared_key(df, split_hot_keys=split, skew_options=opts).collect()]
+    got = [tuple(r) for r in G.edges_from_shared_key(df, split_hot_keys=split, target_parts=4).collect()]
     expect = {(k1, n1, t1, n2) for (k1, n1, t1), (k2, n2, _) in itertools.product(data, data)
               if k1 is not None and k1 == k2 and n1 is not None and n2 is not None and n1 > n2}
     assert len(got) == len(set(got))
@@ -45,9 +45,14 @@ def test_edges_agg_property(spark, data, min_edges):
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 400)), min_size=1, max_size=12), st.integers(1, 6))
 def test_hot_key_list_is_bounded(spark, groups, parts):
-    """Whatever the key sizes, at most `parts` keys come back, each with 2..max splits."""
+    """Whatever the key sizes, fewer than `parts` + 1 keys come back, each with 2..parts splits, and exactly
+    those with more than a partition's share of the pair work."""
     data = [(f"k{key}", node) for key, size in groups for node in range(size)]
     df = spark.createDataFrame(data, "EdgeID string, NodeID int")
-    hot = G.hot_key_splits(df, "EdgeID", "NodeID", target_parts=parts, fraction=1.0, min_hits=1, max_splits=50).collect()
-    assert len(hot) <= parts
-    assert all(2 <= r["__splits__"] <= 50 for r in hot)
+    hot = {r["EdgeID"]: r["__splits__"] for r in G.hot_key_splits(df, "EdgeID", target_parts=parts).collect()}
+    sizes = {}
+    for key, size in groups:
+        sizes[f"k{key}"] = sizes.get(f"k{key}", 0) + size
+    work = sum(k * k for k in sizes.values())
+    assert hot == {key: math.ceil(k * k * parts / work) for key, k in sizes.items() if math.ceil(k * k * parts / work) >= 2}
+    assert len(hot) <= parts and all(2 <= n <= parts for n in hot.values())

@@ -74,3 +74,21 @@ def test_pct_change_chunked_equals_single_window(spark):
     one = {(r.k, r.day): r.pct_change for r in M.pct_change(s, "k", "day", "v").collect()}
     two = {(r.k, r.day): r.pct_change for r in M.pct_change(s, "k", "day", "v", chunk=F.substring("day", 1, 7)).collect()}
     assert one == two and len(one) == len(data)
+
+
+def test_pivot_takes_every_key_and_the_last_value(spark):
+    df = spark.createDataFrame([("d1", "a", 1.0, 1), ("d1", "a", 2.0, 2), ("d1", "f", 9.0, 1), ("d2", "a", 5.0, 1), ("d2", None, 7.0, 1)],
+                               "day string, k string, v double, at int")
+    wide = M.pivot_keys(df, "day", "k", "v", order=["at"], dropna=False)
+    assert wide.columns == ["day", "a", "f"]
+    assert rows(wide) == [("d1", 2.0, 9.0), ("d2", 5.0, None)]
+    assert rows(M.pivot_keys(df, "day", "k", "v", order=["at"])) == [("d1", 2.0, 9.0)]
+
+
+def test_player_dictionary_from_nested_events(spark):
+    ev = [(1, 5, '{"type":"Substitution","substitution":{"replacement":{"id":7,"name":"Ann"}}}'),
+          (1, 0, '{"tactics":{"lineup":[{"player":{"id":1,"name":"Ann"}},{"player":{"id":2,"name":"Bo"}},{"player":{"id":3,"name":"Bo"}}]}}'),
+          (2, 3, '{"substitution":{"replacement":{"id":8,"name":"Cy"}}}'), (2, 4, '{"type":"Pass","pass":{"length":3}}'), (2, 5, "broken")]
+    df = spark.createDataFrame(ev, "match int, at int, event string")
+    got = N.lookup_last_wins(N.event_players(df, "event", ["match"], "at"), ["match"], "name", "id", "position")
+    assert rows(got) == [(1, "Ann", 1), (1, "Bo", 3), (2, "Cy", 8)]

@@ -33,8 +33,9 @@ LARGE_INPUT_SHUFFLES = {
     "job_shared_key_edges": 3,
     # order lines and orders shuffled on the order key, one to aggregate the edges
     "job_directed_edges": 3,
-    # group counts (two-phase distinct) and the detail, semi-join and distinct reuse them
-    "filter_edges_by_threshold": 3,
+    # group counts (two-phase distinct); the detail made distinct on all columns (a hot group is spread),
+    # then dealt by group for the join, which is the last step and can be split
+    "filter_edges_by_threshold": 4,
     # one partial aggregate per key
     "dedup_subset": 1,
 }

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from linkgraph.operators import graph as G
 from linkgraph.session import scratch_path
 from linkgraph.sources import readers as S
@@ -77,3 +79,58 @@ def test_scratch_and_lineage_cut(spark):
     cut = cut_lineage(df.where("v % 2 = 0"))
     assert "Scan parquet" in cut._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.v for r in cut.collect()) == [0, 2, 4, 6, 8]
+
+
+AWKWARD = ["two\nlines", "cr\r\nlf", " lead", "trail ", "", None, "a|b", 'q"uo"te', "\\", "é", "plain", "\t"]
+
+
+def test_export_keeps_awkward_values(spark):
+    base = scratch_path(spark, "t-awkward")
+    data = [(i, "Player", v) for i, v in enumerate(AWKWARD)] + [(99, None, "no label")]
+    nodes = spark.createDataFrame(data, "NodeID int, Label string, NodeName string")
+    written = K.write_nodes(nodes, base)
+    assert [e["name"] for e in written] == ["Player"]  # a node without a label belongs to no file
+    back = {int(r["PLAYER:ID"]): r["NodeName"] for r in K.read_export(spark, written[0]).collect()}
+    assert back == dict(enumerate(AWKWARD))
+    edges = spark.createDataFrame([(1, 2, 1, "[a\nb, c]"), (1, 3, 1, None)], "NodeID1 int, NodeID2 int, edge_weight int, k_att string")
+    e = K.write_edges(edges, base, "rel")
+    assert sorted((r["NodeID2:END_ID"], r["k_att"]) for r in K.read_export(spark, e).collect()) == [("2", "[a\nb, c]"), ("3", None)]
+    counts = {r.name: r.row_count for r in K.import_manifest(spark, [*written, e], base).collect()}
+    assert counts == {"Player": len(AWKWARD), "rel": 2}
+
+
+def test_header_is_one_file_without_line_break(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x")], "`NodeID:ID` int, `é` string")
+    path = K.save_header(df, f"file://{tmp_path}/T_header")
+    assert (tmp_path / "T_header").read_bytes() == "NodeID:ID|é".encode()
+    assert path.endswith("T_header")
+
+
+def test_kinds_with_other_types(spark):
+    base = scratch_path(spark, "t-kinds")
+    spark.createDataFrame([(1, "a")], "id int, v string").write.parquet(f"{base}/OneDoc_1")
+    spark.createDataFrame([("x", 2.5)], "id string, v double").write.parquet(f"{base}/TwoDoc_1")
+    spark.range(3).write.parquet(f"{base}/OtherDoc_1")
+    kinds = S.read_kinds(spark, base, ["One", "Two"])
+    assert {k: df.dtypes for k, df in kinds.items()} == {"One": [("id", "int"), ("v", "string")], "Two": [("id", "string"), ("v", "double")]}
+    assert rows(S.read_by_prefix(spark, base, ["One", "Two"]).select("kind", "id", "v")) == [("One", "1", "a"), ("Two", "x", "2.5")]
+
+
+def test_no_scratch_outside_shared_storage(monkeypatch):
+    import linkgraph.session as session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.checkpoint_root(Session())

@@ -1,6 +1,7 @@
 """The salted shared-key join on real rows: a key holding ~1.7 % of the order lines
 (about half of all pair work) is detected, split, and gives exactly the unsplit result."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from linkgraph.operators import graph as G
@@ -13,12 +14,11 @@ def test_hot_key_split_equals_unsplit(spark):
     hot = F.col("l_orderkey") % 60 == 0  # moves ~1000 order lines onto one key
     key = F.when(hot, F.lit("HOT")).otherwise(F.concat_ws("_", "l_orderkey", "l_returnflag"))
     d = li.select(key.alias("EdgeID"), F.col("l_partkey").alias("NodeID"), "l_linestatus")
-    opts = {"min_hits": 5}
-    found = G.hot_key_splits(d, "EdgeID", "NodeID", **opts).collect()
+    found = G.hot_key_splits(d, "EdgeID").collect()
     assert [r.EdgeID for r in found] == ["HOT"] and found[0]["__splits__"] >= 2
 
     def edges(split):
-        pairs = G.edges_from_shared_key(d, split_hot_keys=split, skew_options=opts, distinct=False)
+        pairs = G.edges_from_shared_key(d, split_hot_keys=split, distinct=False)
         return G.edges_agg(pairs, weight_col="EdgeID", att_cols=["EdgeID", "l_linestatus"]).edges
 
     def fingerprint(e):
@@ -27,3 +27,39 @@ def test_hot_key_split_equals_unsplit(spark):
 
     a, b = fingerprint(edges(True)), fingerprint(edges(False))
     assert a == b and a[0] > 300_000
+
+
+def _shares(df):
+    """Rows of each task, as shares of all rows."""
+    n = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    return [x / sum(n) for x in n]
+
+
+@pytest.mark.parametrize("hot", ["key", "key and node"])
+def test_no_task_has_a_tenth_of_the_pairs(spark, hot):
+    """One hot key, and one key with a node on most of its rows; adaptive execution as it is by default."""
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    n = 2000
+    node = F.col("id") if hot == "key" else F.when(F.col("id") < n * 5 // 6, 10**6).otherwise(F.col("id"))
+    rows = (spark.range(n).select(F.lit("hot").alias("EdgeID"), node.alias("NodeID"), F.col("id").alias("day"))
+            .union(spark.range(4000).select(F.concat(F.lit("k"), F.col("id") % 1000), "id", "id")))
+    pairs = G.edges_from_shared_key(rows, distinct=False, target_parts=64)
+    assert max(_shares(pairs)) <= 0.1
+    small = G.edges_from_shared_key(rows.where("day % 7 = 0"), distinct=False, target_parts=64)
+    plain = G.edges_from_shared_key(rows.where("day % 7 = 0"), split_hot_keys=False)
+    assert small.exceptAll(plain).count() == plain.exceptAll(small).count() == 0
+
+
+def test_threshold_filter_joins_last(spark):
+    """The detail is made distinct on all columns (a hot group is spread there); the join that follows can be split."""
+    rows = spark.range(4000).select(F.when(F.col("id") < 2000, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 500)).alias("g"),
+                                    (F.col("id") % 1000).alias("n"))
+    out = G.filter_edges_by_threshold(rows, "n", ["g"], 3, 10**6)
+    assert [tuple(r) for r in out.groupBy("g").count().collect()] == [("hot", 1000)]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = G.filter_edges_by_threshold(rows, "n", ["g"], 3, 10**6)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.index("LeftSemi") < plan.index("Aggregate")
