@@ -1,0 +1,55 @@
+import datetime
+import random
+
+from linkgraph.llm import urlfilter as U
+
+
+def day(n):
+    return datetime.date(2024, 1, 1) + datetime.timedelta(n)
+
+
+def matching(url):
+    rest = url.split("://")[1]
+    host, _, path = rest.partition("/")
+    labels, parts = host.split("."), [p for p in path.split("?")[0].split("#")[0].split("/") if p]
+    return ({("host", host)} | {("domain", ".".join(labels[i:])) for i in range(len(labels))}
+            | {("prefix", host + "/" + "/".join(parts[:i])) for i in range(1, len(parts) + 1)})
+
+
+def test_against_brute_force(spark):
+    rnd = random.Random(1)
+    urls = [f"http://{a}.{b}.example/{c}/{d}?q={c}" for a in "ab" for b in "xy" for c in ("p", "q") for d in ("1", "2")]
+    known = sorted(set().union(*map(matching, urls)))
+    entries = [(rnd.choice(["l1", "l2"]), *rnd.choice(known), day(rnd.randrange(40)), rnd.choice(["add", "remove"])) for _ in range(120)]
+    captures = [(i, rnd.choice(urls), day(rnd.randrange(45))) for i in range(200)]
+    got = U.filter_captures(spark.createDataFrame(captures, "id int, url string, fetched_on date"),
+                            spark.createDataFrame(entries, "list string, kind string, pattern string, day date, action string")).collect()
+    assert len(got) == 200
+    for r in got:
+        want = set()
+        for name, kind, pattern in {e[:3] for e in entries}:
+            past = [(e[3], e[4] == "remove") for e in entries if e[:3] == (name, kind, pattern) and e[3] <= r.fetched_on]
+            if past and not max(past)[1] and (kind, pattern) in matching(r.url):
+                want.add(name)
+        assert r.lists == ",".join(sorted(want)) and r.blocked == bool(want)
+
+
+def test_intervals(spark):
+    e = [("l", "host", "h", day(n), a) for n, a in [(1, "remove"), (2, "add"), (3, "add"), (5, "remove"), (5, "add"), (7, "add")]]
+    e += [(None, "host", "h", day(1), "add"), ("l", "host", None, day(1), "add")]
+    got = U.intervals(spark.createDataFrame(e, "list string, kind string, pattern string, day date, action string")).collect()
+    assert sorted((r.valid_from, r.valid_to) for r in got) == [(day(2), day(5)), (day(7), None)]
+
+
+def test_awkward_rows(spark):
+    rows = [(1, "http://h.example/", day(3), "x", "u"), (1, "http://h.example/", day(3), "x", "u"), (2, None, day(3), "x", "u"),
+            (3, "http://h.example/", None, "x", "u"), (4, "no url", day(3), "x", "u"), (5, "HTTP://u@H.example:8/" + "a/" * 2000, day(3), "x", "u")]
+    schema = "id int, url string, fetched_on date, found string, u string"
+    lists = "list string, kind string, pattern string, day date, action string"
+    entries = spark.createDataFrame([("l", "domain", "example", day(1), "add"), ("m", "prefix", "h.example/a/a", day(1), "add")], lists)
+    df = spark.createDataFrame(rows, schema)
+    got = U.filter_captures(df, entries)
+    assert got.columns == [*df.columns, "lists", "blocked"]
+    assert sorted((r.id, r.lists) for r in got.collect()) == [(1, "l"), (1, "l"), (2, ""), (3, ""), (4, ""), (5, "l,m")]
+    assert U.filter_captures(df.limit(0), entries).count() == 0
+    assert U.filter_captures(df, entries.limit(0)).where("blocked").count() == 0
