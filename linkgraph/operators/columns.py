@@ -18,6 +18,7 @@ from linkgraph.functions import expressions as X
 
 log = logging.getLogger(__name__)
 
+# --- fixed values: array columns with these endings are rendered as text on save
 _STRINGIFY_SUFFIXES = ("_att", "_set")
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# --- fixed values: Spark's names of join kinds
 JOIN_TYPES = ("inner", "cross", "outer", "full", "full_outer", "left", "left_outer",
               "right", "right_outer", "left_semi", "left_anti")
 
