@@ -40,7 +40,7 @@ FIND = re.compile("|".join([
     r"(?P<date>" + _NOT_IN_WORD + r"\d{1,2}(?P<sep>[/.-])\d{1,2}(?P=sep)\d{4}(?![\d]|[/.-]\d))",
     r"(?P<ssn>" + _NOT_IN_WORD + r"\d{3}-\d{2}-\d{4}(?![\d-]))",
     r"(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d|[A-Za-z_]))",
-    r"(?P<phone>(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\d)"
+    r"(?P<phone>(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\d)"
     r"|(?<![\w+-])(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?![\d-]))",
     r"(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\d-]|[A-Za-z_]))",
 ]))
@@ -233,7 +233,7 @@ class Pseudonymizer:
 
     def card(self, s: str) -> str | None:
         digits = re.sub(r"\D", "", s)
-        if digits[0] not in "23456" or not luhn_ok(digits):
+        if not 13 <= len(digits) <= 19 or digits[0] not in "23456" or not luhn_ok(digits):
             return None
         n = len(digits) - 2
         body = digits[0] + f"{self.p.permute(int(digits[1:-1]), 10 ** n, f'card{digits[0]}:{n}'):0{n}d}"
@@ -255,6 +255,12 @@ class Pseudonymizer:
             kind = kind or ("secret" if m["value"] else "date")
             begin, end = m.span("value") if kind == "secret" else m.span()
             new = self.value(kind, text[begin:end])
+            while new is None and kind in ("card", "iban"):  # a group behind the number may belong to something else
+                cut = max(text.rfind(c, begin, end) for c in " -")
+                if cut <= begin:
+                    break
+                end = cut
+                new = self.value(kind, text[begin:end]) if end - begin >= 13 else None
             if new is None:  # not valid: look again behind its first run of letters and digits
                 at = begin + max(1, re.match(r"\w*", text[begin:end]).end())
                 continue

@@ -65,6 +65,10 @@ def test_checks_and_formats():
         assert p.text(stays) == (stays, 0)
     spaced, plain = p.text("4041 8949 7460 8795")[0], p.text("4041894974608795")[0]
     assert spaced.replace(" ", "") == plain and P.luhn_ok(plain)
+    alone = [p.text(s)[0] for s in ("4451718024887799", "27.65.93.188", "+1 (836) 555-9331", "4451 7180 2488 7799", "GB82 WEST 1234 5698 7654 32")]
+    for i, j in [(0, 1), (2, 0), (2, 1), (1, 0), (0, 2), (3, 1), (0, 0), (3, 3), (4, 4), (4, 0)]:
+        values = ["4451718024887799", "27.65.93.188", "+1 (836) 555-9331", "4451 7180 2488 7799", "GB82 WEST 1234 5698 7654 32"]
+        assert p.text(f"{values[i]} {values[j]}") == (f"{alone[i]} {alone[j]}", 2), (i, j)
     a, b, c = (p.text(s)[0] for s in ("2003-12-25", "12/25/2003", "25.12.2003"))
     assert a == "-".join([b[6:], b[:2], b[3:5]]) == "-".join([c[6:], c[3:5], c[:2]])
     for s, n in [('token = "0641917ea4e9feb9cda83477b57ac2654884f485"', 1), ("password=e3b3ed3cc8548923d6", 1), ("password=12345678", 1)]:
