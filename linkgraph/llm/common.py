@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkgraph.session import cut_lineage
@@ -46,3 +46,21 @@ def let(value: Column, body) -> Column:
 def text_key(text: Column) -> Column:
     """64-bit hash of a text (null counts as empty)."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def largest(table: DataFrame, by: list[str], most: int, count: str = "n") -> DataFrame:
+    """Of each group ``by`` the rows with the largest ``count``, at most ``most``.
+
+    Whole classes of counts (eighths of a power of 2) stay or go, so a group is cut
+    by a threshold found from its few hundred class sizes, and never sorted.
+    """
+    size = F.floor(F.log2(F.col(count)) * 8)
+    down = Window.partitionBy(*by).orderBy(F.desc("size"))
+    cut = (table.groupBy(*by, size.alias("size")).agg(F.count("*").alias("rows"))
+           .withColumn("upto", F.sum("rows").over(down)).where(F.col("upto") <= most)
+           .groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(F.min("size").alias("_least")))
+    cut = stash(cut, "largest")
+    at = size >= F.col("_least")
+    for c in by:
+        at = (F.col(c) == F.col(f"_{c}")) & at
+    return table.join(cut, at).select(*table.columns)

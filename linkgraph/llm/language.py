@@ -16,16 +16,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import small_batches, stash
+from linkgraph.llm.common import largest, small_batches, stash
 
 #: The model learns from about this many labelled documents (all of them, if there are fewer), chosen by a hash of the id.
 SAMPLE_ROWS = 40_000
-#: Most words and n-grams of each language in the model: those seen most often.
-MAX_WORDS, MAX_GRAMS = 20_000, 20_000
+#: Most words, and most n-grams of each length, of a language in the model: those seen most often.
+MAX_ITEMS = 20_000
 LONGEST = 4
+#: Most words whose scores a task remembers.
+MEMO = 50_000
 #: Languages learned at most: those with most documents in the sample.
 MAX_LANGS = 200
 UNKNOWN = "und"
@@ -59,10 +61,10 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     return words.select(F.lit(0).alias("kind"), "lang", "item", "n").unionByName(grams)
 
 
-def load(counts: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> dict:
-    """The model as lookup tables: of each language the most frequent words and n-grams, ties by code point.
+def load(counts: DataFrame, max_items: int = MAX_ITEMS) -> dict:
+    """The model as lookup tables: of each language the most frequent words and n-grams.
 
-    Its size is bounded by the item limits times the number of languages.  Items
+    Its size is bounded by the item limit times the number of languages.  Items
     seen once are left to shorter n-grams; totals count all.
     """
     counts = stash(counts, "lang-counts")
@@ -70,9 +72,7 @@ def load(counts: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRA
     by_lang = [r["lang"] for r in totals.where("kind = 0").orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
     langs = sorted(by_lang)
     total = {(r["lang"], r["kind"]): r["n"] for r in totals.where(F.col("lang").isin(langs)).collect()}
-    rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))
-    top = (counts.where(F.col("lang").isin(langs) & (F.col("n") > 1)).withColumn("rank", rank)
-           .where(F.col("rank") <= F.when(F.col("kind") == 0, max_words).otherwise(max_grams))
+    top = (largest(counts.where(F.col("lang").isin(langs) & (F.col("n") > 1)), ["lang", "kind"], max_items)
            .select("lang", "kind", "item", "n").toArrow().to_pydict())
     best: dict[int, dict[str, list[int]]] = {k: {} for k in range(LONGEST + 1)}
     at = {lang: i for i, lang in enumerate(langs)}
@@ -116,7 +116,7 @@ def predict(text: str | None, model: dict, memo: dict) -> tuple[str, float]:
     for w, n in words.items():
         s = memo.get(w)
         if s is None:
-            if len(memo) >= 200_000:
+            if len(memo) >= MEMO:
                 memo.clear()
             s = memo[w] = score_word(w, model)
         rows.append(s)
@@ -135,7 +135,7 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)  # bounded by the model's item limits
+    shared = spark.sparkContext.broadcast(model)  # bounded by the model's item limit
 
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
