@@ -16,10 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import small_batches, stash
+from linkgraph.llm.common import largest, small_batches, stash
 
 ORDER, BITS = 5, 12
 #: Code points from here on share the symbols above it by their remainder.
@@ -189,25 +189,19 @@ def kneser_ney(counts: DataFrame) -> tuple[dict[int, DataFrame], dict[int, DataF
     return probs, backs
 
 
-def _largest(table: DataFrame, most: int) -> DataFrame:
-    """Of each language the rows with the largest ``n``, at most ``most``: whole classes of counts (eighths of a power of 2)."""
-    size = F.floor(F.log2("n") * 8)
-    up = Window.partitionBy("lang").orderBy(F.desc("size"))
-    cut = (table.groupBy("lang", size.alias("size")).agg(F.count("*").alias("rows"))
-           .withColumn("upto", F.sum("rows").over(up)).where(F.col("upto") <= most)
-           .groupBy(F.col("lang").alias("l2")).agg(F.min("size").alias("least")))
-    return table.join(cut, (F.col("lang") == F.col("l2")) & (size >= F.col("least")))
-
-
 def load(probs: dict[int, DataFrame], backs: dict[int, DataFrame], most: int = MAX_GRAMS) -> dict:
     """The model as sorted arrays: {language: {"p1": (keys, logps), ..., "b5": ...}}, bounded by ``most`` entries each."""
     model: dict[str, dict] = {}
     for kind, tables in (("p", probs), ("b", backs)):
         for k, table in tables.items():
-            got = _largest(table, most).select("lang", "key", F.col("logp").cast("float").alias("logp")).toArrow()
-            name, key = got.column("lang").to_pandas(), got.column("key").to_numpy()
-            logp = got.column("logp").to_numpy()
-            for lang, rows in name.groupby(name).indices.items():
+            got = (largest(table, ["lang"], most).select("lang", "key", F.col("logp").cast("float").alias("logp"))
+                   .toArrow().combine_chunks())
+            if not got.num_rows:
+                continue
+            names = got.column("lang").combine_chunks().dictionary_encode()
+            at, key, logp = names.indices.to_numpy(), got.column("key").to_numpy(), got.column("logp").to_numpy()
+            for i, lang in enumerate(names.dictionary.to_pylist()):
+                rows = np.flatnonzero(at == i)
                 rows = rows[np.argsort(key[rows])]
                 model.setdefault(lang, {})[f"{kind}{k}"] = (key[rows], logp[rows])
     return model
