@@ -64,3 +64,15 @@ def largest(table: DataFrame, by: list[str], most: int, count: str = "n") -> Dat
     for c in by:
         at = (F.col(c) == F.col(f"_{c}")) & at
     return table.join(cut, at).select(*table.columns)
+
+
+def split_largest(table: DataFrame, most: int, count: str = "n") -> tuple[DataFrame, DataFrame]:
+    """``table`` in two: the rows with the largest ``count``, at most ``most`` (whole classes, as in ``largest``), and all others."""
+    size = F.floor(F.log2(F.col(count)) * 8)
+    least, upto = 1 << 30, 0
+    for r in sorted(table.groupBy(size.alias("size")).agg(F.count("*").alias("rows")).collect(), reverse=True):
+        upto += r["rows"]
+        if upto > most:
+            break
+        least = r["size"]
+    return table.where(size >= least), table.where(size < least)

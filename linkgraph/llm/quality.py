@@ -4,9 +4,11 @@ The language model is a modified Kneser-Ney model over 5-grams of characters, on
 per language, counted by Spark over all documents.  A character is a symbol of 12
 bits, so an n-gram is a whole number: dropping its first or last character is a
 shift or a mask, and contexts and lower orders are found by joins on such numbers.
-Workers hold the model as sorted arrays of these numbers beside log-probabilities
-and look n-grams up by binary search.  Documents whose perplexity lies outside
-their language's band are rejected.
+Workers hold the n-grams seen most often as sorted arrays of these numbers beside
+log-probabilities and look them up by binary search; all others are looked up in
+the stored table by a join, so every n-gram of every document gets its own
+probability.  Documents whose perplexity lies outside their language's band are
+rejected.
 """
 
 from __future__ import annotations
@@ -19,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import largest, small_batches, stash
+from linkgraph.llm.common import largest, small_batches, split_largest, stash
 
 ORDER, BITS = 5, 12
 #: Code points from here on share the symbols above it by their remainder.
 FOLD = 3840
-#: Most n-grams of one language and order that workers hold, those seen most often; others are scored by backing off.
+#: Most n-grams of one language and order in a model that is loaded to score other texts; ``judge`` does not use it.
 MAX_GRAMS = 400_000
+#: Most n-grams that workers hold at once, over all languages; the others are joined, so this changes no result.
+HELD = 2_000_000
 #: A task hands its counts on when it holds so many different n-grams.
 FLUSH = 2_000_000
 #: Characters scored at once.
@@ -268,6 +272,82 @@ def measure(docs: DataFrame, model: dict, text: str = "text", lang: str = "lang"
     return out.select(*[f"`{c}`" for c in kept], *[f"_measure.{c}" for c in names])
 
 
+def hold(table: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """{language: (keys, logps)} of a bounded table (lang, key, logp), sorted by key."""
+    got = table.select("lang", "key", "logp").toArrow().combine_chunks()
+    if not got.num_rows:
+        return {}
+    names = got.column("lang").combine_chunks().dictionary_encode()
+    at, key, logp = names.indices.to_numpy(), got.column("key").to_numpy(), got.column("logp").to_numpy()
+    order = np.lexsort((key, at))
+    edge = np.searchsorted(at[order], np.arange(len(names.dictionary) + 1))
+    return {lang: (key[order[i:j]], logp[order[i:j]])
+            for lang, i, j in zip(names.dictionary.to_pylist(), edge[:-1], edge[1:], strict=True)}
+
+
+def measure_own(docs: DataFrame, probs: DataFrame, text: str = "text", lang: str = "lang", most: int = HELD) -> DataFrame:
+    """``measure`` for the documents that ``probs``, the probabilities of all their 5-grams, was counted from; without the text.
+
+    Workers look up the at most ``most`` n-grams seen most often.  The distinct
+    other ones of each document are joined with the rest of ``probs``.  Those that
+    occur in very many documents are held, so no key of that join is hot.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    often, rest = split_largest(probs, most)
+    shared = spark.sparkContext.broadcast(hold(often))  # bounded by most
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+    @F.pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+                  "base_failed boolean, size long, total double, square double, missed array<long>, times array<long>")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, langs in batches:
+            texts, langs = [t or "" for t in texts], [x or "" for x in langs]
+            sizes, sums = np.zeros(len(texts), np.int64), np.zeros((2, len(texts)))
+            missed, times = [None] * len(texts), [None] * len(texts)
+            by: dict[str, list[int]] = {}
+            for i, x in enumerate(langs):
+                by.setdefault(x, []).append(i)
+            for x, rows in by.items():
+                for part in _slices([texts[i] for i in rows]):
+                    at = [rows[i] for i in part]
+                    keys, size = grams([texts[i] for i in at])
+                    found, logs = _find(shared.value.get(x), keys)
+                    logs = np.where(found, logs, 0.0)
+                    ends = np.cumsum(size)
+                    sizes[at] = size
+                    for k, v in enumerate((logs, logs * logs)):
+                        c = np.concatenate(([0.0], np.cumsum(v)))
+                        sums[k, at] = c[ends] - c[ends - size]
+                    for i, begin, end in zip(at, ends - size, ends, strict=True):
+                        own = ~found[begin:end]
+                        if own.any():
+                            missed[i], times[i] = np.unique(keys[begin:end][own], return_counts=True)
+            out = pd.DataFrame([base_rules(t) for t in texts], columns=names)
+            yield out.assign(size=sizes, total=sums[0], square=sums[1], missed=pd.Series(missed, dtype=object),
+                             times=pd.Series(times, dtype=object))
+
+    kept = [c for c in docs.columns if c not in (*names, text)]
+    out = docs.select(*[docs[f"`{c}`"] for c in kept], F.monotonically_increasing_id().alias("_row"),
+                      run(docs[f"`{text}`"].cast("string"), docs[f"`{lang}`"].cast("string")).alias("_m"))
+    # the numbers of the rows are fixed by writing them
+    rows = stash(out.select(*[f"`{c}`" for c in kept], "_row", "_m.*"), "quality-rows")
+    far = (rows.where(F.col("missed").isNotNull())
+           .select("_row", F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("")).alias("l5"),
+                   F.explode(F.arrays_zip("missed", "times")).alias("g"))
+           .select("_row", "l5", F.col("g.missed").alias("k5"), F.col("g.times").alias("times")))
+    more = (far.join(rest, (F.col("l5") == F.col("lang")) & (F.col("k5") == F.col("key")))
+            .groupBy(F.col("_row").alias("_row2"))
+            .agg(F.sum(F.col("times") * F.col("logp")).alias("more"),
+                 F.sum(F.col("times") * F.col("logp") * F.col("logp")).alias("more2")))
+    some = F.when(F.col("size") > 0, F.col("size"))
+    mean = (F.col("total") + F.coalesce("more", F.lit(0.0))) / some
+    spread = (F.col("square") + F.coalesce("more2", F.lit(0.0))) / some - mean * mean
+    joined = rows.join(more, F.col("_row") == F.col("_row2"), "left")
+    return joined.select(*[f"`{c}`" for c in kept], *names, (-mean).alias("log_ppl"),
+                         F.sqrt(F.when(spread > 0, spread).when(some.isNotNull(), 0.0) / some).alias("error"))
+
+
 def bands(measured: DataFrame, lang: str = "lang", width: float = BAND) -> DataFrame:
     """(band_lang, lower, upper): per language the log-perplexities of ordinary documents (those the base rules pass).
 
@@ -285,16 +365,17 @@ def in_band(errors: float = ERRORS) -> Column:
     return F.coalesce(F.col("log_ppl").between(F.col("lower") - slack, F.col("upper") + slack), F.lit(False))
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", most: int = HELD) -> DataFrame:
     """(key, lang, base numbers, base_failed, log_ppl, error, lower, upper, kept) for every row of ``docs``.
 
     * null text counts as empty: no words, base_failed.
     * null language has a model and a band of its own.
+    * every n-gram counts with its own probability, however many there are; ``most`` bounds only what workers hold at once.
     * ties do not matter; repeated rows get the same verdict.  An empty table gives an empty result.
     """
     rows = docs.select(docs[f"`{key}`"].alias(key), docs[f"`{text}`"].alias("text"), docs[f"`{lang}`"].alias("lang"))
-    model = load(*kneser_ney(count_grams(rows)))
-    measured = stash(measure(rows, model).drop("text"), "quality")
+    probs, _ = kneser_ney(count_grams(rows))
+    measured = stash(measure_own(rows, probs[ORDER], most=most), "quality")
     limits = stash(bands(measured), "quality-bands")
     return (measured.join(limits, F.coalesce("lang", F.lit("")) == F.col("band_lang"), "left")
             .withColumn("kept", ~F.col("base_failed") & in_band()).drop("band_lang"))

@@ -95,3 +95,27 @@ def test_awkward_rows(spark):
             t = next(t for i, t, *_ in TEXTS if i == r.doc_id)
             assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute_rules(t)
     assert K.judge(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("most", [K.HELD, 3000])
+def test_every_gram_counts_in_a_large_language(spark, most):
+    rnd = random.Random(5)
+    marks = "abcdefghijklmnopqrstuvwxyzäöüßéèàçñ0123456789"
+    texts = ["".join(rnd.choices(marks, k=12_000)) for _ in range(40)] + ["the same words again " * 40] * 3
+    d = documents(spark, [(i, t, "de", "a") for i, t in enumerate(texts)])
+    want, padded = brute_model(texts)
+    assert len(want) > K.MAX_GRAMS
+    got = K.judge(d, most=most).collect() if most != K.HELD else K.judge(d).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        p = padded[r.doc_id]
+        logs = [want[p[i:i + 5]] for i in range(len(p) - 4)]
+        assert abs(r.log_ppl + sum(logs) / len(logs)) < 1e-6
+        assert abs(r.error - np.std(logs) / math.sqrt(len(logs))) < 1e-6
+
+
+def test_many_languages_share_what_is_held(spark):
+    rnd = random.Random(6)
+    rows = [(i, " ".join("".join(rnd.choices("abcdefgh", k=5)) for _ in range(30)), f"l{i % 20}", "a") for i in range(60)]
+    a, b = ({r.doc_id: r for r in K.judge(documents(spark, rows), most=m).collect()} for m in (K.HELD, 500))
+    assert all(abs(a[i].log_ppl - b[i].log_ppl) < 1e-9 and a[i].kept == b[i].kept for i in a)
