@@ -23,17 +23,19 @@ from pyspark.sql import functions as F
 from linkgraph.llm.common import small_batches
 
 ROUNDS = 8
+#: Longer values are permuted digit by digit instead of as one number.
+LONG = 256
 #: For tests and examples; production passes its own.
 DEMO_KEY = b"linkgraph demonstration key"
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 #: Text without any of these characters holds nothing to replace.
-CANDIDATE_SQL = "[0-9@=]"
+CANDIDATE_SQL = "[0-9@=:]"
 
 _NOT_IN_WORD, _ENDS = r"(?<![\w.+-])", r"(?![\w])"
 FIND = re.compile("|".join([
     r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}" + _ENDS + ")",
-    r"(?P<secret>(?<![A-Za-z])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?"
-    r"(?P<value>[A-Za-z0-9+/_-]{8,256})(?![A-Za-z0-9+/_-]))",
+    r"(?P<secret>(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?"
+    r"(?P<value>[A-Za-z0-9+/_-]{8,}+))",
     r"(?P<aws>(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9]))",
     r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))",
     r"(?P<iso>" + _NOT_IN_WORD + r"\d{4}-\d{2}-\d{2}(?![\d-]))",
@@ -54,7 +56,10 @@ class Permuter:
 
     def _round(self, j: int, tweak: bytes, half: int, mod: int) -> int:
         data = bytes([j]) + tweak + b"\0" + half.to_bytes((half.bit_length() + 7) // 8 or 1, "big")
-        return int.from_bytes(hashlib.blake2b(data, key=self.key).digest(), "big") % mod
+        got = hashlib.blake2b(data, key=self.key).digest()
+        if mod.bit_length() > 8 * len(got):  # a half of a long value: every digit of it has to change
+            got = hashlib.shake_256(got).digest(mod.bit_length() // 8 + 9)
+        return int.from_bytes(got, "big") % mod
 
     def once(self, x: int, a: int, b: int, tweak: bytes) -> int:
         """A Feistel network over [0, a * b) with halves of sizes a and b."""
@@ -63,6 +68,16 @@ class Permuter:
             left, right = right, (left + self._round(j, tweak, right, a if j % 2 else b)) % (a if j % 2 else b)
         return a * right + left
 
+    def chain(self, x: list[int], sizes: list[int], tweak: str) -> list[int]:
+        """A Feistel network over the digits of a long number with bases ``sizes`` (256 at most), in linear time."""
+        n, t = len(x) // 2, hashlib.blake2b(tweak.encode(), key=self.key).digest()
+        halves, bases = [x[:n], x[n:]], [sizes[:n], sizes[n:]]
+        for j in range(ROUNDS):
+            own, other = j % 2, 1 - j % 2
+            got = hashlib.shake_256(self.key + bytes([j]) + t + bytes(halves[other])).digest(2 * len(halves[own]))
+            halves[own] = [(v + 256 * a + b) % m for v, a, b, m in zip(halves[own], got[::2], got[1::2], bases[own], strict=True)]
+        return halves[0] + halves[1]
+
     def permute(self, x: int, size: int, tweak: str, valid=None) -> int:
         """Walks the network's cycle from ``x`` to the next number below ``size`` that is valid.
 
@@ -111,6 +126,16 @@ class Pseudonymizer:
         hexed = kind == "secret" and re.fullmatch("[0-9]*[a-f][0-9a-f]*", s) is not None
         sets = ["0123456789abcdef"] if hexed else ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
         shape = [next((x for x in sets if c in x), None) for c in s]
+        tweak = f"{kind}:{'x' if hexed else ''}" + "".join(c if own is None else str(sets.index(own))
+                                                           for c, own in zip(s, shape, strict=True))
+        if len(s) > LONG:
+            digits = [own.index(c) for c, own in zip(s, shape, strict=True) if own]
+            while True:
+                digits = self.p.chain(digits, [len(own) for own in shape if own], tweak)
+                it = iter(digits)
+                out = "".join(own[next(it)] if own else c for c, own in zip(s, shape, strict=True))
+                if not (hexed and out.isdecimal()):
+                    return out
 
         def text_of(x: int) -> str:
             out = []
@@ -125,8 +150,6 @@ class Pseudonymizer:
         for c, own in zip(s, shape, strict=True):
             if own:
                 x, size = x * len(own) + own.index(c), size * len(own)
-        tweak = f"{kind}:{'x' if hexed else ''}" + "".join(c if own is None else str(sets.index(own))
-                                                           for c, own in zip(s, shape, strict=True))
         # hex numbers of digits alone count as decimal, so they are no valid result here
         valid = (lambda v: not text_of(v).isdecimal()) if hexed else None
         return text_of(self.p.permute(x, size, tweak, valid))
@@ -240,6 +263,8 @@ class Pseudonymizer:
         return _refill(s, body + luhn_digit(body))
 
     def value(self, kind: str, s: str) -> str | None:
+        if len(s) > LONG:  # not remembered
+            return self.mixed(s, "secret") if kind == "secret" else getattr(self, kind)(s)
         key = (kind, s)
         if key not in self.memo:
             if len(self.memo) >= 100_000:
@@ -275,7 +300,7 @@ def pseudonymize(docs: DataFrame, key: bytes = DEMO_KEY, text: str = "text", cou
 
     * null text stays null, empty text empty; text without a valid value comes back unchanged.
     * what only looks like personal data (a card number with a wrong check digit, 31 February, octets over 255) stays.
-    * only texts with a digit, ``@`` or ``=`` are sent to Python.  ``key`` travels with the task and is not stored.
+    * only texts with a digit, ``@``, ``=`` or ``:`` are sent to Python.  ``key`` travels with the task and is not stored.
     """
     small_batches(docs.sparkSession)
 

@@ -87,3 +87,29 @@ def test_awkward_rows(spark):
     assert new != "a1@b.example.com" and r[20].text.endswith(new) and r[20]["row"] == "x"
     assert all(r[i].text == t for i, t, *_ in TEXTS if i is not None)
     assert P.pseudonymize(empty(spark), count=None).count() == 0
+
+
+def test_secrets_in_any_case_and_length():
+    p = P.Pseudonymizer(b"key")
+    rnd = random.Random(9)
+    value = "9233A8EC0f1b77D2"
+    new = p.text(f"token={value}")[0][6:]
+    assert new != value
+    for name in ["TOKEN = ", "Token: ", "API_KEY=", "Api-Key=", "PASSWORD:", "Password: ", "SECRET='", "pwd=", "ACCESS_KEY = \""]:
+        assert p.text(name + value) == (name + new, 1), name
+    for n in (200, 256, 257, 5000):  # no part of a long value stays
+        new, again = (P.Pseudonymizer(b"key").text(f"secret={'aB' * (n // 2)}{'7' * (n % 2)}")[0] for _ in range(2))
+        assert new == again and all(new[i:i + 20].count("a") < 8 for i in range(7, n, 20)), n
+    for n in (8, 256, 257, 1000, 5000, 300_000):
+        long = "".join(rnd.choices("abcXYZ0189+/_-", k=n))
+        got, k = p.text(f"secret={long} end")
+        assert k == 1 and len(got) == n + 11 and long not in got and got.endswith(" end"), n
+    assert p.text("token=abc1234") == ("token=abc1234", 0)
+
+
+def test_secrets_without_digits_are_scanned(spark):
+    rows = [(1, "password: correcthorsebattery", "en", "a"), (2, "PASSWORD: correcthorsebattery and 1", "en", "a")]
+    got = {r.doc_id: r for r in P.pseudonymize(documents(spark, rows)).collect()}
+    assert got[1].n_replaced == got[2].n_replaced == 1
+    one, two = got[1].text.split()[1], got[2].text.split()[1]
+    assert one == two != "correcthorsebattery"
