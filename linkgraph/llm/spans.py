@@ -1,9 +1,10 @@
 """Substring dedup over sliding sentence spans.
 
-A text is cut into sentences.  From every sentence on, and up to every sentence,
-runs the shortest span of consecutive sentences with at least MIN_WORDS words; its
+A text is cut into sentences, and these into pieces after words, or characters
+where a script has no spaces, that have the smallest hash around.  From every piece on, and up to every piece,
+runs the shortest span of consecutive pieces with at least MIN_WORDS words; its
 hash goes into one global table.  Wherever a span's hash occurs again, in a later
-document or further down in the same one, its sentences are removed.
+document or further down in the same one, its pieces are removed.
 """
 
 from __future__ import annotations
@@ -20,45 +21,74 @@ from pyspark.sql import functions as F
 
 from linkgraph.llm.common import small_batches, stash, text_key
 
-#: Words of a span at least; sentences with more than LONG words are cut further, after words whose hash is 0 modulo CUT.
-MIN_WORDS, LONG, CUT = 25, 30, 8
+#: Words of a span at least.
+MIN_WORDS = 25
+#: Sentences are cut after the smallest hash of every so many words, characters of unspaced scripts, and characters of long runs.
+WINDOWS = {"word": 6, "sign": 12, "run": 36}
+#: What these count for, in sixths of a word; more characters than RUN without white space are a long run.
+SIZES, RUN = {"word": 6, "sign": 3, "run": 1}, 40
 #: Ends of sentences, with the white space behind them.
 END = re.compile(r"[.!?…]+[\"'”’)\]]*\s+|[。！？]+\s*|\n\s*")
-WORD = re.compile(r"\S+\s*")
+#: Thai, Lao, Tibetan, Myanmar, Khmer, Kana, Han.
+UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+SEGMENT = re.compile(rf"(?P<sign>(?:[{UNSPACED}]\s*)+)|(?P<run>[^\s{UNSPACED}]{{{RUN + 1},}}\s*)|(?P<word>(?:[^\s{UNSPACED}]{{1,{RUN}}}(?![^\s{UNSPACED}])\s*)+)")
+WORD, SIGN = re.compile(r"\S+\s*"), re.compile(r"\S\s*")
+MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
-def sentences(text: str) -> list[tuple[int, int]]:
-    """(begin, end) of the sentences of a text, with trailing white space; they cover it without gaps.
+def _cuts(kind: str, part: str) -> list[tuple[int, int]]:
+    """(end, number of words or characters) of the pieces of a segment: up to those whose hash is the smallest in a window of them.
 
-    A sentence of more than LONG words is cut after words chosen by their hash,
-    so that the same words are cut in the same places wherever they stand.
+    Every window holds one, and it depends on the window alone, so a passage is cut
+    alike wherever it stands, but for a window's length at its ends.
     """
+    tokens = list((WORD if kind == "word" else SIGN).finditer(part))
+    n, w = len(tokens), WINDOWS[kind]
+    if n < w:
+        return [(len(part), n)]
+    if kind == "word":
+        h = np.array([xxhash.xxh64_intdigest(m[0].strip().lower()) for m in tokens], np.uint64)
+    else:  # a character with the three behind it
+        code = np.array([ord(m[0][0].lower()[0]) for m in tokens] + [0] * 3, np.uint64)
+        h = sum(code[i:i + n] * x for i, x in enumerate(MIX))
+        h = (h ^ (h >> np.uint64(29))) * MIX[1]
+        h ^= h >> np.uint64(32)
+    views = np.lib.stride_tricks.sliding_window_view(h, w)[:, ::-1]
+    at = np.unique(np.arange(n - w + 1) + w - 1 - views.argmin(axis=1))
+    lasts = at.tolist() if at[-1] == n - 1 else [*at.tolist(), n - 1]
+    return [(tokens[i].end(), i - before) for before, i in zip([-1, *lasts], lasts, strict=False)]
+
+
+def sized(text: str) -> list[tuple[int, int, int]]:
+    """(begin, end, size in sixths of a word) of the pieces of all sentences of a text."""
     ends = [m.end() for m in END.finditer(text)]
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
-    out, begin = [], 0
+    out, begin, start = [], 0, 0
     for end in ends:
-        piece = text[begin:end]
-        if piece.count(" ") >= LONG:
-            n, start = 0, begin
-            for m in WORD.finditer(piece):
-                n += 1
-                if n > 1 and xxhash.xxh64_intdigest(m[0].strip().lower()) % CUT == 0:
-                    out.append((start, begin + m.end()))
-                    start, n = begin + m.end(), 0
-            if start < end:
-                out.append((start, end))
-        elif end > begin:
-            out.append((begin, end))
+        for m in SEGMENT.finditer(text, begin, end):
+            for e, n in _cuts(m.lastgroup, m[0]):
+                out.append((start, m.start() + e, n * SIZES[m.lastgroup]))
+                start = m.start() + e
+        if start < end:
+            out.append((start, end, 0))
+            start = end
         begin = end
     return out
 
 
+def sentences(text: str) -> list[tuple[int, int]]:
+    """(begin, end) of the pieces of all sentences of a text, with trailing white space; they cover it without gaps."""
+    return [(i, j) for i, j, _ in sized(text)]
+
+
 def spans(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int]]:
-    """(hash, begin, end) of all spans, begin and end counting sentences; case and white space do not matter."""
-    pieces = [text[i:j].lower().split() for i, j in sentences(text)]
+    """(hash, begin, end) of all spans, begin and end counting pieces; case and white space do not matter."""
+    parts = sized(text)
+    pieces = [text[i:j].lower().split() for i, j, _ in parts]
     n = len(pieces)
-    size = [len(p) for p in pieces]
+    size = [k for *_, k in parts]
+    min_words *= SIZES["word"]
     if sum(size) < min_words:
         return
     h = xxhash.xxh64_intdigest
@@ -85,7 +115,7 @@ def spans(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int
 
 
 def cut(text: str, covered: list) -> tuple[str, int]:
-    """The text without the sentences in the given spans, and how many were removed."""
+    """The text without the pieces in the given spans, and how many were removed."""
     pieces = sentences(text)
     edge = np.zeros(len(pieces) + 1, np.int64)
     for i, j in covered:
@@ -136,7 +166,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", min
 
 
 def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """All rows and columns of ``docs`` with repeated spans removed from ``text``; n_removed counts the sentences.
+    """All rows and columns of ``docs`` with repeated spans removed from ``text``; n_removed counts the pieces.
 
     * of equal spans the one in the smallest key stays, in one document the first one.
     * null text stays null, empty text empty; a text may become empty, its row stays.

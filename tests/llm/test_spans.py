@@ -60,3 +60,20 @@ def test_awkward_rows(spark):
     assert by[3][0].text is None and by[4][0].text == "" and len(by[2]) == 2
     assert by[2][0].row == "x"
     assert S.dedup(empty(spark)).count() == 0
+
+
+def shared(one, two):
+    """How many characters of the second text are in spans that the first one has."""
+    known = {h for h, *_ in S.spans(one)}
+    return len(two) - len(S.cut(two, [(i, j) for h, i, j in S.spans(two) if h in known])[0])
+
+
+def test_every_passage_of_50_words_is_found_inside_other_text():
+    rnd = random.Random(4)
+    for k in range(300):
+        n = 50 + k % 12
+        passage = words(rnd, n).split()
+        for at in [[], [18, 36], [26], sorted(rnd.sample(range(n), 3))][k % 4]:
+            passage[at - 1] += "."
+        one, two = (f"{words(rnd, rnd.randrange(1, 40))} {' '.join(passage)} {words(rnd, rnd.randrange(1, 40))}" for _ in range(2))
+        assert shared(one, two) >= 25 * 7, k
