@@ -77,3 +77,17 @@ def test_every_passage_of_50_words_is_found_inside_other_text():
             passage[at - 1] += "."
         one, two = (f"{words(rnd, rnd.randrange(1, 40))} {' '.join(passage)} {words(rnd, rnd.randrange(1, 40))}" for _ in range(2))
         assert shared(one, two) >= 25 * 7, k
+
+
+def test_unspaced_scripts_and_long_runs():
+    rnd = random.Random(5)
+    for signs, n, least in [([chr(0x4e00 + i) for i in range(3000)], 110, 50), ([chr(0xe01 + i) for i in range(40)], 110, 50),
+                            (list("abcdefghijklmnopqrstuvwxyz0123456789"), 330, 150)]:
+        for _ in range(60):
+            make = lambda k: "".join(rnd.choices(signs, k=k))
+            passage = make(n)
+            one, two = (make(rnd.randrange(60, 120)) + passage + make(rnd.randrange(60, 120)) for _ in range(2))
+            assert shared(one, two) >= least
+            assert shared(one, make(300)) == 0
+    text = "。".join("".join(rnd.choices([chr(0x4e00 + i) for i in range(3000)], k=15)) for _ in range(6)) + "。"
+    assert shared(text, text) == len(text)
