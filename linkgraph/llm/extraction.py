@@ -251,7 +251,7 @@ def consensus(pages: DataFrame, html_column: str = "html", url: str = "url") ->
 def extract_pages(pages: DataFrame, html_column: str = "html", url: str = "url", into: str = "text") -> DataFrame:
     """All rows and columns of ``pages`` with the main text in column ``into`` (replaced, if there).
 
-    * null or empty html: empty text.  Null URL and URLs without a host share the empty host's vote.
+    * null or empty html: empty text.  Pages with null URL or one without a host use their own vote.
     * character references are decoded, white space inside a block is one space, blocks are joined by line feeds.
     * unclosed, misnested and cut off tags are read as far as they go; very long pages are read whole.
     * repeated rows count as often as they are there.
@@ -259,7 +259,7 @@ def extract_pages(pages: DataFrame, html_column: str = "html", url: str = "url",
     spark = pages.sparkSession
     small_batches(spark)
     # one short row per host; Spark broadcasts the stored table where its size allows, else joins by host
-    winners = stash(consensus(pages, html_column, url).select(F.col("host").alias("_host"), F.col("winner").alias("_winner")),
+    winners = stash(consensus(pages, html_column, url).where("host <> ''").select(F.col("host").alias("_host"), F.col("winner").alias("_winner")),
                     "host-paths")
 
     @F.pandas_udf("string")

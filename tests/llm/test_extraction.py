@@ -61,3 +61,14 @@ def test_awkward_rows(spark):
     by = {r.page_id: r.text for r in got.collect()}
     assert by[1] == by[2] == by[4] == "" and by[None] == "a" and len(by[3]) == 499_999
     assert X.extract_pages(df.limit(0)).count() == 0
+
+
+LONG = " ".join(f"sentence {i} of a long article about rivers and hills." for i in range(40))
+
+
+def test_pages_without_host_do_not_share_a_vote(spark):
+    site = f'<html><body><div class="a"><p>{LONG}</p></div><div class="b"><p>%s</p></div></body></html>'
+    other = '<html><body><div class="a"><p>Note.</p></div><div class="b"><p>The longer text of this page stands here.</p></div></body></html>'
+    rows = [(i, None, site % "x") for i in range(20)] + [(100, None, other), (101, "no host", other)]
+    got = {r.page_id: r.text for r in X.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[100] == got[101] == "The longer text of this page stands here." and got[0] == LONG
