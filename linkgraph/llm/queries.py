@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkgraph.llm import bpe, extraction, language, mixing, privacy, quality, simhash, spans, urlfilter, winnowing
+from linkgraph.llm import (bpe, extraction, interactions, language, mixing, privacy, quality, sharding, simhash, spans, spelling, urlfilter,
+                           winnowing)
 from linkgraph.llm.common import read
 
 MIX_WEIGHTS = (5, 2, 1)
@@ -84,6 +85,22 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.pseudonymize(read(spark, sf_dir, "documents"))
 
 
+def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; equal texts share a shard, and shards have nearly equal bytes."""
+    return sharding.slots(read(spark, sf_dir, "documents"))
+
+
+def op12_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes at every step of every order, per language."""
+    return interactions.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word of the documents, some of whose runs lose a code point."""
+    return spelling.variants(spelling.word_counts(read(spark, sf_dir, "documents"), spoil=spelling.SPOIL)).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnow": op1_winnow,
     "op2_spans": op2_spans,
@@ -95,8 +112,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_url_filter": op9_url_filter,
     "op10_pseudonyms": op10_pseudonyms,
+    "op11_shards": op11_shards,
+    "op12_interactions": op12_interactions,
+    "op13_spellings": op13_spellings,
 }
 
 ORACLE: dict[str, str] = {
     "op9_url_filter": urlfilter.ORACLE,
+    "op12_interactions": interactions.ORACLE,
 }
