@@ -20,6 +20,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ from linkgraph.llm.common import small_batches, stash
 #: Letters of a word: A-Z, a-z and the code points from U+00C0 to U+00FF.
 LETTERS = "A-Za-zÀ-ÿ"
 MIN_LENGTH, MIN_COUNT, RATIO = 5, 3, 2
+SEED = 42
 #: One of so many (document, run) pairs has a code point removed, where asked for.
 SPOIL = 97
 #: Code points of a text that are searched at once, and distinct words that a worker holds before it hands them on.
@@ -91,36 +93,72 @@ def word_counts(docs: DataFrame, text: str = "text", key: str = "doc_id", min_le
 
 
 def _node(way: Column, length: Column, prefix: Column) -> Column:
-    return F.xxhash64(way, length, prefix)
-
-
-def _oriented(words: DataFrame) -> DataFrame:
-    """(id, way, w, length, start): every word forwards (way 0) and backwards (way 1), and the position from which it may differ."""
-    length = F.length("word")
-    half = F.floor(length / 2).cast("int")
-    latest = F.greatest(length - 2, F.lit(0))  # a word one shorter must not have ended there
-    both = F.array(F.struct(F.lit(0).alias("way"), F.col("word").alias("w"), F.least(half, latest).alias("start")),
-                   F.struct(F.lit(1).alias("way"), F.reverse("word").alias("w"), F.least(length - half, latest).alias("start")))
-    return words.select("id", length.alias("length"), F.explode(both).alias("x")).select("id", "length", "x.*")
+    """Hash of a trie node; ``_paths`` gives the same for every prefix of a word, in one pass over it."""
+    return F.xxhash64(F.concat(way.cast("string"), F.lit(":"), length.cast("string"), F.lit(":"), prefix))
+
+
+def _start(length: int, way: int) -> int:
+    """Position from which a word may differ: its middle, but before its last two letters, where a shorter word would have ended."""
+    half = length // 2
+    return min(length - half if way else half, max(length - 2, 0))
+
+
+def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(depth, node, ch, child, rest, id): the steps of every word from its start on, forwards and backwards."""
+    names = ["depth", "node", "ch", "child", "rest", "id"]
+    types = [pa.int32(), pa.uint64(), pa.string(), pa.uint64(), pa.uint64(), pa.int64()]
+    out: list[list] = [[] for _ in names]
+
+    def flush() -> pa.RecordBatch:
+        columns = [pa.array(c, t).view(pa.int64()) if t == pa.uint64() else pa.array(c, t) for c, t in zip(out, types, strict=True)]
+        for c in out:
+            c.clear()
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    for batch in batches:
+        for key, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for way, w in ((0, word), (1, word[::-1])):
+                start = _start(len(w), way)
+                ahead = xxhash.xxh64(f"{way}:{len(w)}:{w[:start]}".encode(), seed=SEED)
+                after, rest = xxhash.xxh64(seed=SEED), []
+                for ch in reversed(w[start:]):
+                    rest.append(after.intdigest())
+                    after.update(ch.encode())
+                for depth in range(start, len(w)):
+                    node = ahead.intdigest()
+                    ahead.update(w[depth].encode())
+                    for c, x in zip(out, (depth, node, w[depth], ahead.intdigest(), rest.pop(), key), strict=True):
+                        c.append(x)
+            if len(out[0]) > HELD:
+                yield flush()
+    yield flush()
 
 
 def edges(words: DataFrame) -> DataFrame:
-    """Trie edges from each word's starting position on: (depth, node, ch, child, under, rest, below).
+    """Trie edges from each word's start on, of (id, word): (depth, node, ch, child, under, rest, below).
 
     ``under`` counts the words below the edge; of a single one ``below`` is its id
-    and ``rest`` the hash of what follows the edge.  A shorter word starts no later
-    than a longer one, so the paths that states can take are all there.
+    and ``rest`` the hash of what follows the edge, read backwards.  A shorter word
+    starts no later than a longer one, so the paths that states can take are all there.
     """
-    at = F.explode(F.sequence("start", F.col("length") - 1)).alias("depth")
-    steps = _oriented(words).select("*", at)
-    prefix = F.expr("substring(w, 1, depth)")
-    return (steps.select("depth", _node(F.col("way"), F.col("length"), prefix).alias("node"), F.expr("substring(w, depth + 1, 1)").alias("ch"),
-                         _node(F.col("way"), F.col("length"), F.expr("substring(w, 1, depth + 1)")).alias("child"),
-                         F.xxhash64(F.expr("substring(w, depth + 2)")).alias("rest"), "id")
+    return (words.select("id", "word").mapInArrow(_paths, "depth int, node long, ch string, child long, rest long, id long")
             .groupBy("depth", "node", "ch").agg(F.min("child").alias("child"), F.count("*").alias("under"), F.min("rest").alias("rest"),
                                                 F.min("id").alias("below")))
 
 
+def starts(words: DataFrame) -> DataFrame:
+    """First states, of (id, word): every word at its start, in the tries of its own length and of the next shorter one."""
+    length = F.length("word")
+    half = F.floor(length / 2).cast("int")
+    latest = F.greatest(length - 2, F.lit(0))
+    ways = F.array(F.struct(F.lit(0).alias("way"), F.col("word").alias("w"), F.least(half, latest).alias("depth")),
+                   F.struct(F.lit(1).alias("way"), F.reverse("word").alias("w"), F.least(length - half, latest).alias("depth")))
+    rows = words.select("id", F.explode(ways).alias("x"), length.alias("length")).select("id", "length", "x.*")
+    return (rows.withColumn("shorter", F.explode(F.array(F.lit(0), F.lit(1))))
+            .select("depth", "id", "w", "shorter", _node(F.col("way"), F.col("length") - F.col("shorter"), F.expr("substring(w, 1, depth)")).alias("node"),
+                    F.lit(0).alias("edits")))
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """(a, b): ids of words that may differ by one code point, from (id, word) of distinct words.
 
@@ -130,10 +168,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """
     trie = stash(edges(words).sortWithinPartitions("depth"), "trie")
     # a state at depth d has read d characters of the trie, and one more of its word once it has skipped one
-    states = stash(_oriented(words).select("id", "w", F.explode(F.array(F.lit(0), F.lit(1))).alias("shorter"), "length", "way", "start")
-                   .select(F.col("start").alias("depth"), "id", "w", "shorter",
-                           _node(F.col("way"), F.col("length") - F.col("shorter"), F.expr("substring(w, 1, start)")).alias("node"),
-                           F.lit(0).alias("edits")).sortWithinPartitions("depth"), "trie-starts")
+    states = stash(starts(words).sortWithinPartitions("depth"), "trie-starts")
     begin = sorted(r[0] for r in states.select("depth").distinct().collect())  # at most the number of word lengths
     found, carried, depth = [], None, None
     while begin or carried is not None:
@@ -153,7 +188,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
         after = F.substring("w", position + 2, F.length("w"))
         # the end of a shorter word: the skipped character is the last one
         ends = (F.col("shorter") == 1) & (edited == 0) & (F.length("w") == depth + 2)
-        equal = (edited == 1) & (F.xxhash64(after) == F.col("rest"))
+        equal = (edited == 1) & (F.xxhash64(F.reverse(after)) == F.col("rest"))
         hit = F.when((F.col("under") == 1) & (ends | equal), F.col("below"))
         go_on = ~ends & ((F.col("under") > 1) | ((F.col("shorter") == 1) & (edited == 0)))
         level = stash(moved.select("id", "w", "shorter", F.col("child").alias("node"), edited.alias("edits"), hit.alias("hit"), go_on.alias("on"))
