@@ -1,6 +1,8 @@
 """The salted shared-key join on real rows: a key holding ~1.7 % of the order lines
 (about half of all pair work) is detected, split, and gives exactly the unsplit result."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,3 +65,50 @@ def test_threshold_filter_joins_last(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert plan.index("LeftSemi") < plan.index("Aggregate")
+
+
+def _exact_hot(pairs, parts):
+    """Hot keys by an exact count of every key."""
+    n = {}
+    for k in pairs:
+        if k is not None:
+            n[k] = n.get(k, 0) + 1
+    total = sum(c * c for c in n.values())
+    return {k: c * c * parts / total for k, c in n.items()}
+
+
+@pytest.mark.parametrize("buckets", [64, 1024, 8192])
+def test_bucket_detection_against_exact_counts(spark, buckets):
+    """Keys with clearly more than a share are found whatever the buckets, keys with clearly less never."""
+    rnd = random.Random(buckets)
+    keys = [f"k{i}" for i in range(3000) for _ in range(rnd.randrange(1, 6))] + [None] * 500
+    for k, n in (("a", 900), ("b", 450), ("c", 300), ("d", 40)):
+        keys += [k] * n
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "EdgeID string, NodeID long").repartition(5)
+    share = _exact_hot(keys, 32)
+    error = 4 * (2 / buckets) ** 0.5
+    got = {r.EdgeID: r["__splits__"] for r in G.hot_key_splits(df, "EdgeID", 32, buckets=buckets).collect()}
+    assert {k for k, x in share.items() if x > 1 + error} <= set(got) <= {k for k, x in share.items() if x > 1 - error}
+    assert all(abs(got[k] - share[k]) <= 1 + error * share[k] for k in got)
+
+
+def test_detection_of_nothing(spark):
+    even = spark.range(20_000).select((F.col("id") % 5000).cast("string").alias("EdgeID"))
+    assert G.hot_key_splits(even, "EdgeID", 16).collect() == []
+    assert G.hot_key_splits(even.where("false"), "EdgeID", 16).collect() == []
+    assert G.hot_key_splits(even.select(F.lit(None).cast("string").alias("EdgeID")), "EdgeID", 16).collect() == []
+    # every bucket is full: the finer histogram decides, and the single hot key is found
+    crowded = even.union(spark.range(400).select(F.lit("hot")))
+    assert [r.EdgeID for r in G.hot_key_splits(crowded, "EdgeID", 16, buckets=8).collect()] == ["hot"]
+
+
+def test_detection_of_even_keys_is_one_job_over_the_key(spark):
+    sc = spark.sparkContext
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    sc.setJobGroup("detect", "detect")
+    try:
+        G.hot_key_splits(li, "l_orderkey").collect()
+        jobs = sc.statusTracker().getJobIdsForGroup("detect")
+    finally:
+        sc._jsc.clearJobGroup()
+    assert len(jobs) <= 2  # adaptive execution submits the shuffle and the result apart
