@@ -229,11 +229,71 @@ def endpoint_nodes(df: DataFrame, node_attributes: Mapping[str, Sequence[str] |
     return df.select(F.inline(F.array(*sides))).dropDuplicates()
 
 
+#: Detail rows of one edge from which its sets are rendered in chunks.
+SET_ROWS = 100_000
+
+
+def _same_pair(a: DataFrame, b: DataFrame, ids: Sequence[str], null_ids: bool) -> DataFrame:
+    """Semi-join on a pair of endpoint columns; with ``null_ids`` NULL equals NULL, as in a group."""
+    if not null_ids:  # an equality join shares the partitioning of the aggregates around it
+        return a.join(b.select(*ids), on=list(ids), how="left_semi")
+    b = b.select(*[F.col(c).alias(f"__{c}__") for c in ids])
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}__")) for c in ids]
+    return a.join(b, on=same[0] & same[1], how="left_semi")
+
+
+def chunked_sets(df: DataFrame, keys: Sequence[str], cols: Sequence[str], n_rows: int, chunk_rows: int = SET_ROWS) -> DataFrame:
+    """``(keys, <col>_att ...)``: the same text sets as ``collect_set_string``, for sets of any size.
+
+    No task holds the values of a set.  Distinct (keys, column, value) rows are sorted
+    by range into slices of about ``chunk_rows`` rows, each slice renders its part of
+    a set as one text, and the parts are put together in slice order: what a task
+    holds is one slice, or one finished text.  ``n_rows`` is the number of detail rows,
+    which sets the number of slices.
+    """
+    keys = list(keys)
+    texts = F.inline(F.array(*[F.struct(F.lit(i).alias("__set__"), F.col(c).cast("string").alias("__text__")) for i, c in enumerate(cols)]))
+    values = df.select(*keys, texts).where(F.col("__text__").isNotNull()).distinct()
+    sort = [*keys, "__set__", "__text__"]
+    slices = max(1, math.ceil(n_rows * len(cols) / chunk_rows))
+    parts = (values.repartitionByRange(slices, *sort).withColumn("__slice__", F.spark_partition_id())
+             .groupBy(*keys, "__set__", "__slice__")
+             .agg(F.array_join(F.array_sort(F.collect_list("__text__")), X.SET_SEPARATOR).alias("__part__")))
+
+    def whole(i: int) -> Column:
+        found = F.array_sort(F.collect_list(F.when(F.col("__set__") == i, F.struct("__slice__", "__part__"))))
+        return F.concat(F.lit("["), F.array_join(F.transform(found, lambda x: x["__part__"]), X.SET_SEPARATOR), F.lit("]"))
+
+    return parts.groupBy(*keys).agg(*[whole(i).alias(f"{c}{ATT_SUFFIX}") for i, c in enumerate(cols)])
+
+
+def _edges_with_sets(df: DataFrame, ids: list[str], weights: DataFrame, weight_col: str, att_cols: list[str],
+                     col_date: str | None, large_sets: bool, null_ids: bool) -> DataFrame:
+    """Second phase: sets for the pairs of ``weights`` alone; with ``large_sets`` those of many rows are rendered in chunks."""
+    aggs = edge_aggregates(df, weight_col, att_cols, col_date)
+    names = [*ids, EDGE_WEIGHT, *[f"{c}{ATT_SUFFIX}" for c in att_cols], *([f"{col_date}_min", f"{col_date}_max"] if col_date else [])]
+    if large_sets:
+        wide = weights.where(F.col("__rows__") > SET_ROWS)
+        n_rows = wide.agg(F.sum("__rows__")).first()[0]
+        if n_rows:
+            rest = _same_pair(df, weights.where(F.col("__rows__") <= SET_ROWS), ids, null_ids).groupBy(*ids).agg(*aggs)
+            sets = chunked_sets(_same_pair(df, wide, ids, null_ids), ids, att_cols, n_rows)
+            sets = sets.withColumnsRenamed({c: f"__{c}__" for c in ids})
+            # an edge with nothing but NULLs in its columns has no row among the sets
+            same = [F.col(c).eqNullSafe(F.col(f"__{c}__")) for c in ids]
+            text = [F.coalesce(f"{c}{ATT_SUFFIX}", F.lit("[]")).alias(f"{c}{ATT_SUFFIX}") for c in att_cols]
+            dates = [F.col(n) for n in names[2 + 1 + len(att_cols):]]
+            return rest.select(*names).unionByName(
+                wide.join(sets, on=same[0] & same[1], how="left").select(*ids, EDGE_WEIGHT, *text, *dates))
+    return _same_pair(df, weights, ids, null_ids).groupBy(*ids).agg(*aggs).select(*names)
+
+
 def edges_agg(df: DataFrame, weight_col: str, cols_gb: Sequence[str] = ("NodeID1", "NodeID2"),
               col_date: str | None = None, min_edges: int = 1,
               node_att: Sequence[str] | None = None,
               att_cols: Sequence[str] | None = None,
-              node_lookup: Mapping[str, DataFrame] | None = None, cut: bool = False) -> Graph:
+              node_lookup: Mapping[str, DataFrame] | None = None, cut: bool = False,
+              late_sets: bool = False, large_sets: bool = False, null_ids: bool = True) -> Graph:
     """Weighted edges plus the node table of their endpoints.
 
     Edges: ``groupBy(cols_gb)`` with ``edge_weight`` = distinct count of
@@ -250,6 +310,19 @@ def edges_agg(df: DataFrame, weight_col: str, cols_gb: Sequence[str] = ("NodeID1
     by the node ID: the side's nodes are then its kept endpoint IDs left-joined to
     that table -- the same rows, without reading the event table again.
 
+    ``late_sets`` aggregates in two phases: weights first, by a hash aggregate of
+    numbers, then a semi-join, and sets only for the pairs that stay.  It reads ``df``
+    twice, so it pays where ``df`` is cheap or stored and ``min_edges`` drops many pairs;
+    on large inputs Spark adds a Bloom filter
+    of the kept pairs to the scan.  Sets are built by an object aggregate, which
+    sorts once a task has seen ``spark.sql.objectHashAggregate.sortBased.fallbackThreshold``
+    pairs (128); raise it where executors have room for more.
+
+    ``large_sets`` also finds the pairs of more than ``SET_ROWS`` rows (one small job)
+    and renders their sets in chunks, so that no task holds the values of one set.
+    ``null_ids=False`` says that no endpoint is NULL, which saves both kinds of late sets
+    two shuffles; otherwise pairs with a NULL endpoint are kept like any other.
+
     ``cut=True`` writes the edges to the checkpoint folder first and takes the kept
     endpoints from there, so that callers who need both edges and nodes compute ``df``
     (say, a quadratic pair table) once.
@@ -261,12 +334,21 @@ def edges_agg(df: DataFrame, weight_col: str, cols_gb: Sequence[str] = ("NodeID1
     if att_cols is None:
         excluded = {id1, id2, *node_x, *node_y}
         att_cols = [c for c in df.columns if c not in excluded]
+    att_cols = list(att_cols)
     # kept endpoint pairs from a light hash aggregate (same weight, no sets)
     kept = (df.groupBy(id1, id2).agg(F.count_distinct(weight_col).alias("__w__"))
               .where(F.col("__w__") >= F.lit(min_edges)))
-    edges = (df.groupBy(id1, id2)
-               .agg(*edge_aggregates(df, weight_col, list(att_cols), col_date))
-               .where(F.col(EDGE_WEIGHT) >= F.lit(min_edges)))
+    if (late_sets or large_sets) and att_cols:
+        first = edge_aggregates(df, weight_col, [], col_date)
+        weights = (df.groupBy(id1, id2).agg(*first, F.count(F.lit(1)).alias("__rows__"))
+                     .where(F.col(EDGE_WEIGHT) >= F.lit(min_edges)))
+        if cut or large_sets:
+            weights = cut_lineage(weights, "weights")
+        edges, kept = _edges_with_sets(df, [id1, id2], weights, weight_col, att_cols, col_date, large_sets, null_ids), weights
+    else:
+        edges = (df.groupBy(id1, id2)
+                   .agg(*edge_aggregates(df, weight_col, att_cols, col_date))
+                   .where(F.col(EDGE_WEIGHT) >= F.lit(min_edges)))
     if cut:
         edges = kept = cut_lineage(edges, "edges")
 

@@ -56,7 +56,8 @@ def directed_edges(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame,
     read -> dropna -> drop_cols -> rename -> astype -> labels -> edges_agg.
     Node names come from the supplier and customer tables keyed by the node ID,
     so the node table joins the kept endpoint IDs to those tables instead of
-    carrying names through the (large) order-line table.
+    carrying names through the (large) order-line table.  Where ``min_edges`` drops
+    pairs, sets are built for the others only.
     """
     detail = (order_events(lineitem, orders)
               .transform(Fl.dropna, subset=["o_custkey", "l_suppkey"])
@@ -73,7 +74,8 @@ def directed_edges(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame,
                                    F.col("c_name").alias("NodeName"), F.lit(LABEL_CUSTOMER).alias("Label")),
     }
     return G.edges_agg(detail, weight_col="l_orderkey", col_date="order_date", min_edges=min_edges,
-                       node_att=list(NODE_ATT), node_lookup=lookups, cut=checkpoint)
+                       node_att=list(NODE_ATT), node_lookup=lookups, cut=checkpoint,
+                       late_sets=min_edges > 1, large_sets=checkpoint, null_ids=False)
 
 
 def shared_key_detail(lineitem: DataFrame) -> DataFrame:

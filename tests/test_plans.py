@@ -31,8 +31,9 @@ def test_filter_reaches_the_scan(spark):
 LARGE_INPUT_SHUFFLES = {
     # shared-key join: one shuffle per side on the key, one to aggregate the edges
     "job_shared_key_edges": 3,
-    # order lines and orders shuffled on the order key, one to aggregate the edges
-    "job_directed_edges": 3,
+    # order lines and orders shuffled on the order key, for the weights (three columns) and again for the sets; one
+    # to aggregate the weights; one of the detail on the pair, which serves the semi-join and the sets
+    "job_directed_edges": 6,
     # group counts (two-phase distinct); the detail made distinct on all columns (a hot group is spread),
     # then dealt by group for the join, which is the last step and can be split
     "filter_edges_by_threshold": 4,
