@@ -8,10 +8,10 @@ family so a malformed value becomes NULL whether or not
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # --- fixed values (must equal the reference's behaviour) -------------------
@@ -155,20 +155,19 @@ def call_function(name: str, args: Any = None) -> Column:
     return fn(args)
 
 
-def survivors(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], pick: Callable[[Column], Column]) -> DataFrame:
-    """One row per key: the smallest (``pick=F.min``) or largest (``F.max``) by ``order``, then by the other columns.
+def survivors(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], last: bool = False) -> DataFrame:
+    """One row per key: the first (or ``last``) by ``order``, then by the other columns; NULL comes before every value.
 
-    One struct of order and other columns is reduced, so a row is carried once; the
-    reduction is partial (map-side), so a hot key is never gathered into one task.
+    Row number 1 of a window by key.  Spark applies the limit on both sides of the
+    shuffle (window group limit), so a task sends one row per key at most and a hot
+    key is never gathered, and no row is packed into a struct to be compared.
     """
-    others = [c for c in df.columns if c not in keys]
-    first = [o for o in order if isinstance(o, str) and o in others]
-    extra = [as_col(o).alias(f"__order{i}__") for i, o in enumerate(order) if not (isinstance(o, str) and o in others)]
-    if extra:  # keep the given order of expressions and columns
-        first, extra = [], [as_col(o).alias(f"__order{i}__") for i, o in enumerate(order)]
-    row = F.struct(*extra, *first, *[c for c in others if c not in first])
-    return (df.groupBy(*keys).agg(pick(row).alias("__kept__"))
-              .select(*[F.col(c) if c in keys else F.col(f"__kept__.{c}").alias(c) for c in df.columns]))
+    named = [o for o in order if isinstance(o, str)]
+    sort = [*[as_col(o) for o in order], *[F.col(c) for c in df.columns if c not in keys and c not in named]]
+    if not sort:
+        return df.dropDuplicates()
+    at = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() if last else c.asc_nulls_first() for c in sort])
+    return df.withColumn("__at__", F.row_number().over(at)).where(F.col("__at__") == 1).drop("__at__")
 
 
 def last_by_order(value: Column, order: Iterable[str | Column]) -> Column:

@@ -60,13 +60,13 @@ def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None,
 
     The surviving row is the one with the smallest (``keep="first"``) or largest
     (``keep="last"``) ``order_by`` tuple, ties broken
-    by the remaining columns (so the choice is deterministic): a partial aggregate over one struct, so a
-    hot key is combined map-side instead of landing whole in one task.
+    by the remaining columns (so the choice is deterministic).  Each task sends one row per key at most,
+    so a hot key never lands whole in one task.
     """
     keys = _listify(subset) or []
     if not keys or set(keys) >= set(df.columns):
         return df.dropDuplicates()
-    return X.survivors(df, keys, list(order_by or []), {"first": F.min, "last": F.max}[keep])
+    return X.survivors(df, keys, list(order_by or []), last={"first": False, "last": True}[keep])
 
 
 def time_range(df: DataFrame, ts_col: str, start: Any, end: Any) -> DataFrame:

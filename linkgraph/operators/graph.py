@@ -413,12 +413,12 @@ def edge_header_names(df: DataFrame, id1: str = "NodeID1", id2: str = "NodeID2")
 def unique_nodes(nodes: DataFrame, key: Sequence[str] = ("Label", "NodeID"),
                  order_by: Sequence[str] | None = None) -> DataFrame:
     """One node per key: the row with the smallest ``order_by`` tuple, ties broken by
-    the remaining columns.  Partial aggregate (minimum of one struct), safe for hot keys."""
+    the remaining columns.  Cut to one row per key before the shuffle, safe for hot keys."""
     keys = _listify(key)
     others = [c for c in nodes.columns if c not in keys]
     if not others:
         return nodes.dropDuplicates()
-    return X.survivors(nodes, keys, _listify(order_by), F.min)
+    return X.survivors(nodes, keys, _listify(order_by))
 
 
 # ---------------------------------------------------------------- G9 -------

@@ -57,8 +57,8 @@ def bucket(ts: str | Column, unit: str = "day") -> Column:
 def latest_per_bucket(df: DataFrame, bucket_col: str, key_col: str, value_col: str,
                       order: Sequence[str]) -> DataFrame:
     """Last write wins: the value of the latest row (by ``order``) per (bucket, key)."""
-    return (df.groupBy(bucket_col, key_col)
-              .agg(X.last_by_order(F.col(value_col), order).alias(value_col)))
+    rows = df.select(*dict.fromkeys([bucket_col, key_col, *order, value_col]))
+    return X.survivors(rows, [bucket_col, key_col], order, last=True).select(bucket_col, key_col, value_col)
 
 
 def pct_change(series: DataFrame, key_col: str, order_col: str, value_col: str,

@@ -100,14 +100,13 @@ def lookup_last_wins(sources: Sequence[DataFrame], scope: Sequence[str], name: s
     """Name -> value dictionary per scope where a later entry overwrites an earlier one.
 
     ``sources`` are in write order (later source wins); inside a source the
-    larger ``position`` wins, then the larger value (deterministic on ties).  The maximum of (source rank, position, value) is a
-    partial aggregate: no group is gathered into one task.
+    larger ``position`` wins, then the larger value (deterministic on ties).  Each task hands on
+    its last entry per name: no group is gathered into one task.
     """
     scope = list(scope)
     ranked = None
     for rank, src in enumerate(sources):
         part = src.select(*scope, name, value, position).withColumn("__rank__", F.lit(rank))
         ranked = part if ranked is None else ranked.unionByName(part)
-    return (ranked.where(F.col(name).isNotNull())
-                  .groupBy(*scope, name)
-                  .agg(X.last_by_order(F.col(value), ["__rank__", position]).alias(value)))
+    ranked = ranked.where(F.col(name).isNotNull())
+    return X.survivors(ranked, [*scope, name], ["__rank__", position, value], last=True).select(*scope, name, value)

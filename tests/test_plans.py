@@ -62,3 +62,11 @@ def test_large_input_shuffle_counts(spark, name):
         assert shuffles <= 10, plan  # node names joined from the dimension tables, not the event table
     else:
         assert shuffles == LARGE_INPUT_SHUFFLES[name], plan
+
+
+@pytest.mark.parametrize("name", ["dedup_subset", "unique_nodes", "player_lookup"])
+def test_survivors_are_cut_on_both_sides_of_the_shuffle(spark, name):
+    """One row per key leaves each task, and no aggregate sorts whole rows."""
+    plan = plan_text(QUERIES[name](spark, SF_SMALL))
+    assert "SortAggregate" not in plan
+    assert re.search(r"WindowGroupLimit .*Final", plan) and re.search(r"WindowGroupLimit .*Partial", plan)
