@@ -61,35 +61,47 @@ def latest_per_bucket(df: DataFrame, bucket_col: str, key_col: str, value_col: s
     return X.survivors(rows, [bucket_col, key_col], order, last=True).select(bucket_col, key_col, value_col)
 
 
+#: Rows of a series that one task may order.
+SLICE_ROWS = 1_000_000
+
+
 def pct_change(series: DataFrame, key_col: str, order_col: str, value_col: str,
-               out_col: str = "pct_change", chunk: Column | None = None) -> DataFrame:
+               out_col: str = "pct_change", chunk: Column | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """``value / previous value - 1`` per key in ``order_col`` order; first row and
     division by zero give NULL.
 
-    Without ``chunk`` the lag runs over one window per key (a key's whole bucketed
-    series in one partition: bounded by time span / bucket size, not by event
-    volume).  With ``chunk`` -- a column that orders like ``order_col``, e.g. the
-    month of a day -- no partition holds more than one chunk of one key: the lag
-    runs inside each (key, chunk), and the first row of a chunk takes the last
-    value of the key's previous chunk, found over a one-row-per-chunk summary.
+    The series is stored first.  If it has more than ``slice_rows`` rows, it is cut into
+    ranges of (key, time) of about that many, so that one key with all rows is spread
+    like many keys: the previous value is looked up inside each (key, slice), and the
+    first row of a slice takes the last value of the key's previous slice, found over a
+    summary of one row per key and slice.  A ``chunk`` column that orders like
+    ``order_col``, e.g. the month of a day, gives the slices instead.
     """
-    if chunk is None:
-        w = Window.partitionBy(key_col).orderBy(order_col)
-        return series.withColumn(out_col, F.try_divide(F.col(value_col), F.lag(value_col).over(w)) - F.lit(1.0))
-    # read twice below, so computed once: stored, with its lineage cut
-    with_chunk = cut_lineage(series.withColumn("__chunk__", chunk), "series")
-    w = Window.partitionBy(key_col, "__chunk__").orderBy(order_col)
-    rows = with_chunk.select(*series.columns, "__chunk__",
-                             F.lag(value_col).over(w).alias("__prev__"),
-                             (F.row_number().over(w) == 1).alias("__first__"))
-    lasts = (with_chunk.groupBy(key_col, "__chunk__")
-                       .agg(F.max_by(F.col(value_col), F.col(order_col)).alias("__last__")))
-    prev_last = lasts.select(key_col, "__chunk__",
-                             F.lag("__last__").over(Window.partitionBy(key_col).orderBy("__chunk__"))
-                             .alias("__prev_last__"))
-    prev = F.when(F.col("__first__"), F.col("__prev_last__")).otherwise(F.col("__prev__"))
-    return (rows.join(prev_last, on=[key_col, "__chunk__"], how="left")
-                .select(*series.columns, (F.try_divide(F.col(value_col), prev) - F.lit(1.0)).alias(out_col)))
+    series = cut_lineage(series, "series")  # read several times below
+    if chunk is not None:
+        sliced = series.withColumn("__slice__", chunk)
+    elif (n := series.count()) <= slice_rows:  # from the file footers
+        sliced = series.withColumn("__slice__", F.lit(0))
+    else:
+        # rows of one (key, time) stay together; a slice's number follows the order of its range
+        sliced = cut_lineage(series.repartitionByRange(-(-n // slice_rows), key_col, order_col)
+                             .withColumn("__slice__", F.spark_partition_id()), "series-slices")
+    return _change_by_slice(sliced, key_col, order_col, value_col, out_col)
+
+
+def _change_by_slice(sliced: DataFrame, key_col: str, order_col: str, value_col: str, out_col: str) -> DataFrame:
+    """``pct_change`` of rows whose ``__slice__`` orders like time within a key."""
+    columns = [c for c in sliced.columns if c != "__slice__"]
+    w = Window.partitionBy(key_col, "__slice__").orderBy(order_col)
+    rows = sliced.select(*columns, "__slice__", F.lag(value_col).over(w).alias("__prev__"),
+                         (F.row_number().over(w) == 1).alias("__first__"))
+    ends = (sliced.groupBy(key_col, "__slice__").agg(F.max_by(F.col(value_col), F.col(order_col)).alias("__last__"))
+            .select(F.col(key_col).alias("__key__"), F.col("__slice__").alias("__at__"),
+                    F.lag("__last__").over(Window.partitionBy(key_col).orderBy("__slice__")).alias("__before__")))
+    same = F.col(key_col).eqNullSafe(F.col("__key__")) & F.col("__slice__").eqNullSafe(F.col("__at__"))
+    prev = F.when(F.col("__first__"), F.col("__before__")).otherwise(F.col("__prev__"))
+    return (rows.join(ends, on=same, how="left")
+                .select(*columns, (F.try_divide(F.col(value_col), prev) - F.lit(1.0)).alias(out_col)))
 
 
 def pivot_keys(series: DataFrame, row_col: str, key_col: str, value_col: str,

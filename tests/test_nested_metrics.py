@@ -92,3 +92,22 @@ def test_player_dictionary_from_nested_events(spark):
     df = spark.createDataFrame(ev, "match int, at int, event string")
     got = N.lookup_last_wins(N.event_players(df, "event", ["match"], "at"), ["match"], "name", "id", "position")
     assert rows(got) == [(1, "Ann", 1), (1, "Bo", 3), (2, "Cy", 8)]
+
+
+def test_pct_change_of_one_very_long_series(spark):
+    """One key has almost all rows: slices of (key, time) spread it, and every slice takes over from the one before."""
+    import random
+    rnd = random.Random(8)
+    data = [(k, i, rnd.choice([None, 0.0, 1.0, 2.0, 5.0])) for k, n in (("hot", 4000), ("a", 90), (None, 50), ("one", 1)) for i in range(n)]
+    s = spark.createDataFrame(data, "k string, t int, v double").repartition(6)
+    plain = M.pct_change(s, "k", "t", "v")
+    sliced = M.pct_change(s, "k", "t", "v", slice_rows=100)
+    want, prev = {}, {}
+    for k, t, v in data:
+        p = prev.get(k)
+        want[k, t] = None if v is None or not p else v / p - 1.0
+        prev[k] = v
+    assert {(r.k, r.t): r.pct_change for r in sliced.collect()} == {(r.k, r.t): r.pct_change for r in plain.collect()} == want
+    cut = s.repartitionByRange(42, "k", "t").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in cut) <= len(data) / 10
+    assert M.pct_change(s.where("false"), "k", "t", "v").count() == 0
