@@ -153,23 +153,29 @@ def graph_summary(job: GraphJob) -> DataFrame:
 
 
 def export_graph(job: GraphJob, base_dir: str) -> list[dict[str, str]]:
-    """Write every relationship and every node label.
+    """Write every relationship and every node label, and the manifest last.
 
     ``write_nodes`` stores the merged node table once, so that the per-label profile
-    and writes scan it (label filter pushed to the scan).
+    and writes scan it (label filter pushed to the scan).  All files are staged and
+    moved when the last write has succeeded: whatever fails, ``base_dir`` holds a
+    whole export with its manifest, or none with a manifest.
     """
-    written = []
-    for name, g in job.relationships.items():
-        written.append(sinks.write_edges(g.edges, base_dir, name))
-    written += sinks.write_nodes(job.nodes, base_dir)
+    spark = job.nodes.sparkSession
+    base = base_dir.rstrip("/")
+    with sinks.staged_export(spark, base) as stage:
+        written = [sinks.write_edges(g.edges, stage, name) for name, g in job.relationships.items()]
+        written += sinks.write_nodes(job.nodes, stage)
+    written = [{**e, "data": e["data"].replace(stage, base, 1), "header": e["header"].replace(stage, base, 1)} for e in written]
+    sinks.write_manifest(spark, written, base)
     return written
 
 
 def export_flat_inputs(lineups: DataFrame, passes: DataFrame, base_dir: str) -> dict[str, str]:
     """Write the flattened nested inputs for the edge jobs: the enriched lineup
-    table as pipe-separated CSV with header, the pass events as Parquet."""
+    table as pipe-separated CSV with header (read back with ``EXPORT_CSV_OPTIONS``, values
+    come out as they were), the pass events as Parquet."""
     return {
         "lineups": sinks.save_file(lineups, base_dir, "lineups", fmt="csv",
-                                   options={"sep": "|", "header": "true", "escape": '"'}),
+                                   options={"sep": sinks.EXPORT_SEP, "header": "true"}),
         "passes": sinks.save_file(passes, base_dir, "passes", fmt="parquet"),
     }

@@ -525,13 +525,12 @@ def _null_every(col: str, n: int):
 @register("join_left", """
 SELECT DISTINCT p.k AS p_partkey, p.p_name, l.l_orderkey, l.l_quantity
 FROM (SELECT CASE WHEN p_partkey % 7 <> 0 THEN p_partkey END AS k, p_name FROM part) p
-LEFT JOIN (SELECT CASE WHEN l_partkey % 5 <> 0 THEN l_partkey END AS k, l_orderkey, l_quantity FROM lineitem
-           WHERE l_quantity > 45) l ON p.k = l.k
+LEFT JOIN (SELECT CASE WHEN l_partkey % 5 <> 0 THEN l_partkey END AS k, l_orderkey, l_quantity FROM lineitem) l ON p.k = l.k
 """)
 def q_join_left(spark, sf):
     p, li = tables(spark, sf, "part", "lineitem")
-    big = li.where("l_quantity > 45").select(_null_every("l_partkey", 5).alias("p_partkey"), "l_orderkey", "l_quantity")
-    return R.join_df(p.select(_null_every("p_partkey", 7).alias("p_partkey"), "p_name"), big, "p_partkey", "left")
+    lines = li.select(_null_every("l_partkey", 5).alias("p_partkey"), "l_orderkey", "l_quantity")
+    return R.join_df(p.select(_null_every("p_partkey", 7).alias("p_partkey"), "p_name"), lines, "p_partkey", "left")
 
 
 def _supp_nation(spark, sf):
@@ -541,13 +540,13 @@ def _supp_nation(spark, sf):
 
 @register("join_right", """
 SELECT DISTINCT n.k AS n_nationkey, s.s_suppkey, s.s_name, n.n_name, n.n_regionkey
-FROM (SELECT * FROM supplier WHERE s_nationkey % 2 = 0) s
+FROM supplier s
 RIGHT JOIN (SELECT CASE WHEN n_nationkey % 5 <> 0 THEN n_nationkey END AS k, n_name, n_regionkey FROM nation) n ON s.s_nationkey = n.k
 """)
 def q_join_right(spark, sf):
     s, n = _supp_nation(spark, sf)
     n = n.select(_null_every("n_nationkey", 5).alias("n_nationkey"), "n_name", "n_regionkey")
-    return R.join_df(s.where("n_nationkey % 2 = 0"), n, "n_nationkey", "right")
+    return R.join_df(s, n, "n_nationkey", "right")
 
 
 @register("join_cross_keyed", """
@@ -561,28 +560,28 @@ def q_join_cross_keyed(spark, sf):
 
 @register("join_full", """
 SELECT DISTINCT coalesce(d.k, l.k) AS doc_id, d.lang, l.quality, l.toxic
-FROM (SELECT CASE WHEN doc_id % 11 <> 0 THEN doc_id END AS k, lang FROM documents WHERE lang <> 'fr') d
+FROM (SELECT CASE WHEN doc_id % 11 <> 0 THEN doc_id END AS k, lang FROM documents) d
 FULL OUTER JOIN (SELECT CASE WHEN doc_id % 13 <> 0 THEN doc_id END AS k, quality, toxic FROM labels) l ON d.k = l.k
 """)
 def q_join_full(spark, sf):
     d, lab = tables(spark, sf, "documents", "labels")
-    d = d.where("lang <> 'fr'").select(_null_every("doc_id", 11).alias("doc_id"), "lang")
+    d = d.select(_null_every("doc_id", 11).alias("doc_id"), "lang")
     return R.join_df(d, lab.select(_null_every("doc_id", 13).alias("doc_id"), "quality", "toxic"), "doc_id", "full")
 
 
-_BIG_ORDERS = "SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 300000 AND o.o_custkey % 3 <> 0"
+_KEYED_ORDERS = "SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_custkey % 3 <> 0"
 
 
-@register("join_semi", f"SELECT * FROM customer c WHERE EXISTS ({_BIG_ORDERS})")
+@register("join_semi", f"SELECT * FROM customer c WHERE EXISTS ({_KEYED_ORDERS})")
 def q_join_semi(spark, sf):
     c, o = _cust_orders(spark, sf)
-    return R.join_df(c, o.where("o_totalprice > 300000").withColumn("c_custkey", _null_every("c_custkey", 3)), "c_custkey", "left_semi")
+    return R.join_df(c, o.withColumn("c_custkey", _null_every("c_custkey", 3)), "c_custkey", "left_semi")
 
 
-@register("join_anti", f"SELECT * FROM customer c WHERE NOT EXISTS ({_BIG_ORDERS})")
+@register("join_anti", f"SELECT * FROM customer c WHERE NOT EXISTS ({_KEYED_ORDERS})")
 def q_join_anti(spark, sf):
     c, o = _cust_orders(spark, sf)
-    return R.join_df(c, o.where("o_totalprice > 300000").withColumn("c_custkey", _null_every("c_custkey", 3)), "c_custkey", "left_anti")
+    return R.join_df(c, o.withColumn("c_custkey", _null_every("c_custkey", 3)), "c_custkey", "left_anti")
 
 
 # ============================================================ unions =======
@@ -708,7 +707,7 @@ def q_read_csv_schema(spark, sf):
     return S.read_file(spark, f"{base}/customer",
                        dtype=[["c_custkey", "bigint"], ["c_name", "string"], ["c_nationkey", "int"],
                               ["c_acctbal", "double"], ["c_mktsegment", "string"]],
-                       fmt="csv", options=S.PIPE_CSV_OPTIONS)
+                       fmt="csv", options=S.EXPORT_CSV_OPTIONS)
 
 
 @register("read_by_prefix", """
@@ -935,24 +934,36 @@ def q_player_lookup(spark, sf):
         .select("l_orderkey", "l_linenumber", "p_brand", "resolved_id")
 
 
+# player names as they should not be: line breaks, outer spaces, quotes, separators, empty and missing
+_AWKWARD_SQL = """CASE player_id % 7 WHEN 0 THEN player_name || chr(10) || 'x' WHEN 1 THEN ' ' || player_name || ' '
+       WHEN 2 THEN '' WHEN 3 THEN NULL WHEN 4 THEN player_name || '|"' WHEN 5 THEN chr(92) || player_name ELSE player_name END"""
+
+
 @register("export_flat_inputs", f"""
-WITH {_FLAT_LINEUP_SQL}
-SELECT 'lineups' AS export, count(*) AS n_rows, count(DISTINCT player_name) AS n_names, CAST(sum(player_id) AS BIGINT) AS id_sum FROM fl
+WITH {_FLAT_LINEUP_SQL},
+a AS (SELECT player_id, {_AWKWARD_SQL} AS name FROM fl)
+SELECT 'lineups' AS export, count(*) AS n_rows, count(DISTINCT name) AS n_names, CAST(sum(player_id) AS BIGINT) AS id_sum,
+       count(*) - count(name) AS n_null, CAST(sum(length(name)) AS BIGINT) AS name_chars FROM a
 UNION ALL
-SELECT 'passes', count(*), count(DISTINCT json_extract_string(props, '$.k')), CAST(sum(event_id) AS BIGINT) FROM events WHERE event_type = 'click'
+SELECT 'passes', count(*), count(DISTINCT k), CAST(sum(event_id) AS BIGINT), count(*) - count(k), CAST(sum(length(k)) AS BIGINT)
+FROM (SELECT event_id, json_extract_string(props, '$.k') AS k FROM events WHERE event_type = 'click')
 """)
 def q_export_flat_inputs(spark, sf):
     passes = q_flatten_events(spark, sf)
-    written = J.export_flat_inputs(_flat_lineup(spark, sf), passes, scratch_path(spark, "flat"))
+    names = F.col("player_name")
+    awkward = F.element_at(F.array(F.concat(names, F.lit("\nx")), F.concat(F.lit(" "), names, F.lit(" ")), F.lit(""), F.lit(None),
+                                   F.concat(names, F.lit('|"')), F.concat(F.lit("\\"), names), names), (F.col("player_id") % 7 + 1).cast("int"))
+    written = J.export_flat_inputs(_flat_lineup(spark, sf).withColumn("player_name", awkward), passes, scratch_path(spark, "flat"))
     # the exports read back with an explicit schema, names in the order of the file
     ids = S.create_schema([["match_id", "BIGINT"], ["team_id", "BIGINT"], ["team_name", "STRING"], ["player_id", "BIGINT"],
                            ["player_name", "STRING"], ["country", "STRING"]], nullable=True)
-    lineups = spark.read.options(**S.PIPE_CSV_OPTIONS).schema(ids).csv(written["lineups"])
+    lineups = spark.read.options(**S.EXPORT_CSV_OPTIONS).schema(ids).csv(written["lineups"])
     back = spark.read.parquet(written["passes"])
     return (lineups.select(F.lit("lineups").alias("export"), F.col("player_name").alias("name"), F.col("player_id").alias("id"))
             .union(back.select(F.lit("passes"), "recipient_name", "event_id"))
             .groupBy("export").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("name").alias("n_names"),
-                                   F.sum("id").alias("id_sum")))
+                                   F.sum("id").alias("id_sum"), (F.count(F.lit(1)) - F.count("name")).alias("n_null"),
+                                   F.sum(F.length("name")).cast("bigint").alias("name_chars")))
 
 
 # ============================================================ metrics ======

@@ -3,9 +3,12 @@
 from linkgraph.sources.readers import create_schema, read_by_prefix, read_file, read_kinds, read_table, to_ddl  # noqa: F401
 from linkgraph.sources.sinks import (  # noqa: F401
     import_manifest,
+    join_parts,
     read_export,
     save_file,
     save_header,
+    staged_export,
     write_edges,
+    write_manifest,
     write_nodes,
 )

@@ -13,6 +13,9 @@ from linkgraph.operators.relational import union_all_by_name
 
 # --- fixed values: pipe-separated input -------------------------------------
 PIPE_CSV_OPTIONS = {"header": "true", "sep": "|"}
+# The same for files of this package's own writer: quotes are doubled, line breaks and outer spaces are part of a value.
+EXPORT_CSV_OPTIONS = {**PIPE_CSV_OPTIONS, "quote": '"', "escape": '"', "multiLine": "true", "nullValue": "\\N",
+                      "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 # Marker between a kind and the rest of a file name (``<dir>/<Kind>Doc...``).
 KIND_MARKER = "Doc"
 # ---------------------------------------------------------------------------

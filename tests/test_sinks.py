@@ -134,3 +134,92 @@ def test_no_scratch_outside_shared_storage(monkeypatch):
 
     with pytest.raises(ValueError, match="checkpoint"):
         session.checkpoint_root(Session())
+
+
+def test_saved_csv_keeps_awkward_values(spark):
+    base = scratch_path(spark, "t-save")
+    df = spark.createDataFrame(list(enumerate(AWKWARD)), "id int, `na|me` string").repartition(4)
+    schema = S.create_schema([["id", "int"], ["na|me", "string"]], nullable=True)
+    for single in (False, True):
+        path = K.save_file(df, base, f"x{single}", single_file=single, options={"sep": "|", "header": "true"})
+        back = spark.read.options(**S.EXPORT_CSV_OPTIONS).schema(schema).csv(path)
+        assert {r[0]: r[1] for r in back.collect()} == dict(enumerate(AWKWARD))
+    named = spark.read.options(**S.EXPORT_CSV_OPTIONS).csv(f"{base}/xTrue")
+    assert named.columns == ["id", "na|me"]
+
+
+def _parts(path):
+    return [f for f in os.listdir(path.replace("file:", "")) if f.startswith("part-")]
+
+
+@pytest.mark.parametrize("fmt,options", [("csv", {"header": "true"}), ("csv", {}), ("csv", {"header": "true", "compression": "gzip"}),
+                                         ("json", {}), ("text", {}), ("json", {"compression": "gzip"}), ("parquet", {})])
+def test_single_file_is_joined_in_order(spark, fmt, options):
+    """One file in part order, from seven partitions."""
+    base = scratch_path(spark, "t-single")
+    df = spark.range(1000).repartitionByRange(7, "id").sortWithinPartitions("id").selectExpr("CAST(id AS STRING) AS id")
+    assert df.rdd.getNumPartitions() == 7
+    path = K.save_file(df, base, "one", fmt=fmt, single_file=True, options=options)
+    assert len(_parts(path)) == 1
+    back = spark.read.options(**options).format(fmt).load(path).collect()
+    assert [r[0] for r in back] == [str(i) for i in range(1000)] or fmt == "parquet"
+    assert sorted(int(r[0]) for r in back) == list(range(1000))
+    assert os.listdir(base.replace("file:", "")) == ["one"]  # no staging folder stays
+    if fmt != "parquet":
+        K.save_file(df.limit(3), base, "one", fmt=fmt, single_file=True, mode="append", options=options)
+        assert len(_parts(path)) == 2 and spark.read.options(**options).format(fmt).load(path).count() == 1003
+        with pytest.raises(FileExistsError):
+            K.save_file(df, base, "one", fmt=fmt, single_file=True, mode="error", options=options)
+        K.save_file(df.limit(0), base, "one", fmt=fmt, single_file=True, mode="ignore", options=options)
+        K.save_file(df.limit(2), base, "one", fmt=fmt, single_file=True, options=options)
+        assert spark.read.options(**options).format(fmt).load(path).count() == 2
+        K.save_file(df.limit(0), base, "none", fmt=fmt, single_file=True, options=options)
+        assert len(_parts(f"{base}/none")) == 1
+
+
+def test_export_is_complete_or_has_no_manifest(spark, monkeypatch):
+    from linkgraph.plans import jobs as J
+    edges = spark.createDataFrame([(1, 2, 1)], "NodeID1 int, NodeID2 int, edge_weight int")
+    nodes = spark.createDataFrame([(1, "A", "x"), (2, "B", "y")], "NodeID int, Label string, NodeName string")
+    job = J.GraphJob({"r1": G.Graph(edges, nodes), "r2": G.Graph(edges, nodes)}, nodes)
+    base = scratch_path(spark, "t-whole")
+    place = base.replace("file:", "")
+    whole = {"import_manifest", "nodes", "r1_edges", "r1_header", "r2_edges", "r2_header"}
+    write, calls = K._write_counted, []
+
+    def failing(df, path):
+        calls.append(path)
+        if len(calls) == 2:
+            raise RuntimeError("the disk is full")
+        return write(df, path)
+
+    monkeypatch.setattr(K, "_write_counted", failing)
+    with pytest.raises(RuntimeError):
+        J.export_graph(job, base)
+    assert not os.path.exists(f"{place}/import_manifest") and not any(f.startswith("_staging") for f in os.listdir(place))
+    monkeypatch.setattr(K, "_write_counted", write)
+    entries = J.export_graph(job, base)
+    assert {f for f in os.listdir(place) if not f.startswith(".")} == whole
+    written = spark.read.options(**S.EXPORT_CSV_OPTIONS).csv(f"{base}/import_manifest")
+    assert rows(written.select("kind", "name")) == rows(K.import_manifest(spark, entries, base).select("kind", "name"))
+    assert rows(K.read_export(spark, entries[0])) == [("1", "2", "1")]
+    # a failing second export leaves the first one whole
+    calls.clear()
+    monkeypatch.setattr(K, "_write_counted", failing)
+    with pytest.raises(RuntimeError):
+        J.export_graph(job, base)
+    assert {f for f in os.listdir(place) if not f.startswith(".")} == whole
+
+    # a move that fails leaves no manifest behind
+    monkeypatch.setattr(K, "_write_counted", write)
+    move = K._move
+
+    def stuck(spark, source, target):
+        if target.endswith("r1_header"):
+            raise OSError("no")
+        move(spark, source, target)
+
+    monkeypatch.setattr(K, "_move", stuck)
+    with pytest.raises(OSError):
+        J.export_graph(job, base)
+    assert not os.path.exists(f"{place}/import_manifest")
