@@ -24,7 +24,7 @@ from linkgraph.operators import columns as C
 from linkgraph.operators import filters as Fl
 from linkgraph.operators import graph as G
 from linkgraph.operators.relational import row_count
-from linkgraph.session import cut_lineage
+from linkgraph.session import cut_lineage, scratch_scope
 from linkgraph.sources import sinks
 
 # --- fixed values: job configuration ---------------------------------------
@@ -170,6 +170,17 @@ def export_graph(job: GraphJob, base_dir: str) -> list[dict[str, str]]:
     return written
 
 
+def export_whole_graph(tables: Mapping[str, DataFrame], base_dir: str, min_directed: int = 2) -> list[dict[str, str]]:
+    """G13 to its end: build the whole graph, export it, and give back all intermediate tables.
+
+    The detail and edge tables are stored once each inside a scope, which deletes
+    them when the export is in place or has failed.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    with scratch_scope(spark):
+        return export_graph(whole_graph(tables, min_directed, checkpoint=True), base_dir)
+
+
 def export_flat_inputs(lineups: DataFrame, passes: DataFrame, base_dir: str) -> dict[str, str]:
     """Write the flattened nested inputs for the edge jobs: the enriched lineup
     table as pipe-separated CSV with header (read back with ``EXPORT_CSV_OPTIONS``, values

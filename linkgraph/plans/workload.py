@@ -21,7 +21,7 @@ from linkgraph.operators import metrics as M
 from linkgraph.operators import nested as N
 from linkgraph.operators import relational as R
 from linkgraph.plans import jobs as J
-from linkgraph.session import scratch_path
+from linkgraph.session import cache, scratch_path, scratch_scope
 from linkgraph.sources import readers as S
 from linkgraph.sources import sinks as K
 
@@ -584,6 +584,29 @@ def q_join_anti(spark, sf):
     return R.join_df(c, o.withColumn("c_custkey", _null_every("c_custkey", 3)), "c_custkey", "left_anti")
 
 
+# ===================================================== cached steps =======
+
+@register("cached_step", """
+SELECT 'status' AS by, o_orderstatus AS name, count(*) AS n_rows, count(DISTINCT c_nationkey) AS n_nations
+FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY o_orderstatus
+UNION ALL
+SELECT 'priority', o_orderpriority, count(*), count(DISTINCT c_nationkey)
+FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY o_orderpriority
+""")
+def q_cached_step(spark, sf):
+    """One joined step, cached on request, feeds two aggregates; the scope gives the memory back."""
+    c, o = tables(spark, sf, "customer", "orders")
+    with scratch_scope(spark) as scope:
+        joined = cache(o.join(c.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+                       .select("o_orderstatus", "o_orderpriority", "c_nationkey"))
+
+        def counts(by, col):
+            return joined.groupBy(F.lit(by).alias("by"), F.col(col).alias("name")).agg(
+                F.count(F.lit(1)).alias("n_rows"), F.count_distinct("c_nationkey").alias("n_nations"))
+
+        return scope.keep(counts("status", "o_orderstatus").unionByName(counts("priority", "o_orderpriority")), "cached-step")
+
+
 # ============================================================ unions =======
 
 def _parties(spark, sf):
@@ -798,8 +821,7 @@ FROM (SELECT DISTINCT id, name, label FROM nodes) GROUP BY label
 """)
 def q_import_manifest(spark, sf):
     base = scratch_path(spark, "graph")
-    written = J.export_graph(J.whole_graph(_graph_tables(spark, sf), checkpoint=True), base)
-    return K.import_manifest(spark, written, base)
+    return K.import_manifest(spark, J.export_whole_graph(_graph_tables(spark, sf), base), base)
 
 
 # ============================================================ nested =======
@@ -946,7 +968,7 @@ SELECT 'lineups' AS export, count(*) AS n_rows, count(DISTINCT name) AS n_names,
        count(*) - count(name) AS n_null, CAST(sum(length(name)) AS BIGINT) AS name_chars FROM a
 UNION ALL
 SELECT 'passes', count(*), count(DISTINCT k), CAST(sum(event_id) AS BIGINT), count(*) - count(k), CAST(sum(length(k)) AS BIGINT)
-FROM (SELECT event_id, json_extract_string(props, '$.k') AS k FROM events WHERE event_type = 'click')
+FROM (SELECT event_id, 'user ' || json_extract_string(props, '$.k') AS k FROM events WHERE event_type = 'click')
 """)
 def q_export_flat_inputs(spark, sf):
     passes = q_flatten_events(spark, sf)

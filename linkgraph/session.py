@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -40,13 +43,79 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/linkgraph/{name}-{uuid.uuid4().hex[:12]}"
 
 
+class Scope:
+    """Stored tables and cached steps of one job, given back together (see ``scratch_scope``)."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folders: list[str] = []
+        self.cached: list[DataFrame] = []
+        self._stored: dict[int, list[tuple[DataFrame, DataFrame]]] = {}
+
+    def find(self, df: DataFrame) -> DataFrame | None:
+        """The stored table of an equal plan, if this scope has one."""
+        return next((back for plan, back in self._stored.get(df.semanticHash(), []) if plan.sameSemantics(df)), None)
+
+    def add(self, df: DataFrame, back: DataFrame, path: str) -> None:
+        self.folders.append(path)
+        self._stored.setdefault(df.semanticHash(), []).append((df, back))
+
+    def keep(self, df: DataFrame, name: str = "result") -> DataFrame:
+        """Store a result that outlives the scope."""
+        return _store(df, scratch_path(self.spark, name))
+
+    def close(self) -> None:
+        """Unpersist and delete what the scope owns."""
+        for df in self.cached:
+            df.unpersist()
+        for path in self.folders:
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        self.folders, self.cached, self._stored = [], [], {}
+
+
+_SCOPES: ContextVar[tuple[Scope, ...]] = ContextVar("linkgraph_scopes", default=())
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Scope]:
+    """Own the tables that ``cut_lineage`` stores, and the steps that ``cache`` marks, inside the block.
+
+    At the end, or after a failure, folders are deleted and caches unpersisted, so
+    results must have been written by then (``scope.keep`` stores one that stays).
+    Inside a scope, storing an equal plan again gives the table that is there.
+    Scopes may be nested; the innermost one owns.
+    """
+    scope = Scope(spark)
+    token = _SCOPES.set((*_SCOPES.get(), scope))
+    try:
+        yield scope
+    finally:
+        _SCOPES.reset(token)
+        scope.close()
+
+
+def _scope(spark: SparkSession) -> Scope | None:
+    found = _SCOPES.get()
+    return found[-1] if found and found[-1].spark is spark else None
+
+
 def cache(df: DataFrame) -> DataFrame:
     """Mark a table for reuse by several actions (memory, spilling to disk).
 
-    Lost blocks are recomputed from lineage; the caller unpersists when done.
-    For long lineages on a cluster prefer ``cut_lineage``.
+    Lost blocks are recomputed from lineage; the scope, or without one the caller,
+    unpersists.  For long lineages on a cluster prefer ``cut_lineage``.
     """
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    scope = _scope(df.sparkSession)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if scope:
+        scope.cached.append(df)
+    return df
+
+
+def _store(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
@@ -54,12 +123,18 @@ def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
 
     Survives the loss of executors (unlike a local checkpoint or a cache) and is
     cheaper than an RDD checkpoint: columnar, compressed, and the read-back gets
-    column pruning and filter pushdown like any other table.
+    column pruning and filter pushdown like any other table.  Without a
+    ``scratch_scope`` around it the folder stays until the checkpoint folder is cleared.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    scope = _scope(df.sparkSession)
+    if scope is None:
+        return _store(df, scratch_path(df.sparkSession, name))
+    back = scope.find(df)
+    if back is None:
+        path = scratch_path(df.sparkSession, name)
+        back = _store(df, path)
+        scope.add(df, back, path)
+    return back
 
 
 def local_session(app: str = "linkgraph", cores: int | str = "*", shuffle_partitions: int = 8,
