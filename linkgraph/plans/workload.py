@@ -926,6 +926,41 @@ def q_parse_with_rejects(spark, sf):
                                          F.lit("rejected").alias("status"))))
 
 
+def _break_files(spark, folder: str, keep: float) -> None:
+    """Cut every data file of a folder off after a part of its length."""
+    for r in spark.read.format("binaryFile").load(folder).select("path", "content").toLocalIterator():
+        K._write_bytes(spark, r["path"], bytes(r["content"][:int(len(r["content"]) * keep)]))
+
+
+@register("whole_files", """
+SELECT 'parquet' AS kind, 'rows' AS what, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS id_sum FROM orders
+WHERE o_orderstatus <> 'F' UNION ALL
+SELECT 'gzip', 'rows', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer WHERE c_nationkey % 5 <> 2 UNION ALL
+SELECT 'parquet', 'cut off', 1, 0 UNION ALL SELECT 'parquet', 'schema: no column o_orderkey', 1, 0 UNION ALL
+SELECT 'gzip', 'cut off', 1, 0
+""")
+def q_whole_files(spark, sf):
+    """One input per order status and per nation group; a broken and a foreign one among them are left out whole."""
+    base = scratch_path(spark, "whole-files")
+    o, c, n = tables(spark, sf, "orders", "customer", "nation")
+    o.write.partitionBy("o_orderstatus").parquet(f"{base}/orders")
+    n.write.parquet(f"{base}/orders/o_orderstatus=N")
+    (c.select("c_custkey", "c_name", (F.col("c_nationkey") % 5).alias("group")).write.partitionBy("group")
+     .options(header="true", compression="gzip").csv(f"{base}/customers"))
+    _break_files(spark, f"{base}/orders/o_orderstatus=F", 0.6)
+    _break_files(spark, f"{base}/customers/group=2", 0.9)
+    found = [("parquet", "o_orderkey", *S.read_whole_files(spark, f"{base}/orders/*", "o_orderkey BIGINT, o_totalprice DOUBLE")),
+             ("gzip", "c_custkey", *S.read_whole_files(spark, f"{base}/customers/*", "c_custkey BIGINT, c_name STRING", "csv", {"header": "true"}))]
+    out = []
+    for kind, key, rows, rejects in found:
+        out.append(rows.agg(F.count(F.lit(1)).alias("n"), F.sum(key).alias("id_sum")).select(F.lit(kind).alias("kind"), F.lit("rows").alias("what"), "n", "id_sum"))
+        # inputs, not files: how many files an input has depends on the machine
+        told = F.when(F.col("reason").startswith("unreadable"), "cut off").otherwise(F.col("reason"))
+        out.append(rejects.groupBy(told.alias("what")).agg(F.count_distinct(F.regexp_replace("file", "/[^/]*$", "")).alias("n"))
+                   .select(F.lit(kind), "what", "n", F.lit(0).cast("bigint")))
+    return out[0].union(out[1]).union(out[2]).union(out[3])
+
+
 @register("player_lookup", """
 WITH en AS (SELECT l_orderkey, p_brand, l_partkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS rnk
             FROM lineitem JOIN part ON p_partkey = l_partkey),

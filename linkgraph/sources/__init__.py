@@ -1,6 +1,6 @@
 """Sources and sinks."""
 
-from linkgraph.sources.readers import create_schema, read_by_prefix, read_file, read_kinds, read_table, to_ddl  # noqa: F401
+from linkgraph.sources.readers import create_schema, read_by_prefix, read_file, read_kinds, read_table, read_whole_files, to_ddl  # noqa: F401
 from linkgraph.sources.sinks import (  # noqa: F401
     import_manifest,
     join_parts,
