@@ -16,38 +16,49 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkgraph.llm.common import largest, small_batches, stash
 
-#: The model learns from about this many labelled documents (all of them, if there are fewer), chosen by a hash of the id.
+#: The model learns from about this many labelled documents (all of them, if there are fewer), in equal shares for all
+#: languages, so that a rare one is learned whatever the size of the table; chosen by a hash of the id.
 SAMPLE_ROWS = 40_000
 #: Most words, and most n-grams of each length, of a language in the model: those seen most often.
 MAX_ITEMS = 20_000
 LONGEST = 4
-#: Most words whose scores a task remembers.
-MEMO = 50_000
-#: Languages learned at most: those with most documents in the sample.
-MAX_LANGS = 200
+#: Most scores (words times languages) that a task remembers, and words whose scores are added up at once.
+MEMO, BLOCK = 200_000, 4096
 UNKNOWN = "und"
-#: A run of letters; SQL and Python patterns mean the same characters.
-LETTERS_SQL, LETTERS = r"\p{L}+", r"[^\W\d_]+"
+#: A run of letters in SQL; ``words`` finds the same runs in Python.
+LETTERS_SQL = r"\p{L}+"
+ALNUM = re.compile(r"[^\W\d_]+")
+
+
+def words(text: str) -> Counter[str]:
+    """Runs of letters of the lower-cased text, as ``LETTERS_SQL`` finds them; letter-like numerals are no letters."""
+    found = Counter(ALNUM.findall(text.lower()))
+    for w in [w for w in found if not w.isalpha()]:
+        n = found.pop(w)
+        for part in "".join(c if c.isalpha() else " " for c in w).split():
+            found[part] += n
+    return found
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
           sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(kind, lang, item, n): word counts (kind 0) and character n-gram counts (kind 1 to LONGEST), per language.
 
-    The rows to learn from are a bounded sample by the hash of the key.  Rows
-    with null language or text are left out.
+    The rows to learn from are a bounded sample by the hash of the key, with a
+    threshold for each language.  Rows with null language or text are left out.
     """
     rows = (labelled.select(labelled[f"`{lang}`"].alias("lang"), labelled[f"`{text}`"].alias("text"),
                             F.shiftrightunsigned(F.xxhash64(labelled[f"`{key}`"]), 1).alias("h"))
             .where(F.col("lang").isNotNull() & F.col("text").isNotNull()))
-    n = rows.count()
-    if n > sample_rows:
-        rows = rows.where(F.col("h") < int(2 ** 63 * (sample_rows / n)))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    share = F.lit(float(sample_rows)) / F.count("*").over(Window.partitionBy())  # over the list of languages
+    part = sizes.select(F.col("lang").alias("l2"), F.least(share / F.col("n"), F.lit(1.0)).alias("part"))
+    rows = rows.join(part, F.col("lang") == F.col("l2")).where(F.col("h") * F.lit(2.0 ** -63) < F.col("part")).select("lang", "text")
     words = (rows.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS_SQL), F.lit(0))).alias("item"))
              .groupBy("lang", "item").agg(F.count("*").alias("n")))
     words = stash(words, "lang-words")
@@ -64,44 +75,51 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
 def load(counts: DataFrame, max_items: int = MAX_ITEMS) -> dict:
     """The model as lookup tables: of each language the most frequent words and n-grams.
 
-    Its size is bounded by the item limit times the number of languages.  Items
-    seen once are left to shorter n-grams; totals count all.
+    An item holds its log frequencies in the languages that have it, so the size is
+    bounded by the item limit times the number of languages, which is not limited.
+    Items seen once are left to shorter n-grams; totals count all.
     """
     counts = stash(counts, "lang-counts")
-    totals = counts.groupBy("lang", "kind").agg(F.sum("n").alias("n"))
-    by_lang = [r["lang"] for r in totals.where("kind = 0").orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
-    langs = sorted(by_lang)
-    total = {(r["lang"], r["kind"]): r["n"] for r in totals.where(F.col("lang").isin(langs)).collect()}
-    top = (largest(counts.where(F.col("lang").isin(langs) & (F.col("n") > 1)), ["lang", "kind"], max_items)
+    total = {(r["lang"], r["kind"]): r["n"] for r in counts.groupBy("lang", "kind").agg(F.sum("n").alias("n")).collect()}
+    langs = sorted(lang for lang, kind in total if kind == 0)
+    top = (largest(counts.where(F.col("n") > 1), ["lang", "kind"], max_items)
            .select("lang", "kind", "item", "n").toArrow().to_pydict())
-    best: dict[int, dict[str, list[int]]] = {k: {} for k in range(LONGEST + 1)}
+    best: dict[int, dict[str, list[tuple[int, int]]]] = {k: {} for k in range(LONGEST + 1)}
     at = {lang: i for i, lang in enumerate(langs)}
     for lang, kind, item, n in zip(top["lang"], top["kind"], top["item"], top["n"], strict=True):
-        best[kind].setdefault(item, [0] * len(langs))[at[lang]] = n
+        best[kind].setdefault(item, []).append((at[lang], n))
     # log frequency; what a language lacks counts as half an occurrence in the language with most, for all alike
     most = {k: max([total.get((lang, k), 0) for lang in langs], default=0) for k in best}
     floor = {k: math.log(0.5 / max(most[k], 1)) for k in best}
-    tables = {k: {item: np.array([math.log(c / total[lang, k]) if c else floor[k] for c, lang in zip(row, langs, strict=True)])
-                  for item, row in best[k].items()} for k in best}
-    unseen = np.full(len(langs), floor[1])
-    return {"langs": langs, "tables": tables, "unseen": unseen}
+    tables = {k: {item: (np.array([i for i, _ in has], np.int32), np.array([math.log(c / total[langs[i], k]) for i, c in has]))
+                  for item, has in best[k].items()} for k in best}
+    return {"langs": langs, "tables": tables, "floor": floor}
+
+
+def _scores(kind: int, item: str, model: dict) -> np.ndarray | None:
+    """Log frequency of a known item in every language."""
+    got = model["tables"][kind].get(item)
+    if got is None:
+        return None
+    out = np.full(len(model["langs"]), model["floor"][kind])
+    out[got[0]] = got[1]
+    return out
 
 
 def score_word(word: str, model: dict) -> np.ndarray:
     """Log score of a lower-case word in every language: as a word, else by its longest known n-grams."""
-    tables = model["tables"]
-    known = tables[0].get(word)
+    known = _scores(0, word, model)
     if known is not None:
         return known
     w = f" {word} "
     total, i = np.zeros(len(model["langs"])), 0
     while i < len(w):
         for n in range(min(LONGEST, len(w) - i), 0, -1):
-            got = tables[n].get(w[i:i + n])
+            got = _scores(n, w[i:i + n], model)
             if got is not None:
                 break
         else:
-            n, got = 1, model["unseen"]
+            n, got = 1, model["floor"][1]
         total += got
         i += n
     return total
@@ -109,19 +127,24 @@ def score_word(word: str, model: dict) -> np.ndarray:
 
 def predict(text: str | None, model: dict, memo: dict) -> tuple[str, float]:
     """(language, posterior probability) of a text; ``und`` and 0 without letters or without a model."""
-    words = Counter(re.findall(LETTERS, (text or "").lower()))
-    if not words or not model["langs"]:
+    found = words(text or "")
+    if not found or not model["langs"]:
         return UNKNOWN, 0.0
+    total = np.zeros(len(model["langs"]))
     rows, counts = [], []
-    for w, n in words.items():
+    for w, n in found.items():
         s = memo.get(w)
         if s is None:
-            if len(memo) >= MEMO:
+            if len(memo) * len(total) >= MEMO:
                 memo.clear()
             s = memo[w] = score_word(w, model)
         rows.append(s)
         counts.append(n)
-    total = np.array(counts, float) @ np.array(rows)
+        if len(rows) == BLOCK:  # bounded memory for texts with very many words
+            total += np.array(counts, float) @ np.array(rows)
+            rows, counts = [], []
+    if rows:
+        total += np.array(counts, float) @ np.array(rows)
     best = int(total.argmax())
     p = np.exp(total - total[best])
     return model["langs"][best], float(1 / p.sum())

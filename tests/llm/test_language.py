@@ -15,17 +15,73 @@ def test_held_out_accuracy_and_range(spark):
     assert r[0] >= 0.97 and 0 <= r[1] <= r[2] <= 1 and r[3] > 100
 
 
-def test_word_first_then_longest_grams():
+def _model(tables, langs=("p", "q"), floor=-50.0):
     import numpy as np
-    t = {0: {"abc": np.array([-1.0, -2.0])}, 1: {c: np.array([-5.0, -6.0]) for c in " abcd"}, 2: {" a": np.array([-2.0, -9.0])},
-         3: {}, 4: {"bcd ": np.array([-1.5, -1.0])}}
-    model = {"langs": ["p", "q"], "tables": t, "unseen": np.array([-50.0, -60.0])}
+    every = np.arange(len(langs))
+    return {"langs": list(langs), "floor": dict.fromkeys(range(5), floor),
+            "tables": {k: {w: (every, np.array(x)) for w, x in tables.get(k, {}).items()} for k in range(5)}}
+
+
+def test_word_first_then_longest_grams():
+    model = _model({0: {"abc": [-1.0, -2.0]}, 1: {c: [-5.0, -6.0] for c in " abcd"}, 2: {" a": [-2.0, -9.0]}, 4: {"bcd ": [-1.5, -1.0]}})
     assert L.score_word("abc", model).tolist() == [-1.0, -2.0]
     assert L.score_word("abcd", model).tolist() == [-3.5, -10.0]  # " a" + "bcd "
-    assert L.score_word("z", model).tolist() == [-60.0, -72.0]  # " " + unseen + " "
+    assert L.score_word("z", model).tolist() == [-60.0, -62.0]  # " " + unseen + " "
     assert L.predict("12 !", model, {}) == ("und", 0.0) and L.predict(None, model, {}) == ("und", 0.0)
 
 
+def test_letterlike_numerals_are_no_letters(spark):
+    model = _model({0: {"a": [-1.0, -2.0]}})
+    for text in ("\u00b2\u00bd\u2460", "\u2167", "1\u00b2 _ \u0663", "\u3007"):
+        assert L.predict(text, model, {}) == ("und", 0.0)
+    texts = ["a\u00b2b", "x\u2167y_z", "\u00aa\u02b0 \u0414\u0430", "\u4e2d\u6587 \u0e01\u0e34", "O\u00b4K \u01c5", "caf\u0065\u0301 9a"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = rows.select("i", F.regexp_extract_all(F.lower("t"), F.lit(L.LETTERS_SQL), F.lit(0)).alias("w")).collect()
+    assert {r.i: sorted(r.w) for r in found} == {i: sorted(L.words(t).elements()) for i, t in enumerate(texts)}
+
+
+def test_counts_and_frequencies_against_brute_force(spark):
+    import math
+    import re
+    from collections import Counter
+    rnd = random.Random(4)
+    vocab = ["der", "die", "das", "the", "of", "caf\u00e9", "na\u00efve", "x"]
+    rows = [(i, " ".join(rnd.choice(vocab) + rnd.choice(["", ".", "7"]) for _ in range(30)), rnd.choice(["de", "en", None]), "a") for i in range(60)]
+    want = {k: Counter() for k in range(5)}
+    for _, t, lang, _ in rows:
+        for w in re.findall("[a-z\u00e9\u00ef]+", t) if lang else []:
+            want[0][lang, w] += 1
+            for n in range(1, 5):
+                want[n].update((lang, f" {w} "[i:i + n]) for i in range(len(w) + 3 - n))
+    counts = L.train(documents(spark, rows))
+    assert {(r.kind, r.lang, r.item): r.n for r in counts.collect()} == {(k, *x): n for k, c in want.items() for x, n in c.items()}
+    model = L.load(counts)
+    for k, c in want.items():
+        total = {lang: sum(n for (x, _), n in c.items() if x == lang) for lang in ("de", "en")}
+        for (lang, item), n in c.items():
+            if n > 1:
+                at, logs = model["tables"][k][item]
+                assert abs(dict(zip(at.tolist(), logs.tolist(), strict=True))[model["langs"].index(lang)] - math.log(n / total[lang])) < 1e-12
+        assert model["floor"][k] == math.log(0.5 / max(total.values()))
+
+
+def test_many_languages_and_a_rare_one(spark):
+    """No limit on languages; a rare language among many labelled rows of others is learned."""
+    rnd = random.Random(2)
+    words = {f"l{i:03d}": ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(12)] for i in range(300)}
+    rows = [(i * 10 + j, " ".join(w), lang, "a") for i, (lang, w) in enumerate(words.items()) for j in range(2)]
+    model = L.load(L.train(documents(spark, rows)))
+    assert len(model["langs"]) == 300
+    memo = {}
+    assert all(L.predict(" ".join(w[:8]), model, memo)[0] == lang for lang, w in words.items())
+    many = spark.range(40_000).selectExpr("id AS doc_id", "'the of and is' AS text", "'en' AS lang").unionByName(
+        spark.createDataFrame([(10**6 + i, "kala vesi maja puu", "et") for i in range(5)], "doc_id long, text string, lang string"))
+    model = L.load(L.train(many, sample_rows=400))
+    assert model["langs"] == ["en", "et"] and L.predict("vesi maja", model, {})[0] == "et"
+    learned = L.train(many, sample_rows=400).where("kind = 0 and item = 'the'").first().n
+    assert 120 <= learned <= 280  # half of the bound
+
+
 def test_model_ignores_held_out_labels_and_ids(spark):
     rnd = random.Random(1)
     rows = [(i, " ".join(rnd.choice(["der", "die", "das"] if i % 2 else ["the", "of", "and"]) for _ in range(20)),
@@ -35,7 +91,8 @@ def test_model_ignores_held_out_labels_and_ids(spark):
     out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     other = Q.language_model(docs.withColumn("lang", F.when(out, "zz").otherwise(F.col("lang"))))
     assert model["langs"] == other["langs"] == ["de", "en"]
-    assert {w: s.tolist() for w, s in model["tables"][0].items()} == {w: s.tolist() for w, s in other["tables"][0].items()}
+    plain = lambda m: {w: (i.tolist(), x.tolist()) for w, (i, x) in m["tables"][0].items()}
+    assert plain(model) == plain(other)
 
 
 def test_awkward_rows(spark):
