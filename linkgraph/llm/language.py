@@ -58,7 +58,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.lit(float(sample_rows)) / F.count("*").over(Window.partitionBy())  # over the list of languages
     part = sizes.select(F.col("lang").alias("l2"), F.least(share / F.col("n"), F.lit(1.0)).alias("part"))
-    rows = rows.join(part, F.col("lang") == F.col("l2")).where(F.col("h") * F.lit(2.0 ** -63) < F.col("part")).select("lang", "text")
+    # one row per language, as the model itself has; texts are not dealt by language
+    rows = rows.join(F.broadcast(part), F.col("lang") == F.col("l2")).where(F.col("h") * F.lit(2.0 ** -63) < F.col("part")).select("lang", "text")
     words = (rows.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS_SQL), F.lit(0))).alias("item"))
              .groupBy("lang", "item").agg(F.count("*").alias("n")))
     words = stash(words, "lang-words")
@@ -92,37 +93,37 @@ def load(counts: DataFrame, max_items: int = MAX_ITEMS) -> dict:
     most = {k: max([total.get((lang, k), 0) for lang in langs], default=0) for k in best}
     floor = {k: math.log(0.5 / max(most[k], 1)) for k in best}
     tables = {k: {item: (np.array([i for i, _ in has], np.int32), np.array([math.log(c / total[langs[i], k]) for i, c in has]))
-                  for item, has in best[k].items()} for k in best}
+                  for item, has in ((item, sorted(has)) for item, has in best[k].items())} for k in best}
     return {"langs": langs, "tables": tables, "floor": floor}
 
 
-def _scores(kind: int, item: str, model: dict) -> np.ndarray | None:
-    """Log frequency of a known item in every language."""
-    got = model["tables"][kind].get(item)
-    if got is None:
-        return None
-    out = np.full(len(model["langs"]), model["floor"][kind])
-    out[got[0]] = got[1]
-    return out
-
-
 def score_word(word: str, model: dict) -> np.ndarray:
     """Log score of a lower-case word in every language: as a word, else by its longest known n-grams."""
-    known = _scores(0, word, model)
+    tables, floor, width = model["tables"], model["floor"], len(model["langs"])
+    known = tables[0].get(word)
     if known is not None:
-        return known
+        if len(known[0]) == width:
+            return known[1]
+        out = np.full(width, floor[0])
+        out[known[0]] = known[1]
+        return out
     w = f" {word} "
-    total, i = np.zeros(len(model["langs"])), 0
+    total, i, rest = np.zeros(width), 0, 0.0
     while i < len(w):
         for n in range(min(LONGEST, len(w) - i), 0, -1):
-            got = _scores(n, w[i:i + n], model)
+            got = tables[n].get(w[i:i + n])
             if got is not None:
                 break
         else:
-            n, got = 1, model["floor"][1]
-        total += got
+            n, got = 1, None
+        if got is not None and len(got[0]) == width:
+            total += got[1]
+        else:
+            rest += floor[n]  # what all languages get that lack the item
+            if got is not None:
+                total[got[0]] += got[1] - floor[n]
         i += n
-    return total
+    return total + rest
 
 
 def predict(text: str | None, model: dict, memo: dict) -> tuple[str, float]:
