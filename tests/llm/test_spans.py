@@ -1,4 +1,5 @@
 import random
+import re
 
 from linkgraph.llm import spans as S
 from tests.llm.cases import TEXTS, documents, empty
@@ -91,3 +92,57 @@ def test_unspaced_scripts_and_long_runs():
             assert shared(one, make(300)) == 0
     text = "。".join("".join(rnd.choices([chr(0x4e00 + i) for i in range(3000)], k=15)) for _ in range(6)) + "。"
     assert shared(text, text) == len(text)
+
+
+def plain_dedup(rows, least=25):
+    """Brute force over strings: short sentences split by a pattern, all runs of them compared as tuples of words."""
+    seen, out = set(), {}
+    for i, t in rows:
+        parts = re.findall(r"[^.!?]*[.!?]+\"?\s*|[^.!?]+$", t)
+        size = [len(p.split()) for p in parts]
+        runs = set()
+        for a in range(len(parts)):
+            runs |= {next(((a, b) for b in range(a + 1, len(parts) + 1) if sum(size[a:b]) >= least), None)}
+            runs |= {next(((b, a + 1) for b in range(a, -1, -1) if sum(size[b:a + 1]) >= least), None)}
+        gone, own = set(), set()
+        for a, b in sorted(runs - {None}):
+            words = tuple(" ".join(parts[a:b]).lower().split())
+            if words in seen or words in own:
+                gone |= set(range(a, b))
+            own.add(words)
+        seen |= own
+        out[i] = "".join(p for k, p in enumerate(parts) if k not in gone)
+    return out
+
+
+def test_short_sentences_against_plain_strings(spark):
+    rnd = random.Random(6)
+    pool = [words(rnd, rnd.randrange(1, 12)).capitalize() + rnd.choice([".", "!", "?!", '."']) for _ in range(25)]
+    rows = []
+    for i in range(150):
+        at = rnd.randrange(20)
+        new = [words(rnd, rnd.randrange(1, 12)) + "." for _ in range(6)]
+        rows.append((i, rnd.choice([" ", "  ", " "]).join([*new[:3], *pool[at:at + rnd.randrange(8)], *new[3:], *rnd.choices(pool, k=rnd.randrange(5))])))
+    rows += [(1000, rows[3][1] + " " + rows[3][1]), (1001, rows[5][1].upper())]
+    got = {r.doc_id: r.text for r in S.dedup(documents(spark, [(i, t, "en", "a") for i, t in rows])).collect()}
+    want = plain_dedup(rows)
+    assert got == want and sum(want[i] != t for i, t in rows) > 30
+
+
+def test_rows_with_null_keys_are_told_apart(spark):
+    text = prose(random.Random(7), 12)
+    rows = [(None, text, "en", "a")] * 3 + [(5, "Other words.", "en", "a")]
+    assert sorted(r.text for r in S.dedup(documents(spark, rows)).collect()) == sorted(["", "", text, "Other words."])
+    got = S.dedup(documents(spark, [*rows, (7, text, "en", "a")])).collect()
+    assert [r.doc_id for r in got if r.text == text] == [7]
+
+
+def test_capitals_spaces_and_scripts_of_one_text():
+    rnd = random.Random(8)
+    one = prose(rnd, 8)
+    other = re.sub(" ", "\u00a0 ", one).upper()
+    assert [h for h, *_ in S.spans(one)] == [h for h, *_ in S.spans(other)]
+    assert "".join(t for t in [other[i:j] for i, j in S.sentences(other)]) == other
+    for t in ["İstanbul " * 40, "𝒳 " * 60, "a" * 41 + "。" + "b " * 30, "\u0e01" * 100 + " x. " * 30]:
+        parts = S.sentences(t)
+        assert "".join(t[i:j] for i, j in parts) == t and all(i < j for i, j in parts) and list(S.spans(t))
