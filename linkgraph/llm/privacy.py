@@ -28,23 +28,35 @@ LONG = 256
 #: For tests and examples; production passes its own.
 DEMO_KEY = b"linkgraph demonstration key"
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
-#: Text without any of these characters holds nothing to replace.
-CANDIDATE_SQL = "[0-9@=:]"
+#: Text without any of these holds nothing to replace.  Digits are ASCII digits, here and in FIND.
+CANDIDATE_SQL = "[0-9@=:]|PRIVATE KEY-----|gh[pousr]_|eyJ|(?i:bearer)"
+#: Where FIND's groups hold the value of a secret.
+VALUES = ("quoted", "quoted1", "value", "short")
+KEYS = ("secret", "pem", "github", "jwt", "bearer")
+#: Words behind "secret:" or "token:" are prose when they hold neither digits nor signs nor capitals inside.
+PROSE = re.compile(r"[A-Z]?[a-z]+(?:-[a-z]+)*")
+GITHUB = re.compile(r"gh[pousr]_[A-Za-z0-9]{30,}")
 
 _NOT_IN_WORD, _ENDS = r"(?<![\w.+-])", r"(?![\w])"
 FIND = re.compile("|".join([
     r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}" + _ENDS + ")",
-    r"(?P<secret>(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?"
-    r"(?P<value>[A-Za-z0-9+/_-]{8,}+))",
+    r"(?P<pem>(?<=PRIVATE KEY-----)[A-Za-z0-9+/=\s]{16,}+(?=-----END ))",
+    r"(?P<github>(?<![A-Za-z0-9_])gh[pousr]_[A-Za-z0-9]{30,}+)",
+    r"(?P<jwt>(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]++)?)",
+    r"(?P<bearer>(?<![A-Za-z])(?i:bearer)\s{1,2}(?P<given>(?=[A-Za-z_.~+/-]*[0-9])[A-Za-z0-9_.~+/-]{16,}+))",
+    r"(?P<secret>(?<![A-Za-z])(?:(?P<pass>(?i:password|passwd|pwd))|(?i:secret|token|api[_-]?key|access[_-]?key))"
+    r"(?i:[_-](?:hash|key|value))?[\"']?\s{0,2}(?P<colon>[=:])\s{0,2}"
+    r"(?:\"(?P<quoted>[^\"\s]{6,}+)\"|'(?P<quoted1>[^'\s]{6,}+)'|[\"']?(?P<value>[A-Za-z0-9+/_-]{8,}+)"
+    r"|(?P<short>(?=[A-Za-z]*[0-9])[A-Za-z0-9+/_-]{4,7}+(?![A-Za-z0-9+/_-]))))",
     r"(?P<aws>(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9]))",
-    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))",
-    r"(?P<iso>" + _NOT_IN_WORD + r"\d{4}-\d{2}-\d{2}(?![\d-]))",
-    r"(?P<date>" + _NOT_IN_WORD + r"\d{1,2}(?P<sep>[/.-])\d{1,2}(?P=sep)\d{4}(?![\d]|[/.-]\d))",
-    r"(?P<ssn>" + _NOT_IN_WORD + r"\d{3}-\d{2}-\d{4}(?![\d-]))",
-    r"(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d|[A-Za-z_]))",
-    r"(?P<phone>(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\d)"
-    r"|(?<![\w+-])(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?![\d-]))",
-    r"(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\d-]|[A-Za-z_]))",
+    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))",
+    r"(?P<iso>" + _NOT_IN_WORD + r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-]))",
+    r"(?P<date>" + _NOT_IN_WORD + r"[0-9]{1,2}(?P<sep>[/.-])[0-9]{1,2}(?P=sep)[0-9]{4}(?![0-9]|[/.-][0-9]))",
+    r"(?P<ssn>" + _NOT_IN_WORD + r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))",
+    r"(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9]|[A-Za-z_]))",
+    r"(?P<phone>(?<![\w+])\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|(?<![\w+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,6}(?![0-9])"
+    r"|(?<![\w+-])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9-]))",
+    r"(?P<card>(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9-]|[A-Za-z_]))",
 ]))
 
 
@@ -262,24 +274,36 @@ class Pseudonymizer:
         body = digits[0] + f"{self.p.permute(int(digits[1:-1]), 10 ** n, f'card{digits[0]}:{n}'):0{n}d}"
         return _refill(s, body + luhn_digit(body))
 
+    def secret(self, s: str) -> str:
+        """A key keeps the prefix that tells its format."""
+        keep = 4 if GITHUB.fullmatch(s) else 3 if s.startswith("eyJ") else 0
+        return s[:keep] + self.mixed(s[keep:], "secret")
+
     def value(self, kind: str, s: str) -> str | None:
         if len(s) > LONG:  # not remembered
-            return self.mixed(s, "secret") if kind == "secret" else getattr(self, kind)(s)
+            return getattr(self, kind)(s)
         key = (kind, s)
         if key not in self.memo:
             if len(self.memo) >= 100_000:
                 self.memo.clear()
-            self.memo[key] = self.mixed(s, "secret") if kind == "secret" else getattr(self, kind)(s)
+            self.memo[key] = getattr(self, kind)(s)
         return self.memo[key]
 
     def text(self, text: str) -> tuple[str, int]:
         """The text with pseudonyms, and how many."""
         out, done, n, at = [], 0, 0, 0
         while m := FIND.search(text, at):
-            kind = m.lastgroup if m.lastgroup not in ("value", "sep") else None
-            kind = kind or ("secret" if m["value"] else "date")
-            begin, end = m.span("value") if kind == "secret" else m.span()
-            new = self.value(kind, text[begin:end])
+            kind, part = m.lastgroup, 0
+            if kind == "secret":
+                part = next(g for g in VALUES if m[g] is not None)
+            elif kind == "bearer":
+                part = "given"
+            begin, end = m.span(part)
+            if kind == "secret" and not m["pass"] and m["colon"] == ":" and part == "value" and PROSE.fullmatch(m[part]) \
+                    or part == "short" and not m["pass"]:
+                at = end
+                continue
+            new = self.value("secret" if kind in KEYS else kind, text[begin:end])
             while new is None and kind in ("card", "iban"):  # a group behind the number may belong to something else
                 cut = max(text.rfind(c, begin, end) for c in " -")
                 if cut <= begin:
