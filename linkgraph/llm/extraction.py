@@ -2,14 +2,17 @@
 
 Three steps.  Each page's containers are scored by the running text they hold, and
 the best one's path of generalised tags and classes is the page's vote.  Spark sums
-the votes per host.  Every page is then read again with its host's winning path; a
-page on which that path holds no text falls back to its own best container.
+the votes per host; the paths that win a real share of a host's pages stay.  Every
+page is then read again with the one of them that holds most of its running text; a
+page on which they hold none falls back to its own best container.
 """
 
 from __future__ import annotations
 
+import heapq
 import html
 import re
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -38,8 +41,12 @@ NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscribe|"
     r"nav\w*|menu|breadcrumbs?|pagination|pager|sidebar|side|widget|related|recommend\w*|share|sharing|social|footer|header|masthead|"
     r"toolbar|comments?|comment-?list|replies|disqus|login|signup|search)(?:$|[\s_-])", re.I)
+#: Marks that also stand on parts around an article: such a part is read if it holds running text of at least RESCUE
+#: characters and three times what the page has outside of noise.
+SOFT = re.compile(r"(?:^|[\s_-])(?:widget|search|share|sharing|social|side)(?:$|[\s_-])", re.I)
+RESCUE = 150
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar toolbar".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACE = re.compile(r"\s+")
 
@@ -47,11 +54,14 @@ SPACE = re.compile(r"\s+")
 class Node:
     """An element with its text pieces and children in page order."""
 
-    __slots__ = ("tag", "step", "parent", "parts", "noise", "own", "raw")
+    __slots__ = ("tag", "step", "parent", "parts", "noise", "soft", "own", "raw", "key", "holder")
 
-    def __init__(self, tag: str, step: str, parent: Node | None, noise: bool):
-        self.tag, self.step, self.parent, self.parts, self.noise = tag, step, parent, [], noise
+    def __init__(self, tag: str, step: str, parent: Node | None, noise: bool, soft: bool = False):
+        self.tag, self.step, self.parent, self.parts, self.noise, self.soft = tag, step, parent, [], noise, soft
         self.own = self.raw = 0.0
+        # checksum of the path, and the container that a text here belongs to
+        self.key = 0 if parent is None else zlib.crc32((step if parent.parent is None else "/" + step).encode("utf-8", "surrogatepass"), parent.key)
+        self.holder: Node = self if parent is None or tag in CONTAINERS else parent.holder
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -105,10 +115,14 @@ def parse(page: str) -> Node:
                 break
             node = node.parent
         own = _attributes(m[3])
-        noise = (tag in SKIPPED or "hidden" in own or own.get("aria-hidden") == "true" or own.get("role") in NOISE_ROLES
-                 or "display:none" in own.get("style", "").replace(" ", "").lower()
-                 or (tag not in ("body", "html", "article", "main") and bool(NOISE.search(own.get("class", "")) or NOISE.search(own.get("id", "")))))
-        child = Node(tag, general(tag, own), at, noise)
+        marks = [] if tag in ("body", "html", "article", "main") else [own.get("class", ""), own.get("id", "")]
+        role = own.get("role")
+        hard = (tag in SKIPPED and tag != "form" or "hidden" in own or own.get("aria-hidden") == "true"
+                or role in NOISE_ROLES and role not in ("form", "search")
+                or "display:none" in own.get("style", "").replace(" ", "").lower()
+                or any(NOISE.search(SOFT.sub("  ", SOFT.sub("  ", x))) for x in marks))
+        soft = not hard and (tag == "form" or role in ("form", "search") or any(SOFT.search(x) for x in marks))
+        child = Node(tag, general(tag, own), at, hard or soft, soft)
         at.parts.append(child)
         if tag in VOID or m[3].endswith("/") and tag not in RAW and tag not in BLOCKS:
             continue
@@ -120,9 +134,52 @@ def parse(page: str) -> Node:
         at = child
     if pos < end:
         text(page[pos:])
+    rescue(root)
     return root
 
 
+def _solid(part: str) -> int:
+    return len(part) - part.count(" ") - part.count("\n")
+
+
+def rescue(root: Node) -> None:
+    """Soft noise that holds the page's text is noise no longer: the largest first, and what lies inside it in turn."""
+    order, stack = [], [(root, False)]
+    while stack:  # each node before those inside it
+        node, linked = stack.pop()
+        order.append((node, linked))
+        stack += [(part, linked or part.tag == "a") for part in node.parts if not isinstance(part, str) and (part.soft or not part.noise)]
+    if not any(node.soft for node, _ in order):
+        return
+    weight: dict[int, int] = {}
+    for node, linked in reversed(order):
+        weight[id(node)] = sum(weight.get(id(part), 0) if not isinstance(part, str) else 0 if linked else _solid(part) for part in node.parts)
+    heap: list[tuple[int, int, Node]] = []
+    clean, place = 0, {id(node): i for i, (node, _) in enumerate(order)}
+    links = {id(node) for node, linked in order if linked}
+
+    def enter(node: Node) -> int:
+        found, stack = 0, [node]
+        while stack:
+            node = stack.pop()
+            for part in node.parts:
+                if isinstance(part, str):
+                    found += 0 if id(node) in links else _solid(part)
+                elif part.soft and part.noise:
+                    heapq.heappush(heap, (-weight[id(part)], place[id(part)], part))
+                elif not part.noise:
+                    stack.append(part)
+        return found
+
+    clean = enter(root)
+    while heap:
+        most, _, node = heapq.heappop(heap)
+        if -most < RESCUE or -most <= 3 * clean:
+            break
+        node.noise = False
+        clean += enter(node)
+
+
 def blocks(node: Node) -> list[str]:
     """The text blocks under a node in page order, without its noise."""
     done, open_ = [], []
@@ -162,12 +219,6 @@ def path(node: Node) -> str:
     return "/".join(reversed(steps))
 
 
-def _holder(node: Node) -> Node:
-    while node.parent is not None and node.tag not in CONTAINERS:
-        node = node.parent
-    return node
-
-
 def containers(root: Node) -> list[Node]:
     """All containers outside of noise, each before those inside it, with their running text.
 
@@ -183,19 +234,21 @@ def containers(root: Node) -> list[Node]:
             found.append(node)
         for part in node.parts:
             if isinstance(part, str):
-                _holder(node).own += (len(part) - part.count(" ") - part.count("\n")) * (-1 if linked else 1)
+                node.holder.own += _solid(part) * (-1 if linked else 1)
             elif not part.noise:
                 stack.append((part, linked or part.tag == "a"))
     for node in reversed(found):
         node.raw += max(0.0, node.own)
         if node is not root:
-            _holder(node.parent).raw += DECAY * node.raw
+            node.parent.holder.raw += DECAY * node.raw
     return found
 
 
 #: What the kind of a container counts for, and what is handed on to the one around it.
 BONUS = {"article": 3.0, "main": 2.0, "section": 1.2, "body": 0.8, "#root": 0.5}
 DECAY = 0.9
+#: A path wins a real share of a host with every so many-th of its pages.
+SHARE = 20
 
 
 def score(node: Node) -> float:
@@ -213,15 +266,20 @@ def vote(page: str | None) -> tuple[str, float]:
     return path(node), node.raw
 
 
-def extract(page: str | None, winner: str | None) -> str:
-    """Main text of a page: under the winning path's elements, else under the page's own best container."""
+def extract(page: str | None, winners: list[str] | None) -> str:
+    """Main text of a page: under the winning path with most running text on it, else under the page's own best container."""
     root = parse(page or "")
-    if winner is not None:
-        out = [b for n in containers(root) if path(n) == winner for b in blocks(n)]
-        if out:
-            return "\n".join(out)
-        root = parse(page or "")
-    return "\n".join(blocks(best(root)))
+    found = containers(root)
+    most, out = -1.0, []
+    for winner in winners if winners is not None else ():
+        key = zlib.crc32(winner.encode("utf-8", "surrogatepass"))
+        nodes = [n for n in found if n.key == key and path(n) == winner]
+        size = sum(n.raw for n in nodes)
+        if nodes and size > most:
+            text = [b for n in nodes for b in blocks(n)]
+            if text:
+                most, out = size, text
+    return "\n".join(out or blocks(max(found, key=score)))
 
 
 def host_of(url: Column) -> Column:
@@ -230,7 +288,8 @@ def host_of(url: Column) -> Column:
 
 
 def consensus(pages: DataFrame, html_column: str = "html", url: str = "url") -> DataFrame:
-    """(host, winner): the path with the largest sum of votes of each host, ties by code point.
+    """(host, winner, winners): the path with the largest sum of votes of each host, ties by code point, and behind it
+    those that win two pages and a SHAREth of the host's pages at least, so no more than SHARE of them.
 
     Votes are summed by host and path before they meet, so a host with any share
     of the pages costs one row per path and task.
@@ -244,8 +303,14 @@ def consensus(pages: DataFrame, html_column: str = "html", url: str = "url") ->
 
     votes = (pages.select(host_of(pages[f"`{url}`"]).alias("host"), run(pages[f"`{html_column}`"].cast("string")).alias("v"))
              .select("host", "v.path", "v.weight").where("weight > 0"))
-    sums = votes.groupBy("host", "path").agg(F.sum("weight").alias("weight"))
-    return sums.groupBy("host").agg(F.min(F.struct((-F.col("weight")).alias("w"), "path"))["path"].alias("winner"))
+    sums = votes.groupBy("host", "path").agg(F.sum("weight").alias("weight"), F.count("*").alias("n"))
+    sums = stash(sums, "path-votes")
+    first = sums.groupBy("host").agg(F.min(F.struct((-F.col("weight")).alias("w"), "path"))["path"].alias("winner"),
+                                     F.sum("n").alias("pages"))
+    others = (sums.where("n > 1").join(first, "host").where((F.col("n") * SHARE >= F.col("pages")) & (F.col("path") != F.col("winner")))
+              .groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("weight")).alias("w"), "path")))["path"].alias("others")))
+    return first.join(others, "host", "left").select(
+        "host", "winner", F.concat(F.array("winner"), F.coalesce("others", F.array().cast("array<string>"))).alias("winners"))
 
 
 def extract_pages(pages: DataFrame, html_column: str = "html", url: str = "url", into: str = "text") -> DataFrame:
@@ -259,13 +324,13 @@ def extract_pages(pages: DataFrame, html_column: str = "html", url: str = "url",
     spark = pages.sparkSession
     small_batches(spark)
     # one short row per host; Spark broadcasts the stored table where its size allows, else joins by host
-    winners = stash(consensus(pages, html_column, url).where("host <> ''").select(F.col("host").alias("_host"), F.col("winner").alias("_winner")),
+    winners = stash(consensus(pages, html_column, url).where("host <> ''").select(F.col("host").alias("_host"), F.col("winners").alias("_winner")),
                     "host-paths")
 
     @F.pandas_udf("string")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for docs, paths in batches:
-            yield pd.Series([extract(p, w) for p, w in zip(docs, paths, strict=True)], dtype=object)
+            yield pd.Series([extract(p, None if w is None else list(w)) for p, w in zip(docs, paths, strict=True)], dtype=object)
 
     kept = [c for c in pages.columns if c != into]
     joined = pages.join(winners, host_of(pages[f"`{url}`"]) == winners["_host"], "left")

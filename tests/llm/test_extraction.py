@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -72,3 +73,41 @@ def test_pages_without_host_do_not_share_a_vote(spark):
     rows = [(i, None, site % "x") for i in range(20)] + [(100, None, other), (101, "no host", other)]
     got = {r.page_id: r.text for r in X.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[100] == got[101] == "The longer text of this page stands here." and got[0] == LONG
+
+
+STORY = " ".join(f"word{i}" for i in range(60))
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><form action=/x><div class=menu>a b</div><div><p>{STORY}</p></div><input><button>go</button></form></body>",
+    f'<body><p title=5">{STORY}</p><p class="x"></p></body>',
+    f'<div class="share-price-article search"><p>{STORY}</p></div>',
+    f'<div class="content widget"><p>{STORY}</p></div><div class="widget">Weather today</div>',
+    f'<form><div class=widget><form><p>{STORY}</p></form></div></form>',
+    f"<p data-a=b'c>{STORY}</p><p id='y'></p>"])
+def test_marked_parts_that_hold_the_article_are_read(page):
+    assert X.extract(page, None) == STORY
+
+
+def test_soft_noise_beside_an_article_stays_out():
+    side = "<div class='side'>" + "teaser text of other pages " * 12 + "</div>"
+    assert X.extract(f"<article><p>{STORY}</p></article>{side}<form>{side}</form>", None) == STORY
+    assert X.extract(f"<article><p>Short.</p></article><div id=comments><p>{STORY}</p></div>", None) == "Short."
+    assert X.extract("<form class=search>Search the whole site <input></form>", None) == ""
+
+
+def test_second_template_of_a_host_wins_its_own_pages(spark):
+    one = "<div class='post'><p>%s</p></div>" % ("long text " * 40)
+    two = "<div class='post'><p>Teaser.</p></div><div class='recipe'><p>%s</p></div>" % ("cook it " * 30)
+    rows = [(i, "http://h.example/", one) for i in range(12)] + [(20 + i, "http://h.example/", two) for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in X.extract_pages(df).collect()}
+    assert got[0].startswith("long text") and all(got[20 + i].startswith("cook it") for i in range(4))
+    assert [r.winners for r in X.consensus(df).collect()] == [["div.post", "div.recipe"]]
+
+
+def test_deep_nesting_takes_linear_time():
+    begin = time.process_time()
+    for page in ("<div>" * 100_000 + STORY, "<form>" * 30_000 + STORY, "<div class=widget>" * 30_000 + STORY):
+        assert X.extract(page, ["div/div"]) == STORY
+    assert time.process_time() - begin < 60
