@@ -1,10 +1,12 @@
 """Document fingerprints by winnowing (DataFrame functions only).
 
-A text is lower-cased (A-Z) and cut into words; long unbroken runs count as
-pieces of 32 characters.  Every run of ``K`` words has a 64-bit hash; of every
-``W`` consecutive hashes the smallest is chosen, the rightmost one among equals.
-Two texts that share ``W + K - 1`` words in a row therefore share a chosen hash,
-and the chosen positions say where.
+A text is lower-cased (A-Z) and cut into words; in scripts written without spaces
+every character is one.  Every run of ``K`` words has a 64-bit hash, rolled from
+hashes of the words; of every ``W`` consecutive hashes the smallest is chosen, the
+rightmost one among equals.  Two texts that share ``W + K - 1`` words in a row
+therefore share a chosen hash, and the chosen positions say where.  Other unbroken
+runs longer than 32 characters count as pieces of 32 from their start; a match
+inside such a run is found only where both texts cut it alike.
 """
 
 from __future__ import annotations
@@ -15,20 +17,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkgraph.llm.common import let, lower_ascii, stash, text_key
+from linkgraph.llm.spans import UNSPACED
 
 #: Words of a gram and grams of a window: any match of 8 words is found.
 K, W = 5, 4
-PIECE_RE = r"[^\x20\x09-\x0D]{1,32}"
+_UNSPACED = "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in UNSPACED)
+PIECE_RE = rf"[{_UNSPACED}]|[^\x20\x09-\x0D{_UNSPACED}]{{1,32}}"
+
+
+def _rotate(x: Column, bits: int) -> Column:
+    return F.shiftleft(x, bits).bitwiseOR(F.shiftrightunsigned(x, 64 - bits))
 
 
 def grams(words: Column, k: int = K) -> Column:
-    """Hashes of all runs of ``k`` words; fewer words: one hash of all; none: empty."""
-    def of(ws: Column) -> Column:
-        n = F.size(ws)
-        return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(
-            F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))),
-                        lambda i: F.xxhash64(F.slice(ws, i, k))))
-    return let(words, of)
+    """Hashes of all runs of ``k`` (below 64) words; fewer words: one hash of all; none: empty.
+
+    A cyclic polynomial: every word is hashed once, and a run's hash is the exclusive
+    or of its words' hashes, each rotated by the number of words behind it.  All runs
+    of ``m`` words roll on to those of up to ``2 m`` by one rotation and one exclusive
+    or each, so nothing is hashed again.
+    """
+    def runs(h: Column, m: int) -> Column:
+        # past the last whole run there are nulls
+        if m == 1:
+            return h
+        if m % 2:
+            return F.transform(runs(h, m - 1), lambda v, i: _rotate(v, 1).bitwiseXOR(F.get(h, i + F.lit(m - 1))))
+        return let(runs(h, m // 2), lambda a: F.transform(
+            a, lambda v, i: _rotate(v, m // 2).bitwiseXOR(F.get(a, i + F.lit(m // 2)))))
+
+    def of(h: Column) -> Column:
+        n = F.size(h)
+        whole = F.aggregate(h, F.lit(0).cast("bigint"), lambda a, x: _rotate(a, 1).bitwiseXOR(x))
+        return (F.when(n == 0, F.array().cast("array<bigint>")).when(n < k, F.array(whole))
+                .otherwise(F.slice(runs(h, k), F.lit(1), n - (k - 1))))
+    return let(F.transform(words, lambda w: F.xxhash64(w)), of)
 
 
 def chosen(hashes: Column, w: int = W) -> Column:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import xxhash
 from pyspark.sql import functions as F
 
 from linkgraph.llm import winnowing as W
@@ -39,6 +40,43 @@ def test_shared_run_gives_a_shared_hash(spark):
     assert all(set(r.a) & set(r.b) for r in got.collect())
 
 
+def rolled(words, k):
+    """The cyclic polynomial of every run, from the words' own hashes."""
+    def rotate(x, n):
+        return (x << n | x >> 64 - n) % (1 << 64) if n else x
+
+    runs = [words[i:i + k] for i in range(len(words) - k + 1)] or ([words] if words else [])
+    out = []
+    for run in runs:
+        h = 0
+        for w in run:
+            h = rotate(h, 1) ^ xxhash.xxh64_intdigest(w.encode(), 42)
+        out.append(h - (1 << 64) if h >> 63 else h)
+    return out
+
+
+def test_rolled_hashes_against_brute_force(spark):
+    rnd = random.Random(5)
+    cases = [[rnd.choice(["a", "bb", "é", "ccc"]) for _ in range(n)] for n in (0, 1, 2, 4, 5, 6, 9, 30)]
+    df = spark.createDataFrame([(c,) for c in cases], "ws array<string>")
+    for k in (1, 2, 3, 4, 5, 7, 8, 13):
+        for r in df.select("ws", W.grams(F.col("ws"), k).alias("g")).collect():
+            assert list(r.g) == rolled(list(r.ws), k)
+
+
+def test_shared_run_without_spaces_gives_a_shared_hash(spark):
+    rnd = random.Random(6)
+    for alphabet in ([chr(0x4e00 + i) for i in range(400)], [chr(0xe01 + i) for i in range(40)]):
+        pairs = []
+        for _ in range(30):
+            shared = "".join(rnd.choices(alphabet, k=W.K + W.W - 1))
+            pairs.append(tuple("".join(rnd.choices(alphabet, k=rnd.randrange(40))) + shared + "".join(rnd.choices(alphabet, k=rnd.randrange(40)))
+                               for _ in range(2)))
+        df = spark.createDataFrame(pairs, "a string, b string")
+        got = df.select(W.hashes(W.fingerprint(F.col("a"))).alias("a"), W.hashes(W.fingerprint(F.col("b"))).alias("b"))
+        assert all(set(r.a) & set(r.b) for r in got.collect())
+
+
 def test_next_document_and_edited_text(spark):
     rows = [(i, f"text number {i} " * (1 + i % 5), "en", "a") for i in range(60)]
     by = {i: t for i, t, *_ in rows}
