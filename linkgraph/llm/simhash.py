@@ -103,20 +103,29 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
                         for i, s in enumerate(QUARTERS)])
     cells = fps.select("fp", counts.alias("cell"))
     # pieces of at most `tile` rows, dealt by a hash: the number of pieces of a cell follows its count
-    pieces = cells.groupBy("cell").agg(F.count("*").alias("n")).select(
-        F.col("cell").alias("c2"), F.ceil(F.col("n") * 1.25 / tile).cast("int").alias("pieces"))
+    pieces = stash(cells.groupBy("cell").agg(F.count("*").alias("n")).select(
+        F.col("cell").alias("c2"), F.ceil(F.col("n") * 1.25 / tile).cast("int").alias("pieces")), "simhash-cells")
     tiles = stash(cells.join(pieces, F.col("cell") == F.col("c2"))
                   .withColumn("piece", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int"))
                   .groupBy("cell", "piece").agg(F.collect_list("fp").alias("fps")), "simhash-tiles")
-    q = [F.col("cell")[f"q{i}"] for i in range(len(QUARTERS))]
+    q = [F.col("c2")[f"q{i}"] for i in range(len(QUARTERS))]
     moves = F.array(*[F.array(*[F.lit(x) for x in d]) for d in _offsets(radius)])
-    # a tile meets the tiles whose counts are within the radius: it is sent to the cells above it
-    sent = (tiles.select("cell", "piece", "fps", F.explode(moves).alias("d"))
-            .select(F.struct(*[(q[i] + F.col("d")[i]).alias(f"q{i}") for i in range(len(QUARTERS))]).alias("to"),
-                    F.col("cell").alias("from"), F.col("piece").alias("p1"), F.col("fps").alias("a")))
-    pairs = (sent.join(tiles.select("cell", "piece", F.col("fps").alias("b")), F.col("to") == F.col("cell"))
-             .where((F.col("from") != F.col("cell")) | (F.col("p1") <= F.col("piece")))
-             .select("a", "b", ((F.col("from") == F.col("cell")) & (F.col("p1") == F.col("piece"))).alias("same")))
+    # cells meet the cells whose counts are within the radius, of which there are 17^4 at most; then their pieces pair up
+    above = pieces.select("c2", "pieces", F.explode(moves).alias("d")).select(
+        F.col("c2").alias("from"), F.col("pieces").alias("n1"),
+        F.struct(*[(q[i] + F.col("d")[i]).alias(f"q{i}") for i in range(len(QUARTERS))]).alias("to"))
+    numbers = above.join(pieces, F.col("to") == F.col("c2")).select("from", "to", "n1", F.col("pieces").alias("n2"))
+    numbers = numbers.select("from", "to", "n2", F.explode(F.sequence(F.lit(0), F.col("n1") - 1)).alias("p1"))
+    numbers = numbers.select("from", "to", "p1", F.explode(F.sequence(F.lit(0), F.col("n2") - 1)).alias("p2"))
+    numbers = numbers.where((F.col("from") != F.col("to")) | (F.col("p1") <= F.col("p2")))
+    # only the numbers of tiles are dealt, by pairs, and the tiles come to them: a cell with many tiles is spread over
+    # them, and adaptive execution does not merge partitions that are small in bytes and long in computing time
+    numbers = numbers.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "from", "to", "p1", "p2")
+    left = tiles.select(F.col("cell").alias("ca"), F.col("piece").alias("pa"), F.col("fps").alias("a"))
+    right = tiles.select(F.col("cell").alias("cb"), F.col("piece").alias("pb"), F.col("fps").alias("b"))
+    pairs = (numbers.join(left, (F.col("from") == F.col("ca")) & (F.col("p1") == F.col("pa")))
+             .join(right, (F.col("to") == F.col("cb")) & (F.col("p2") == F.col("pb")))
+             .select("a", "b", ((F.col("from") == F.col("to")) & (F.col("p1") == F.col("p2"))).alias("same")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
