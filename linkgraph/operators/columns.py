@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -93,25 +94,39 @@ def astype(df: DataFrame, type_: str, subset: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- P9, A5 ---
 
-def null_profile(df: DataFrame) -> DataFrame:
-    """One row: number of NULLs per column (single pass, partial aggregation)."""
-    return df.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in df.columns])
+def null_profile(df: DataFrame, by_column: bool = False) -> DataFrame:
+    """One row: number of NULLs per column.
+
+    By default a single pass over all columns.  ``by_column`` is for tables stored as
+    Parquet: each column is scanned alone for its NULL rows, so a row group whose
+    footer says that the column has no NULL is not read, and one without statistics
+    is.  A table of few NULLs is profiled from footers; at worst each column is read once.
+    """
+    if not by_column:
+        return df.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in df.columns])
+    counts = reduce(DataFrame.unionAll, [df.select(c).where(F.col(c).isNull()).select(F.lit(i).alias("i")) for i, c in enumerate(df.columns)])
+    # one row per column and task is shuffled
+    counts = counts.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(*[F.coalesce(F.sum(F.when(F.col("i") == i, F.col("n"))), F.lit(0)).alias(c) for i, c in enumerate(df.columns)])
 
 
-def drop_null_cols(df: DataFrame, threshold: int | None = None) -> DataFrame:
+def drop_null_cols(df: DataFrame, threshold: int | None = None, by_column: bool = False) -> DataFrame:
     """Drop columns whose NULL count equals ``threshold`` (default: the row count).
 
     The output schema depends on the data, so this runs one aggregate (a single
     row comes back to the driver).  On an empty table nothing is dropped.
+    ``by_column``: see ``null_profile``; the row count then comes from the footers.
     """
-    stats = df.agg(F.count(F.lit(1)).alias("__rows__"),
-                   *[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(f"__n{i}__")
-                     for i, c in enumerate(df.columns)]).first()
-    rows = stats["__rows__"]
+    if not df.columns:
+        return df
+    if by_column:
+        rows, nulls = df.count(), list(null_profile(df, by_column=True).first())
+    else:
+        rows, *nulls = df.agg(F.count(F.lit(1)), *[F.count(F.when(F.col(c).isNull(), F.lit(1))) for c in df.columns]).first()
     if rows == 0:
         return df
     limit = threshold if threshold else rows
-    return df.drop(*[c for i, c in enumerate(df.columns) if stats[f"__n{i}__"] == limit])
+    return df.drop(*[c for c, n in zip(df.columns, nulls, strict=True) if n == limit])
 
 
 # ---------------------------------------------------------------- P10 ------

@@ -374,6 +374,25 @@ def q_null_profile(spark, sf):
     return C.null_profile(_orders_with_gaps(spark, sf))
 
 
+@register("null_profile_footers", """
+SELECT count(*) - count(doc_id) AS doc_id, count(*) - count(text) AS text, count(*) - count(lang) AS lang,
+       count(*) - count(source) AS source, count(*) AS all_null
+FROM documents
+""")
+def q_null_profile_footers(spark, sf):
+    """NULLs of a stored table whose columns mostly have none: text is not read where a footer says so."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    return C.null_profile(docs.withColumn("all_null", F.lit(None).cast("string")), by_column=True)
+
+
+@register("drop_null_cols_footers", """
+SELECT doc_id, lang, source FROM documents
+""")
+def q_drop_null_cols_footers(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source").withColumn("all_null", F.lit(None).cast("string"))
+    return C.drop_null_cols(docs, by_column=True)
+
+
 @register("order_node_ids", """
 SELECT l_orderkey, l_linenumber,
        CASE WHEN l_partkey > l_suppkey THEN l_partkey ELSE l_suppkey END AS l_partkey,

@@ -1,3 +1,5 @@
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +63,42 @@ def test_null_profile(spark):
     assert tuple(C.null_profile(df).first()) == (1, 2)
 
 
+def _stored(tmp_path):
+    """Two files of one table: columns in another order, the second without statistics."""
+    a = pa.table({"id": pa.array([1, 2, 3], pa.int64()), "text": ["x", None, "z"], "none": pa.array([None] * 3, pa.string()),
+                  "tags": pa.array([[1], None, []], pa.list_(pa.int64())), "at": pa.array([{"x": None}, None, {"x": 1}], pa.struct([("x", pa.int64())]))})
+    pq.write_table(a, tmp_path / "1.parquet")
+    pq.write_table(a.select(["at", "none", "text", "tags", "id"]), tmp_path / "2.parquet", write_statistics=False)
+    return str(tmp_path)
+
+
+def test_null_profile_by_column(spark, tmp_path):
+    df = spark.read.parquet(_stored(tmp_path))
+    want = {"id": 0, "text": 2, "none": 6, "tags": 2, "at": 2}
+    assert C.null_profile(df).first().asDict() == C.null_profile(df, by_column=True).first().asDict() == want
+    assert set(C.drop_null_cols(df, by_column=True).columns) == {"id", "text", "tags", "at"}
+    assert C.drop_null_cols(df, threshold=2, by_column=True).columns == C.drop_null_cols(df, threshold=2).columns
+    empty = df.limit(0)
+    assert set(C.null_profile(empty, by_column=True).first()) == {0}
+    assert C.drop_null_cols(empty, by_column=True).columns == df.columns
+
+
+def test_footers_spare_columns_without_nulls(spark, tmp_path):
+    rows = 5000
+    full = pa.table({"id": pa.array(range(rows), pa.int64()), "gap": pa.array([None if i == 0 else i for i in range(rows)], pa.int64())})
+    pq.write_table(full, tmp_path / "t.parquet", row_group_size=1000)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # its plan hides the scans
+    try:
+        out = C.null_profile(spark.read.parquet(str(tmp_path)), by_column=True)
+        assert tuple(out.collect()[0]) == (0, 1)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    leaves = out._jdf.queryExecution().executedPlan().collectLeaves()
+    read = [leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())]
+    assert read == [0, 1000]  # no row of `id`; of `gap` the one row group that holds a NULL
+
+
 def test_order_node_ids_swaps_on_not_greater_or_null(spark):
     df = spark.createDataFrame(
         [("e1", 5, "five", 3, "three"), ("e2", 2, "two", 9, "nine"), ("e3", 4, "four", 4, "four'"),
