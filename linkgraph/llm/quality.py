@@ -21,13 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkgraph.llm.common import largest, small_batches, split_largest, stash
+from linkgraph.llm.common import small_batches, split_largest, stash
 
 ORDER, BITS = 5, 12
 #: Code points from here on share the symbols above it by their remainder.
 FOLD = 3840
-#: Most n-grams of one language and order in a model that is loaded to score other texts; ``judge`` does not use it.
-MAX_GRAMS = 400_000
 #: Most n-grams that workers hold at once, over all languages; the others are joined, so this changes no result.
 HELD = 2_000_000
 #: A task hands its counts on when it holds so many different n-grams.
@@ -154,12 +152,10 @@ def discounts(counts: DataFrame) -> DataFrame:
         F.when((x > 0) & (x < i), x).otherwise(0.5).alias(f"d{i}") for i, x in zip((1, 2, 3), d, strict=True)])
 
 
-def kneser_ney(counts: DataFrame) -> tuple[dict[int, DataFrame], dict[int, DataFrame]]:
-    """Interpolated probabilities of all n-grams and backoff weights of all contexts, by order.
+def kneser_ney(counts: DataFrame) -> dict[int, DataFrame]:
+    """Interpolated probabilities of all n-grams by order: (lang, key, n, logp).
 
-    Returns ``probs[k]``: (lang, key, n, logp) and ``backs[k]``: (lang, key, n,
-    logp) where key is a context of k - 1 characters and logp the weight that the
-    order below gets.  Orders under the highest count in how many n-grams one
+    Orders under the highest count in how many n-grams one
     character longer theirs ends.
     """
     tables = {ORDER: stash(counts, "kn-counts")}
@@ -167,7 +163,6 @@ def kneser_ney(counts: DataFrame) -> tuple[dict[int, DataFrame], dict[int, DataF
         tables[k] = stash(tables[k + 1].groupBy("lang", F.col("key").bitwiseAND(F.lit(_mask(k))).alias("key"))
                           .agg(F.count("*").alias("n")), "kn-counts")
     probs: dict[int, DataFrame] = {}
-    backs: dict[int, DataFrame] = {}
     for k in range(1, ORDER + 1):
         t = tables[k]
         d = stash(discounts(t), "kn-discounts")  # one row per language
@@ -188,27 +183,7 @@ def kneser_ney(counts: DataFrame) -> tuple[dict[int, DataFrame], dict[int, DataF
             low = F.col("low")
         probs[k] = stash(p.select("lang", "key", "n", F.log((F.col("n") - cut) / F.col("total") + F.col("weight") * low)
                                   .alias("logp")), "kn-probs")
-        backs[k] = sums.select(F.col("l3").alias("lang"), F.col("ctx").alias("key"), F.col("total").alias("n"),
-                               F.log("weight").alias("logp"))
-    return probs, backs
-
-
-def load(probs: dict[int, DataFrame], backs: dict[int, DataFrame], most: int = MAX_GRAMS) -> dict:
-    """The model as sorted arrays: {language: {"p1": (keys, logps), ..., "b5": ...}}, bounded by ``most`` entries each."""
-    model: dict[str, dict] = {}
-    for kind, tables in (("p", probs), ("b", backs)):
-        for k, table in tables.items():
-            got = (largest(table, ["lang"], most).select("lang", "key", F.col("logp").cast("float").alias("logp"))
-                   .toArrow().combine_chunks())
-            if not got.num_rows:
-                continue
-            names = got.column("lang").combine_chunks().dictionary_encode()
-            at, key, logp = names.indices.to_numpy(), got.column("key").to_numpy(), got.column("logp").to_numpy()
-            for i, lang in enumerate(names.dictionary.to_pylist()):
-                rows = np.flatnonzero(at == i)
-                rows = rows[np.argsort(key[rows])]
-                model.setdefault(lang, {})[f"{kind}{k}"] = (key[rows], logp[rows])
-    return model
+    return probs
 
 
 def _find(table: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,59 +194,6 @@ def _find(table: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray) -> tupl
     return table[0][at] == keys, table[1][at]
 
 
-def log_probs(keys: np.ndarray, own: dict) -> np.ndarray:
-    """Log-probability of each 5-gram: stored, or by backing off through shorter ones."""
-    out = np.zeros(len(keys), np.float64)
-    todo, k = np.arange(len(keys)), ORDER
-    while len(todo) and k:
-        now = keys[todo] & _mask(k)
-        found, value = _find(own.get(f"p{k}"), now)
-        out[todo[found]] += value[found]
-        todo, now = todo[~found], now[~found]
-        known, weight = _find(own.get(f"b{k}"), now >> BITS)
-        out[todo] += np.where(known, weight, 0)
-        k -= 1
-    out[todo] -= np.log(len(own["p1"][0]) + 1) if "p1" in own else np.log(1 << BITS)
-    return out
-
-
-def measure(docs: DataFrame, model: dict, text: str = "text", lang: str = "lang") -> DataFrame:
-    """All rows and columns of ``docs`` with the base rules' numbers, log_ppl and its standard error (null without characters) added."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)  # bounded by MAX_GRAMS
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "log_ppl", "error"]
-
-    @F.pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-                  "base_failed boolean, log_ppl double, error double")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, langs in batches:
-            texts, langs = [t or "" for t in texts], [x or "" for x in langs]
-            ppl, error = np.full(len(texts), np.nan), np.full(len(texts), np.nan)
-            by: dict[str, list[int]] = {}
-            for i, x in enumerate(langs):
-                by.setdefault(x, []).append(i)
-            for x, rows in by.items():
-                for part in _slices([texts[i] for i in rows]):
-                    at = [rows[i] for i in part]
-                    keys, size = grams([texts[i] for i in at])
-                    logs = log_probs(keys, shared.value.get(x, {}))
-                    ends = np.cumsum(size)
-                    with np.errstate(invalid="ignore", divide="ignore"):
-                        mean, square = [(c[ends] - c[ends - size]) / size for c in
-                                        (np.concatenate(([0.0], np.cumsum(v))) for v in (logs, logs * logs))]
-                        ppl[at], error[at] = -mean, np.sqrt(np.maximum(square - mean * mean, 0) / size)
-            out = pd.DataFrame([base_rules(t) for t in texts], columns=names[:-2])
-            for name, v in (("log_ppl", ppl), ("error", error)):
-                out[name] = pd.Series(v).astype("Float64").mask(np.isnan(v))
-            yield out
-
-    kept = [c for c in docs.columns if c not in names]
-    out = docs.select(*[docs[f"`{c}`"] for c in kept],
-                      run(docs[f"`{text}`"].cast("string"), docs[f"`{lang}`"].cast("string")).alias("_measure"))
-    return out.select(*[f"`{c}`" for c in kept], *[f"_measure.{c}" for c in names])
-
-
 def hold(table: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """{language: (keys, logps)} of a bounded table (lang, key, logp), sorted by key."""
     got = table.select("lang", "key", "logp").toArrow().combine_chunks()
@@ -286,7 +208,9 @@ def hold(table: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
 
 
 def measure_own(docs: DataFrame, probs: DataFrame, text: str = "text", lang: str = "lang", most: int = HELD) -> DataFrame:
-    """``measure`` for the documents that ``probs``, the probabilities of all their 5-grams, was counted from; without the text.
+    """The base rules' numbers, log_ppl and its standard error (null without characters) of every row of ``docs``; without the text.
+
+    ``probs`` holds the probabilities of all 5-grams of these documents.
 
     Workers look up the at most ``most`` n-grams seen most often.  The distinct
     other ones of each document are joined with the rest of ``probs``.  Those that
@@ -374,7 +298,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     * ties do not matter; repeated rows get the same verdict.  An empty table gives an empty result.
     """
     rows = docs.select(docs[f"`{key}`"].alias(key), docs[f"`{text}`"].alias("text"), docs[f"`{lang}`"].alias("lang"))
-    probs, _ = kneser_ney(count_grams(rows))
+    probs = kneser_ney(count_grams(rows))
     measured = stash(measure_own(rows, probs[ORDER], most=most), "quality")
     limits = stash(bands(measured), "quality-bands")
     return (measured.join(limits, F.coalesce("lang", F.lit("")) == F.col("band_lang"), "left")
