@@ -8,11 +8,12 @@ shuffled sort-merge join, with AQE splitting skewed partitions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +41,33 @@ def enrich(df: DataFrame, lookups: Sequence[tuple[DataFrame, str | Sequence[str]
     return reduce(lambda acc, lk: acc.join(lk[0], on=lk[1], how=how), lookups, df)
 
 
+#: Rows that one task of a join and the aggregates behind it should take.
+TASK_ROWS = 500_000
+
+
+def task_parts(spark: SparkSession, rows: int) -> int | None:
+    """Partitions that give each task about ``TASK_ROWS`` of ``rows`` rows, or None where the session's own number does.
+
+    Adaptive execution joins small partitions up to a size in compressed bytes (64 MB,
+    which may be millions of narrow rows) but keeps at least one for each core; a number
+    given to ``repartition`` stays.
+    """
+    parts = math.ceil(rows / TASK_ROWS)
+    return parts if parts > spark.sparkContext.defaultParallelism else None
+
+
+def dealt_alike(dfs: Sequence[DataFrame], on: str | Sequence[str]) -> list[DataFrame]:
+    """Tables to be joined on ``on``, dealt by it so that a task's share of the largest stays about ``TASK_ROWS`` rows,
+    however large the tables are; small ones come back as they are.
+
+    The join and aggregates by a superset of ``on`` need no further exchange, and what a task
+    holds does not grow with the input.  Counts the rows of each table (Parquet: from the footers).
+    """
+    spark = dfs[0].sparkSession
+    parts = task_parts(spark, max(df.count() for df in dfs))
+    return [df.repartition(parts, *([on] if isinstance(on, str) else on)) if parts else df for df in dfs]
+
+
 def _common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
     if a == b:
         return None

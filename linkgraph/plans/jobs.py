@@ -23,7 +23,7 @@ from linkgraph.functions.expressions import day_text
 from linkgraph.operators import columns as C
 from linkgraph.operators import filters as Fl
 from linkgraph.operators import graph as G
-from linkgraph.operators.relational import row_count
+from linkgraph.operators.relational import dealt_alike, row_count
 from linkgraph.session import cut_lineage, scratch_scope
 from linkgraph.sources import sinks
 
@@ -37,9 +37,14 @@ NODE_ATT = ("NodeName", "Label")
 
 
 def order_events(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """One row per order line with its customer: the directed "event" table."""
+    """One row per order line with its customer: the directed "event" table.
+
+    Distinct counts of orders behind the join run in its tasks (they group by the order
+    key too), so large tables are dealt by rows, which bounds what such a task holds.
+    """
     o = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", "o_orderdate")
-    return lineitem.select("l_orderkey", "l_suppkey", "l_linenumber").join(o, on="l_orderkey", how="inner")
+    lines, o = dealt_alike([lineitem.select("l_orderkey", "l_suppkey", "l_linenumber"), o], "l_orderkey")
+    return lines.join(o, on="l_orderkey", how="inner")
 
 
 def _maybe_cut(df: DataFrame, checkpoint: bool) -> DataFrame:
