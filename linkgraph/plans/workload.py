@@ -845,8 +845,8 @@ def q_import_manifest(spark, sf):
 
 # ============================================================ nested =======
 
-def _lineup_json(spark, sf) -> str:
-    """Write lineitem as nested lineup JSON: one match per order, in it a team per return
+def _nested_lineups(spark, sf) -> DataFrame:
+    """Lineitem as nested lineups: one match per order, in it a team per return
     flag with all its parts as players (country: the supplier's nation)."""
     li, s, p, n = tables(spark, sf, "lineitem", "supplier", "part", "nation")
     rows = (li.select("l_orderkey", "l_suppkey", "l_partkey", "l_returnflag")
@@ -855,12 +855,17 @@ def _lineup_json(spark, sf) -> str:
             .join(n.select(F.col("n_nationkey").alias("s_nationkey"), "n_name"), "s_nationkey", "left"))
     player = F.struct(F.col("l_partkey").alias("player_id"), F.col("p_name").alias("player_name"),
                       F.when(F.col("n_name").isNotNull(), F.struct(F.col("n_name").alias("name"))).alias("country"))
-    teams = rows.groupBy("l_orderkey", "l_returnflag").agg(F.collect_list(player).alias("lineup"))
+    # both groupings run where the rows of an order are: plain rows are shuffled once, no nested ones
+    teams = rows.repartition("l_orderkey").groupBy("l_orderkey", "l_returnflag").agg(F.collect_list(player).alias("lineup"))
     team = F.struct(F.ascii("l_returnflag").cast("bigint").alias("team_id"), F.col("l_returnflag").alias("team_name"), "lineup")
-    nested = (teams.groupBy(F.col("l_orderkey").alias("match_id"))
-              .agg(F.map_from_entries(F.collect_list(F.struct("l_returnflag", team.alias("team")))).alias("lineups")))
+    return (teams.groupBy(F.col("l_orderkey").alias("match_id"))
+            .agg(F.map_from_entries(F.collect_list(F.struct("l_returnflag", team.alias("team")))).alias("lineups")))
+
+
+def _lineup_json(spark, sf) -> str:
+    """Write the nested lineups as JSON, packed: the text repeats every field name for each player."""
     path = scratch_path(spark, "lineups")
-    nested.write.json(path)
+    _nested_lineups(spark, sf).write.option("compression", "gzip").json(path)
     return path
 
 

@@ -1,5 +1,6 @@
 """What one task holds does not grow with the input: large tables are dealt by rows."""
 
+import os
 import re
 
 import pytest
@@ -7,7 +8,8 @@ from pyspark.sql import functions as F
 
 from linkgraph.operators import relational as R
 from linkgraph.plans import jobs as J
-from tests.conftest import rows
+from linkgraph.plans import workload as W
+from tests.conftest import SF_SMALL, rows
 from tools.plan_audit import plan_text
 
 
@@ -33,3 +35,11 @@ def test_order_lines_are_dealt_by_rows(spark, trade, monkeypatch):
         assert (rows(large.edges), rows(large.nodes)) == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_nested_lineups_shuffle_plain_rows_once_and_are_packed(spark):
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan_text(W._nested_lineups(spark, SF_SMALL)))
+    assert [re.sub(r"#\d+L?", "", x) for x in exchanges] == ["l_orderkey, 8"]
+    path = W._lineup_json(spark, SF_SMALL)
+    parts = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")]
+    assert parts and all(f.endswith(".json.gz") for f in parts)
