@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkgraph.functions import expressions as X
-from linkgraph.operators.relational import union_all_by_name
+from linkgraph.operators.relational import task_parts, union_all_by_name
 from linkgraph.session import cut_lineage
 
 # --- fixed values: bulk-import header naming ------------------------------
@@ -51,8 +51,13 @@ _BUCKETS = 8192
 
 
 def hot_key_splits(df: DataFrame, key: str, target_parts: int | None = None, buckets: int = _BUCKETS) -> DataFrame:
+    """The keys of ``_hot_keys``, without the number of rows."""
+    return _hot_keys(df, key, target_parts, buckets)[0]
+
+
+def _hot_keys(df: DataFrame, key: str, target_parts: int | None = None, buckets: int = _BUCKETS) -> tuple[DataFrame, int]:
     """Keys whose self-join work is more than one partition's share, with the number
-    of parts to cut each into: ``(key, __splits__)``.
+    of parts to cut each into, ``(key, __splits__)``, and the number of rows that have a key.
 
     A key with ``k`` rows yields about ``k^2`` pairs, so hotness is measured in pair
     work, not rows: ``splits = ceil(k^2 * target_parts / W)`` with ``W = sum k^2`` over
@@ -67,7 +72,9 @@ def hot_key_splits(df: DataFrame, key: str, target_parts: int | None = None, buc
     ``c^2`` exceeds ``W`` by ``(N^2 - W) / buckets`` on average, and what is left has a
     standard error of ``W * sqrt(2 / buckets)`` (1.6 %), whatever the number of rows.
     Where so many rows fall into each bucket that most could hold a hot key, a finer
-    histogram over their keys narrows them down before the exact count.
+    histogram over their keys narrows them down before the exact count.  A bucket it leaves
+    has more than ``sqrt(W / target_parts)`` rows, four times what a bucket of that histogram
+    has on average, so that few come back; if none does, no key is hot and no row is read again.
 
     A hot key has more than ``W / target_parts`` of the work, so there are fewer than
     ``target_parts`` hot keys (up to the error of ``W``) whatever the data: the table
@@ -84,8 +91,9 @@ def hot_key_splits(df: DataFrame, key: str, target_parts: int | None = None, buc
     n = sum(c for _, c in counts)
     work = max((sum(c * c for _, c in counts) * buckets - n * n) / (buckets - 1), n)
     hot = [(b, c) for b, c in counts if c * c * parts > work]
+    none = keys.select(key, F.lit(0).alias(_SPLITS)).where(F.lit(False))  # planned away: no further job
     if not hot:
-        return keys.select(key, F.lit(0).alias(_SPLITS)).where(F.lit(False))  # planned away: no further job
+        return none, n
     if len(hot) < len(counts):
         keys = keys.where(bucket(buckets).isin([b for b, _ in hot]))
     if sum(c for _, c in hot) > n // 8:
@@ -93,10 +101,15 @@ def hot_key_splits(df: DataFrame, key: str, target_parts: int | None = None, buc
         if finer > buckets:
             candidates = (keys.groupBy(bucket(finer)).agg(F.count(F.lit(1)).cast("double").alias("__c__"))
                           .where(F.col("__c__") * F.col("__c__") * parts > work).select("__bucket__"))
+            found = candidates.limit(buckets + 1).collect()
+            if not found:
+                return none, n
+            if len(found) <= buckets:  # all of them: no shuffle of the keys
+                candidates = F.broadcast(spark.createDataFrame(found, candidates.schema))
             keys = keys.withColumn("__bucket__", bucket(finer)).join(candidates, on="__bucket__", how="left_semi")
     k = F.col("__k__")
     return (keys.groupBy(key).agg(F.count(F.lit(1)).cast("double").alias("__k__"))
-            .select(key, F.ceil(k * k * parts / F.lit(float(work))).cast("int").alias(_SPLITS)).where(F.col(_SPLITS) >= 2))
+            .select(key, F.ceil(k * k * parts / F.lit(float(work))).cast("int").alias(_SPLITS)).where(F.col(_SPLITS) >= 2)), n
 
 
 def edges_from_shared_key(df: DataFrame, col_edges: str = "EdgeID", col_nodeid: str = "NodeID",
@@ -122,7 +135,8 @@ def edges_from_shared_key(df: DataFrame, col_edges: str = "EdgeID", col_nodeid:
     right row has a grid column and is copied along it; every (left, right) pair meets
     in exactly one cell.  The exchange has a fixed number of partitions, which
     adaptive execution does not coalesce: it goes by input bytes, the work is
-    quadratic.  Nothing is capped or sampled.  Detection is the only eager step: one
+    quadratic.  Without hot keys large inputs are dealt by rows (``task_parts``), for the
+    same reason.  Nothing is capped or sampled.  Detection is the only eager step: one
     job over the key column if no key is hot, and the plan is then the plain
     partitioned self-join.
     """
@@ -130,11 +144,11 @@ def edges_from_shared_key(df: DataFrame, col_edges: str = "EdgeID", col_nodeid:
     parts = target_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     valid = F.col(col_edges).isNotNull() & F.col(col_nodeid).isNotNull()
     base = df.where(valid)
-    hot_rows = []
+    hot_rows, by_rows = [], None
     if split_hot_keys:
         # fewer than `parts` rows (proven bound) come back, and both join sides use the very same list
-        detected = hot_key_splits(base, col_edges, parts)
-        hot_rows = detected.collect()
+        detected, n_rows = _hot_keys(base, col_edges, parts)
+        hot_rows, by_rows = detected.collect(), task_parts(df.sparkSession, n_rows)
     right_cols = [F.col(col_edges), F.col(col_nodeid).alias("NodeID2"), *[F.col(a).alias(f"{a}2") for a in atts]]
     if hot_rows:
         hot = df.sparkSession.createDataFrame(hot_rows, detected.schema)
@@ -149,11 +163,12 @@ def edges_from_shared_key(df: DataFrame, col_edges: str = "EdgeID", col_nodeid:
         left = base.select(*df.columns, own([F.col(c) for c in df.columns]).alias(_ROW), along.alias(_COL))
         right = base.select(*right_cols, own([F.col(col_nodeid), *[F.col(a) for a in atts]]).alias(_COL), along.alias(_ROW))
         # equal rows of a hot key are combined as well: they would share a grid row
-        left, right = (x.repartition(parts, *keys).dropDuplicates() for x in (left, right))
+        left, right = (x.repartition(max(parts, by_rows or 0), *keys).dropDuplicates() for x in (left, right))
     else:
         # no hot key: the plain self-join, with exactly the partitioning that the distincts and the join need
         keys = [col_edges]
-        left, right = df.where(valid).repartition(*keys), base.select(*right_cols).repartition(*keys).dropDuplicates()
+        dealt = [by_rows, *keys] if by_rows else keys
+        left, right = df.where(valid).repartition(*dealt), base.select(*right_cols).repartition(*dealt).dropDuplicates()
         if distinct:
             left = left.dropDuplicates()
     pairs = (left.join(right, on=keys, how="inner")

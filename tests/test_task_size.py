@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from linkgraph.operators import graph as G
 from linkgraph.operators import relational as R
 from linkgraph.plans import jobs as J
 from linkgraph.plans import workload as W
@@ -43,3 +44,29 @@ def test_nested_lineups_shuffle_plain_rows_once_and_are_packed(spark):
     path = W._lineup_json(spark, SF_SMALL)
     parts = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")]
     assert parts and all(f.endswith(".json.gz") for f in parts)
+
+
+@pytest.fixture
+def baskets(spark):
+    return spark.range(3000).select((F.col("id") % 1000).alias("EdgeID"), (F.col("id") * 7 % 131).alias("NodeID"), F.lit("x").alias("a"))
+
+
+def test_shared_keys_are_dealt_by_rows(spark, baskets, monkeypatch):
+    want = rows(G.edges_from_shared_key(baskets))
+    monkeypatch.setattr(R, "TASK_ROWS", 100)
+    pairs = G.edges_from_shared_key(baskets)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert re.findall(r"Exchange hashpartitioning\(EdgeID#\d+L, (\d+)\), REPARTITION_BY_NUM", plan_text(pairs)) == ["30", "30"]
+        assert rows(pairs) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("hot", [0, 400])
+def test_finer_histogram_finds_hot_keys_or_ends(baskets, hot):
+    """Most buckets could hold a hot key: the finer histogram decides, and without a candidate nothing more is read."""
+    df = baskets.select("EdgeID").unionAll(baskets.select(F.lit(5).cast("bigint").alias("EdgeID")).limit(hot))
+    found, n = G._hot_keys(df, "EdgeID", target_parts=8, buckets=64)
+    assert n == 3000 + hot and {r.EdgeID for r in found.collect()} == ({5} if hot else set())
+    assert hot or plan_text(found).startswith("LocalTableScan <empty>")
