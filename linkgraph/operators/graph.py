@@ -282,6 +282,13 @@ def chunked_sets(df: DataFrame, keys: Sequence[str], cols: Sequence[str], n_rows
     return parts.groupBy(*keys).agg(*[whole(i).alias(f"{c}{ATT_SUFFIX}") for i, c in enumerate(cols)])
 
 
+def _left_on_pair(a: DataFrame, b: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """Left join on a pair of endpoint columns, NULL equal to NULL: ``b`` may lack a pair."""
+    b = b.withColumnsRenamed({c: f"__{c}__" for c in ids})
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}__")) for c in ids]
+    return a.join(b, on=same[0] & same[1], how="left").drop(*[f"__{c}__" for c in ids])
+
+
 def _edges_with_sets(df: DataFrame, ids: list[str], weights: DataFrame, weight_col: str, att_cols: list[str],
                      col_date: str | None, large_sets: bool, null_ids: bool) -> DataFrame:
     """Second phase: sets for the pairs of ``weights`` alone; with ``large_sets`` those of many rows are rendered in chunks."""
@@ -292,14 +299,12 @@ def _edges_with_sets(df: DataFrame, ids: list[str], weights: DataFrame, weight_c
         n_rows = wide.agg(F.sum("__rows__")).first()[0]
         if n_rows:
             rest = _same_pair(df, weights.where(F.col("__rows__") <= SET_ROWS), ids, null_ids).groupBy(*ids).agg(*aggs)
-            sets = chunked_sets(_same_pair(df, wide, ids, null_ids), ids, att_cols, n_rows)
-            sets = sets.withColumnsRenamed({c: f"__{c}__" for c in ids})
-            # an edge with nothing but NULLs in its columns has no row among the sets
-            same = [F.col(c).eqNullSafe(F.col(f"__{c}__")) for c in ids]
+            wide_rows = _same_pair(df, wide, ids, null_ids)
             text = [F.coalesce(f"{c}{ATT_SUFFIX}", F.lit("[]")).alias(f"{c}{ATT_SUFFIX}") for c in att_cols]
-            dates = [F.col(n) for n in names[2 + 1 + len(att_cols):]]
-            return rest.select(*names).unionByName(
-                wide.join(sets, on=same[0] & same[1], how="left").select(*ids, EDGE_WEIGHT, *text, *dates))
+            out = _left_on_pair(wide, chunked_sets(wide_rows, ids, att_cols, n_rows), ids)
+            if col_date:
+                out = _left_on_pair(out, wide_rows.groupBy(*ids).agg(*aggs[1 + len(att_cols):]), ids)
+            return rest.select(*names).unionByName(out.select(*ids, EDGE_WEIGHT, *text, *names[3 + len(att_cols):]))
     return _same_pair(df, weights, ids, null_ids).groupBy(*ids).agg(*aggs).select(*names)
 
 
@@ -354,7 +359,8 @@ def edges_agg(df: DataFrame, weight_col: str, cols_gb: Sequence[str] = ("NodeID1
     kept = (df.groupBy(id1, id2).agg(F.count_distinct(weight_col).alias("__w__"))
               .where(F.col("__w__") >= F.lit(min_edges)))
     if (late_sets or large_sets) and att_cols:
-        first = edge_aggregates(df, weight_col, [], col_date)
+        # numbers alone: a least or greatest text would make it a sort aggregate
+        first = edge_aggregates(df, weight_col, [])
         weights = (df.groupBy(id1, id2).agg(*first, F.count(F.lit(1)).alias("__rows__"))
                      .where(F.col(EDGE_WEIGHT) >= F.lit(min_edges)))
         if cut or large_sets:

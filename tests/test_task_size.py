@@ -70,3 +70,23 @@ def test_finer_histogram_finds_hot_keys_or_ends(baskets, hot):
     found, n = G._hot_keys(df, "EdgeID", target_parts=8, buckets=64)
     assert n == 3000 + hot and {r.EdgeID for r in found.collect()} == ({5} if hot else set())
     assert hot or plan_text(found).startswith("LocalTableScan <empty>")
+
+
+@pytest.fixture
+def dated(spark):
+    found = [(i % 3 if i % 3 else None, i % 2, i % 11, None if i % 2 else f"1997-01-{i % 28 + 1:02d}") for i in range(60)] + [(7, 8, 1, "1997-02-01"), (7, 8, 2, None)]
+    return spark.createDataFrame(found, "NodeID1 BIGINT, NodeID2 BIGINT, e BIGINT, day STRING")
+
+
+def test_weights_of_late_sets_are_a_hash_aggregate(dated, monkeypatch):
+    plans = {}
+    monkeypatch.setattr(G, "cut_lineage", lambda df, name="lineage": plans.setdefault(name, plan_text(df)) and df)
+    G.edges_agg(dated, "e", col_date="day", min_edges=2, large_sets=True)
+    assert "HashAggregate" in plans["weights"] and "SortAggregate" not in plans["weights"]
+
+
+def test_date_range_of_wide_edges(dated, monkeypatch):
+    want = rows(G.edges_agg(dated, "e", col_date="day", min_edges=2).edges)
+    monkeypatch.setattr(G, "SET_ROWS", 5)  # all but one edge are wide, some with a NULL endpoint or no day
+    assert rows(G.edges_agg(dated, "e", col_date="day", min_edges=2, large_sets=True).edges) == want
+    assert len(want) > 3
